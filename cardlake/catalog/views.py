@@ -8,10 +8,13 @@ tables, so the work grows with them.
 
 from __future__ import annotations
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake.plans import gold, silver, warehouse
+from cardlake.session import checkpoint_dir
+from cardlake.sources import writers
 
 RUN_ID = "run-1"
 CALENDAR = ("1995-01-01", "2001-06-30")
@@ -137,7 +140,7 @@ def bronze_fx(spark: SparkSession, sf: str) -> DataFrame:
         code.alias("currency"),
         F.lit(" eur").alias("base_currency"),
         F.concat(F.lit("Currency "), code).alias("currency_name"),
-        (F.col("o_totalprice") / 1024).alias("rate_vs_usd"),
+        (F.col("o_totalprice") / 1000).alias("rate_vs_usd"),
         F.to_date("o_orderdate").alias("date"),
         *[c.alias(n) for n, c in _technical("FX", quoted).items()],
     )
@@ -184,13 +187,13 @@ def gold_dates(spark: SparkSession) -> DataFrame:
 
 
 def gold_fact(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """(fact, events). The load time follows the transaction, so freshness
-    differs by month."""
+    """(fact, events) from the raw lines. The load time follows the
+    transaction, so freshness differs by month."""
     return gold.fact_transactions(
         silver_transactions(spark, sf),
-        gold_users(spark, sf),
-        gold_cards(spark, sf)[0],
-        gold_mcc(spark, sf),
+        stored_gold(spark, sf, "users"),
+        stored_gold(spark, sf, "cards"),
+        stored_gold(spark, sf, "mcc"),
         gold_dates(spark),
         RUN_ID,
         F.col("txn_ts"),
@@ -198,20 +201,57 @@ def gold_fact(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def warehouse_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """Warehouse fact from the raw lines."""
+    return warehouse.wh_fact(gold_fact(spark, sf)[0], stored_dims(spark, sf))
 
-def warehouse_dims(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+
+# --- stored tables ----------------------------------------------------------
+
+# Gold and warehouse are tables that later steps read, so a session writes each
+# of them once per data set, to the shared checkpoint folder.
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf: str, name: str, make, partition_by=()) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STORED:
+        path = f"{checkpoint_dir(spark)}/views/{key[0]}/{xxhash.xxh64_hexdigest(sf)}/{name}"
+        writers.overwrite(make(), path, partition_by)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
+def stored_gold(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    makers = {
+        "users": lambda: gold_users(spark, sf),
+        "cards": lambda: gold_cards(spark, sf)[0],
+        "mcc": lambda: gold_mcc(spark, sf),
+        "fact": lambda: gold_fact(spark, sf)[0],
+    }
+    partition = ("txn_month",) if name == "fact" else ()
+    return _stored(spark, sf, f"gold_{name}", makers[name], partition)
+
+
+def stored_dims(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    sources = {
+        "dim_user": lambda: stored_gold(spark, sf, "users"),
+        "dim_card": lambda: stored_gold(spark, sf, "cards"),
+        "dim_mcc": lambda: stored_gold(spark, sf, "mcc"),
+        "dim_date": lambda: gold_dates(spark),
+    }
     return {
-        "dim_user": warehouse.wh_dim(gold_users(spark, sf), "dim_user"),
-        "dim_card": warehouse.wh_dim(gold_cards(spark, sf)[0], "dim_card"),
-        "dim_mcc": warehouse.wh_dim(gold_mcc(spark, sf), "dim_mcc"),
-        "dim_date": warehouse.wh_dim(gold_dates(spark), "dim_date"),
+        name: _stored(spark, sf, name, lambda n=name, s=source: warehouse.wh_dim(s(), n))
+        for name, source in sources.items()
     }
 
 
-def warehouse_fact(spark: SparkSession, sf: str, unknown: bool = True) -> DataFrame:
-    """Warehouse fact; with ``unknown``, sixth lines have no known outcome."""
-    fact = warehouse.wh_fact(gold_fact(spark, sf)[0], warehouse_dims(spark, sf))
-    if not unknown:
-        return fact
-    sixth = F.col("transaction_id").endswith("6")
-    return fact.withColumn("is_success", F.when(~sixth, F.col("is_success")))
+def stored_fact(spark: SparkSession, sf: str) -> DataFrame:
+    """The warehouse fact, where sixth lines have no known outcome."""
+
+    def make() -> DataFrame:
+        fact = warehouse.wh_fact(stored_gold(spark, sf, "fact"), stored_dims(spark, sf))
+        sixth = F.col("transaction_id").endswith("6")
+        return fact.withColumn("is_success", F.when(~sixth, F.col("is_success")))
+
+    return _stored(spark, sf, "fact_transactions", make, ("txn_month",))
