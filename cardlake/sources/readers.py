@@ -83,8 +83,9 @@ def files_from_json(spark: SparkSession, listing: str, source_path: str) -> Data
     under ``childItems``, ``value`` or ``items``. Text that is neither gives no rows."""
     item = "array<struct<name:string,size:bigint,lastModified:string>>"
     text = spark.createDataFrame([(listing,)], "listing string")
+    is_list = F.trim("listing").startswith("[")
     found = F.coalesce(
-        F.from_json("listing", item),
+        F.when(is_list, F.from_json("listing", item)),
         *[
             F.from_json(F.get_json_object("listing", f"$.{key}"), item)
             for key in ("childItems", "value", "items")
