@@ -211,30 +211,43 @@ def _build_split(
     silver, tag, rules, c: K.Contract, entity: str, source_table: str,
     path: str, events_path: str, kpi_path: str, run_id: str,
 ) -> dict:
-    """Tag once, stage the tagged rows, write both sides from the staged table."""
+    """Tag once, stage the tagged rows with all counts and checks observed on
+    that write, then fill the table and the anomaly tables from the staged rows.
+
+    Uniqueness needs no pass of its own: the rows are ranked per key just before.
+    """
     run_id = require_text(run_id, "run_id")
     arrived = Observation(f"{c.table}-in-{run_id}")
-    tagged = tag(silver.observe(arrived, F.count(F.lit(1)).alias("row_in")))
-    tagged, seen = writers.stage(
-        tagged, f"{c.table}-tagged", run_id, (),
-        {
-            "deduped": F.count(F.lit(1)),
-            "rejected": F.count_if(F.col(FAILED_RULE).isNotNull()),
-        },
+    tagged = add_gold_audit(tag(silver.observe(arrived, F.count(F.lit(1)).alias("row_in"))), run_id)
+    shaped = tagged.select(
+        *[F.col(k.name).cast(K.spark_type(k.type)).alias(k.name) for k in c.columns], FAILED_RULE
+    )
+    passed = F.col(FAILED_RULE).isNull()
+    checks = Q.contract_checks(c, with_unique=False)
+    broken = {k.name: F.count_if(passed & k.violation) for k in checks if k.violation is not None}
+    staged, seen = writers.stage(
+        shaped, f"{c.table}-tagged", run_id, c.partition_by,
+        {"deduped": F.count(F.lit(1)), "rejected": F.count_if(~passed), **broken},
     )
-    good = K.project_to_contract(add_gold_audit(conforming(tagged), run_id), c)
-    counts = writers.publish(good, path, run_id, c.table, c.partition_by, Q.contract_checks(c))
+    failures = {k: seen[k] for k in broken if seen[k]}
+    if failures:
+        raise Q.QualityError(c.table, failures)
+    good = conforming(staged)
+    Q.assert_passed(Q.run_checks(good, [k for k in checks if k.max_distinct is not None]), c.table)
+    writers.overwrite(good, path, c.partition_by, cluster=False)
     if seen["rejected"]:
         events, _ = writers.stage(
-            orphan_events(tagged, rules, run_id, entity, source_table), f"{c.table}-events", run_id
+            orphan_events(staged, rules, run_id, entity, source_table), f"{c.table}-events", run_id
         )
         writers.append(events, events_path)
         writers.append(anomaly_kpis(events, run_id, entity), kpi_path)
     row_in = arrived.get["row_in"]
+    months = good.select(*c.partition_by).distinct().count() if c.partition_by else 0
     return {
         "row_in": row_in,
         "dedup_dropped": row_in - seen["deduped"],
         "row_rejected": seen["rejected"],
         "anom_count": seen["rejected"],
-        **counts,
+        "row_out": seen["deduped"] - seen["rejected"],
+        "partition_count": months,
     }

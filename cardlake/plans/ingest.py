@@ -16,6 +16,7 @@ from cardlake.functions import columns as C
 from cardlake.operators.upsert import merge_rows, merged_table
 from cardlake.plans import contracts as K
 from cardlake.plans.bronze import ENTITIES, pairs_from_object, to_bronze
+from cardlake.session import checkpoint_dir
 from cardlake.sources import readers, writers
 
 
@@ -150,6 +151,8 @@ def failed_files(manifest: DataFrame) -> DataFrame:
 
 # --- loading ----------------------------------------------------------------
 
+OUTCOME = "file_path string, status string"
+
 
 def ingest(
     spark: SparkSession,
@@ -174,14 +177,16 @@ def ingest(
         candidate_files(files, manifest, entity, mode), f"{entity}-candidates", run_id, (),
         {"n": F.count(F.lit(1))},
     )
-    batches = -(-seen["n"] // batch_files)
-    outcomes = []
+    batches = max(1, -(-seen["n"] // batch_files))
+    outcomes = f"{checkpoint_dir(spark)}/staging/{run_id}/{entity}-outcomes"
+    writers.overwrite(spark.createDataFrame([], OUTCOME), outcomes)
     for b in range(batches):
         part = wanted.where(F.pmod(F.xxhash64("file_path"), F.lit(batches)) == b).select("file_path")
         paths = [r["file_path"] for r in part.collect()]
         if paths:
-            outcomes += load_files(spark, entity, paths, table_path, exec_date, f"{run_id}-{b}")
-    status = spark.createDataFrame(outcomes, "file_path string, status string")
+            done = load_files(spark, entity, paths, table_path, exec_date, f"{run_id}-{b}")
+            writers.append(spark.createDataFrame(done, OUTCOME), outcomes)
+    status = spark.read.schema(OUTCOME).parquet(outcomes)
     listed = files.join(status, "file_path", "left").withColumns(
         {
             "entity": F.lit(entity),
@@ -196,19 +201,24 @@ def ingest(
     )
     merged, _ = writers.stage(update_manifest(manifest, rows), f"{entity}-manifest", run_id)
     writers.overwrite(merged, manifest_path)
-    log = ingestion_log(listed, now=F.current_timestamp())
-    if total == 0:
-        empty = {"exec_date": date.fromisoformat(exec_date), "entity": entity, "ingestion_mode": mode,
-                 "total_source_files": 0, "total_candidate_files": 0, "processed_files": 0,
-                 "failed_files": 0, "status": "NO_DATA", "log_timestamp": datetime.now(timezone.utc)}
-        writers.append_rows(spark, log_path, [empty], K.INGESTION_LOG.schema)
+    log, _ = writers.stage(
+        K.project_to_contract(ingestion_log(listed), K.INGESTION_LOG), f"{entity}-log", run_id
+    )
+    row = log.first() or {"processed_files": 0, "failed_files": 0}
+    if total:
+        writers.append(log, log_path)
     else:
-        writers.append(K.project_to_contract(log, K.INGESTION_LOG), log_path)
+        nothing = dict.fromkeys(
+            ("total_source_files", "total_candidate_files", "processed_files", "failed_files"), 0
+        )
+        empty = {**nothing, "exec_date": date.fromisoformat(exec_date), "entity": entity,
+                 "ingestion_mode": mode, "status": "NO_DATA", "log_timestamp": datetime.now(timezone.utc)}
+        writers.append_rows(spark, log_path, [empty], K.INGESTION_LOG.schema)
     return {
         "total_source_files": total,
         "total_candidate_files": seen["n"],
-        "processed_files": sum(s == "SUCCESS" for _, s in outcomes),
-        "failed_files": sum(s == "FAILED" for _, s in outcomes),
+        "processed_files": row["processed_files"],
+        "failed_files": row["failed_files"],
     }
 
 

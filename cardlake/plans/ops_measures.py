@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,10 +35,9 @@ def job_counts(log: DataFrame, raw: bool = False, tie_break: str = "message") ->
 
 def health(log: DataFrame, dq: DataFrame, raw: bool = False, tie_break: str = "message") -> DataFrame:
     """Checks and jobs in one row with the critical gate and its severity code."""
-    checks = dq_health(dq).withColumn("__one", F.lit(1))
-    jobs = job_counts(log, raw, tie_break).withColumn("__one", F.lit(1))
+    both = _one_row(dq_health(dq), job_counts(log, raw, tie_break))
     critical = (F.col("dq_fail_count") > 0) | (F.col("jobs_failed") > 0)
-    return checks.join(jobs, "__one").drop("__one").withColumns(
+    return both.withColumns(
         {
             "critical_gate": F.when(critical, "CRITICAL").otherwise("OK"),
             "severity_code": F.when(critical, 3).otherwise(1),
@@ -44,13 +45,22 @@ def health(log: DataFrame, dq: DataFrame, raw: bool = False, tie_break: str = "m
     )
 
 
+def _one_row(*singles: DataFrame) -> DataFrame:
+    """Single-row frames side by side: stacked with NULLs, then reduced."""
+    names = [c for s in singles for c in s.columns]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), singles)
+    return stacked.agg(*[F.max(c).alias(c) for c in names])
+
+
 def freshness(daily: DataFrame, monthly: DataFrame, as_of: Column) -> DataFrame:
     """Last day and month present and their age in days at ``as_of``."""
-    last_day = daily.agg(F.max("txn_date").alias("daily_last_date"), F.lit(1).alias("__one"))
-    last_month = monthly.agg(F.max("txn_month").alias("monthly_last_month"), F.lit(1).alias("__one"))
+    last = _one_row(
+        daily.agg(F.max("txn_date").alias("daily_last_date")),
+        monthly.agg(F.max("txn_month").alias("monthly_last_month")),
+    )
     age = F.datediff(as_of, F.col("monthly_last_month"))
     current = F.coalesce(F.col("monthly_last_month") == C.month_start(as_of), F.lit(False))
-    return last_day.join(last_month, "__one").drop("__one").withColumns(
+    return last.withColumns(
         {
             "daily_freshness_days": F.datediff(as_of, F.col("daily_last_date")),
             "monthly_last_label": C.month_label("monthly_last_month"),
