@@ -20,7 +20,13 @@ from cardlake.functions.naming import normalize_columns
 from cardlake.functions.payload import check_payloads, json_path, normalize_payload
 from cardlake.operators import compliance, quality
 from cardlake.operators import upsert as U
-from cardlake.operators.conform import anomaly_kpis, orphan_report
+from cardlake.operators.conform import (
+    anomaly_count,
+    anomaly_kpis,
+    conforming,
+    orphan_report,
+    tag_orphans,
+)
 from cardlake.operators.dedup import dedup_latest
 from cardlake.operators.projection import filter_as_of
 from cardlake.plans import contracts as K
@@ -28,7 +34,7 @@ from cardlake.plans import controls, gold, ingest, measures, ops_measures, runlo
 from cardlake.plans.bronze import ENTITIES, FUNDAMENTAL_MEASURES, pairs_from_object, to_bronze
 from cardlake.session import checkpoint_dir
 from cardlake.sources.readers import spine_over
-from cardlake.streaming.files import stream_latest
+from cardlake.streaming.files import stream_ingest, stream_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -185,7 +191,7 @@ def _bronze(raw: DataFrame, entity: str, **formats: str) -> DataFrame:
 _LINEAGE = "'landing' AS source_file, DATE '2001-07-01' AS ingestion_date, '{0}' AS entity"
 
 
-@query(f"""
+_BRONZE_TXN = """
     SELECT l_orderkey * 10 + l_linenumber AS id, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS date,
            l_orderkey AS client_id, l_suppkey AS card_id,
            CASE WHEN l_linenumber = 7 THEN NULL WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END AS amount,
@@ -193,7 +199,10 @@ _LINEAGE = "'landing' AS source_file, DATE '2001-07-01' AS ingestion_date, '{0}'
            concat('CITY ', l_partkey) AS merchant_city, upper(l_linestatus) AS merchant_state,
            concat(l_partkey % 1000, '.0') AS zip, CAST(l_partkey % 60000 AS INTEGER) AS mcc,
            CAST(CASE WHEN l_linenumber = 3 THEN 0 WHEN l_linenumber IN (4, 5) THEN 5 END AS INTEGER) AS errors,
-           {_LINEAGE.format('TRANSACTION')} FROM lineitem""")
+           {0} FROM lineitem"""
+
+
+@query(_BRONZE_TXN.format(_LINEAGE.format("TRANSACTION")))
 def bronze_transactions(spark, sf):
     return _bronze(L.transactions(spark, sf), "transaction", date=STAMP)
 
@@ -427,6 +436,19 @@ def silver_fx_checks(spark, sf):
     return quality.run_checks(V.silver_fx(spark, sf), silver.fx_checks())
 
 
+@query("""
+    SELECT 'client_id_not_null' AS check, count(*) FILTER (WHERE client_id IS NULL) AS issue_count, 'PASS' AS status FROM users""")
+def silver_user_checks(spark, sf):
+    return quality.run_checks(V.silver_users(spark, sf), silver.user_checks())
+
+
+@query("""
+    SELECT 'mcc_code_not_null' AS check, count(*) FILTER (WHERE mcc_code IS NULL) AS issue_count, 'PASS' AS status FROM mcc
+    UNION ALL SELECT 'mcc_code_is_4_digits', count(*) FILTER (WHERE NOT regexp_full_match(mcc_code, '[0-9]{4}')), 'PASS' FROM mcc""")
+def silver_mcc_checks(spark, sf):
+    return quality.run_checks(V.silver_mcc(spark, sf), silver.mcc_checks())
+
+
 @query("""
     SELECT v.name AS check, CAST(v.n AS BIGINT) AS issue_count, CASE WHEN v.n = 0 THEN 'PASS' ELSE 'FAIL' END AS status
     FROM (SELECT count(*) FILTER (WHERE client_id IS NULL) AS a, count(*) - count(DISTINCT client_id) AS b FROM users) c,
@@ -562,6 +584,29 @@ def foreign_key_report(spark, sf):
     return orphan_report(V.silver_transactions(spark, sf), rules).select("rule_id", "issue_count")
 
 
+@query(f"SELECT {_TXN}, is_chip_used FROM fact")
+def gold_fact_by_orphan_sets(spark, sf):
+    """The fact by way of stored orphan keys, as the load builds it."""
+    silver_rows = V.silver_transactions(spark, sf)
+    rules = gold.fact_rules(*[V.stored_gold(spark, sf, n) for n in ("users", "cards", "mcc")], V.gold_dates(spark))
+    sets = gold.staged_orphan_keys(silver_rows, rules, uuid.uuid4().hex)
+    good = conforming(tag_orphans(gold.deduped_fact(silver_rows, unique_input=True), rules, orphan_sets=sets))
+    return business(good).withColumn("txn_ts", F.date_format("txn_ts", STAMP))
+
+
+@query("SELECT count(*) AS anom_count FROM tagged WHERE failed IS NOT NULL", name="anomaly_count")
+def anomaly_counts(spark, sf):
+    return anomaly_count(V.gold_fact(spark, sf)[1], V.RUN_ID, "fact_transactions")
+
+
+@query("""
+    (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date_value FROM lineitem ORDER BY 1 LIMIT 1)
+    UNION ALL (SELECT DISTINCT CAST(l_shipdate AS DATE) FROM lineitem ORDER BY 1 DESC LIMIT 1)""")
+def calendar_edges(spark, sf):
+    days = gold.calendar(spine_over(V.table(spark, sf, "lineitem"), F.to_date("l_shipdate")), V.RUN_ID, now())
+    return gold.edge_days(days, 1).unionByName(gold.edge_days(days, 1, last=True)).select("date_value")
+
+
 # --- warehouse --------------------------------------------------------------
 
 
@@ -677,6 +722,20 @@ def upsert_counts(spark, sf):
     return U.upsert(_old_fact(df), df, ["transaction_id"], "record_hash")[1]
 
 
+@query(f"""
+    SELECT CAST(date_trunc('month', d) AS DATE) AS month_start, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+           CAST(year(d) * 100 + month(d) AS INTEGER) AS yyyymm, strftime(d, '%Y-%m') AS month_label,
+           CASE WHEN month(d) > 6 THEN 'inserted' WHEN month(d) = 3 THEN 'updated' ELSE 'unchanged' END AS action
+    FROM (SELECT DISTINCT CAST(date_trunc('month', d) AS DATE) AS d FROM {_DATE_RANGE})""")
+def upsert_dim_month(spark, sf):
+    """Months of the second half-year are new; March had another label."""
+    days = gold.calendar(spine_over(V.table(spark, sf, "lineitem"), F.to_date("l_shipdate")), V.RUN_ID, now())
+    old = warehouse.dim_month(days).where("month <= 6").withColumn(
+        "month_label", F.when(F.col("month") == 3, "old").otherwise(F.col("month_label"))
+    )
+    return warehouse.month_rows(days, old).withColumnRenamed(U.ACTION, "action")
+
+
 _AGG_HASH = """upper(sha256(concat_ws('|', CAST(txn_count_total AS VARCHAR), CAST(txn_count_success AS VARCHAR),
     CAST(txn_count_failed AS VARCHAR), CAST(txn_count_unknown AS VARCHAR), CAST(amount_sum_total AS VARCHAR),
     CAST(amount_sum_success AS VARCHAR), CAST(amount_sum_failed AS VARCHAR), CAST(amount_sum_unknown AS VARCHAR),
@@ -715,6 +774,19 @@ def fact_by_month_mcc(spark, sf):
     return _dated(warehouse.aggregate_fact(fact, ["txn_month", "mcc_code"]))
 
 
+@query("""
+    SELECT count(*) FILTER (WHERE year(txn_month) >= 2000) AS rows_inserted,
+           count(*) FILTER (WHERE year(txn_month) < 2000 AND mcc_key % 5 = 0) AS rows_updated,
+           count(*) FILTER (WHERE year(txn_month) < 2000 AND mcc_key % 5 <> 0) AS rows_unchanged, CAST(0 AS BIGINT) AS rows_deleted
+    FROM monthly""")
+def upsert_monthly_counts(spark, sf):
+    """Monthly aggregates merged into those of an earlier state of the fact."""
+    fresh = warehouse.fact_monthly(V.stored_fact(spark, sf), "run-2")
+    stale = F.when(F.col("mcc_key") % 5 == 0, "old").otherwise(F.col("aggregate_hash"))
+    old = fresh.where(F.year("txn_month") < 2000).withColumns({"aggregate_hash": stale, "run_id_last": F.lit("run-1")})
+    return U.upsert(old, fresh, warehouse.MONTHLY_KEYS, "aggregate_hash")[1]
+
+
 @query("SELECT txn_month, count(*) AS group_count FROM monthly GROUP BY txn_month")
 def group_counts(spark, sf):
     return warehouse.group_counts(warehouse.fact_monthly(V.stored_fact(spark, sf)))
@@ -1189,6 +1261,11 @@ def ops_health(spark, sf):
     return ops_measures.health(job_log(spark, sf), dq_log(spark, sf), tie_break="event_id")
 
 
+@query("SELECT count(*) AS jobs_executed, count(*) FILTER (WHERE status = 'FAILED') AS jobs_failed FROM job_log")
+def ops_jobs_raw(spark, sf):
+    return ops_measures.job_counts(job_log(spark, sf), raw=True)
+
+
 @query("""
     SELECT d AS daily_last_date, m AS monthly_last_month, CAST(date_diff('day', d, DATE '2001-07-15') AS INTEGER) AS daily_freshness_days,
            strftime(m, '%Y-%m') AS monthly_last_label, CAST(date_diff('day', m, DATE '2001-07-15') AS INTEGER) AS monthly_freshness_days,
@@ -1222,7 +1299,41 @@ def ops_latest_run(spark, sf):
     return ops_measures.latest_run(_runs(spark, sf)).withColumn("last_success_end_ts", F.date_format("last_success_end_ts", STAMP))
 
 
-# --- streaming --------------------------------------------------------------
+# --- files and streams ------------------------------------------------------
+
+
+def _landing_files(spark, sf) -> str:
+    """The landing text written as CSV files with a header."""
+    home = f"{checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
+    L.transactions(spark, sf).repartition(4).write.option("header", True).csv(f"{home}/in")
+    return home
+
+
+def _loaded(spark, path: str) -> DataFrame:
+    c = ENTITIES["TRANSACTION"].contract
+    df = spark.read.schema(c.schema).parquet(path).select(*c.names)
+    return df.withColumn("date", F.date_format("date", STAMP)).drop("source_file", "ingestion_ts")
+
+
+@query(_BRONZE_TXN.format("DATE '2001-07-01' AS ingestion_date, 'TRANSACTION' AS entity"))
+def ingest_files(spark, sf):
+    """Landing files listed, checked against an empty manifest, scanned in one
+    job and appended to bronze."""
+    home = _landing_files(spark, sf)
+    ingest.ingest(
+        spark, "TRANSACTION", f"{home}/in", f"{home}/bronze", f"{home}/manifest", f"{home}/log", "2001-07-01", uuid.uuid4().hex
+    )
+    return _loaded(spark, f"{home}/bronze")
+
+
+@query(_BRONZE_TXN.format("DATE '2001-07-01' AS ingestion_date, 'TRANSACTION' AS entity"))
+def stream_ingest_files(spark, sf):
+    """The same files through the file stream."""
+    home = _landing_files(spark, sf)
+    stream_ingest(
+        spark, "TRANSACTION", f"{home}/in", f"{home}/bronze", f"{home}/manifest", f"{home}/checkpoint", "2001-07-01"
+    ).awaitTermination()
+    return _loaded(spark, f"{home}/bronze")
 
 
 @query("""

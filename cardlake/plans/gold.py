@@ -61,6 +61,11 @@ def date_summary(dim: DataFrame) -> DataFrame:
     )
 
 
+def edge_days(dim: DataFrame, n: int = 10, last: bool = False) -> DataFrame:
+    """The first or last days of a calendar."""
+    return dim.orderBy(F.desc("date_value") if last else F.asc("date_value")).limit(n)
+
+
 def _dimension(
     silver: DataFrame, source: K.Contract, gold: K.Contract, run_id: str, now, tie_break
 ) -> DataFrame:
@@ -122,11 +127,16 @@ def fact_rules(users: DataFrame, cards: DataFrame, mcc: DataFrame, dates: DataFr
     ]
 
 
-def deduped_fact(silver: DataFrame, tie_break=None) -> DataFrame:
-    """Latest transactions with the chip flag, before conformance."""
+def deduped_fact(silver: DataFrame, tie_break=None, unique_input: bool = False) -> DataFrame:
+    """Latest transactions with the chip flag, before conformance.
+
+    The silver table holds one row per transaction already. ``unique_input``
+    trusts that and leaves the fact unshuffled.
+    """
     c = K.SILVER_TRANSACTIONS
-    Q.require_columns(silver, c.names, c.table)
-    latest = dedup_latest(silver.select(*c.names), c.keys, c.order_by, tie_break)
+    latest = Q.require_columns(silver, c.names, c.table).select(*c.names)
+    if not unique_input:
+        latest = dedup_latest(latest, c.keys, c.order_by, tie_break)
     return latest.withColumns(
         {
             "use_chip": F.trim("use_chip"),
@@ -157,6 +167,20 @@ def fact_transactions(
 # --- loads ------------------------------------------------------------------
 
 
+def staged_orphan_keys(silver: DataFrame, rules: list[Rule], run_id: str) -> dict[str, DataFrame]:
+    """Orphan keys of the dimensions that may be too big to broadcast, stored.
+
+    They are found on distinct keys. With the stored size known, Spark
+    broadcasts a list that is small and shuffles one that is not, so the fact
+    is normally not shuffled for conformance at all.
+    """
+    return {
+        r.rule_id: writers.stage(orphan_keys(silver, r), f"orphans-{r.rule_id}", run_id)[0]
+        for r in rules
+        if not r.bounded
+    }
+
+
 def build_dimension(df: DataFrame, c: K.Contract, path: str, run_id: str, checks=None) -> dict:
     """Replace one gold dimension after its contract holds."""
     checks = Q.contract_checks(c) if checks is None else checks
@@ -183,23 +207,18 @@ def build_fact(
     events_path: str,
     kpi_path: str,
     run_id: str,
+    unique_input: bool = False,
 ) -> dict:
     """Load the gold fact, its anomaly events and their KPIs.
 
-    Users and cards may be too many to broadcast. Their orphan keys are first
-    found on distinct keys and staged; with the file size known, Spark
-    broadcasts that list if it is small and shuffles otherwise, so the fact
-    itself is normally shuffled once, for de-duplication.
+    With ``unique_input`` and few orphans the fact is shuffled only to gather
+    the months it is written by.
     """
     rules = fact_rules(users, cards, mcc, dates)
 
     def tag(df: DataFrame) -> DataFrame:
-        sets = {
-            r.rule_id: writers.stage(orphan_keys(silver, r), f"orphans-{r.rule_id}", run_id)[0]
-            for r in rules
-            if not r.bounded
-        }
-        return tag_orphans(deduped_fact(df), rules, orphan_sets=sets)
+        sets = staged_orphan_keys(silver, rules, run_id)
+        return tag_orphans(deduped_fact(df, unique_input=unique_input), rules, orphan_sets=sets)
 
     return _build_split(
         silver, tag, rules, K.GOLD_FACT, "fact_transactions", "silver_transactions",
