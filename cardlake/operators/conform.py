@@ -7,8 +7,11 @@ the failing rule off the markers, so the fact is scanned and carried once.
 Joins and size. A key set that cannot outgrow a broadcast (codes of four
 digits, days of a calendar) is marked ``bounded`` and broadcast. Users and
 cards grow with the business: they carry no hint, so Spark broadcasts them only
-below its measured size threshold and otherwise runs a shuffled join, whose
-skewed partitions adaptive execution splits. For tables of that size
+below its measured size threshold and otherwise runs a shuffled join. Adaptive
+execution splits a skewed partition of such a join only if both inputs come
+straight from a shuffle; an aggregate in between would hide it. Dimensions
+whose contract already makes the key ``unique`` are therefore joined as they
+are, without another distinct. For tables of that size
 ``orphan_keys`` gives a shorter way: the keys missing in a dimension are found
 on the distinct keys alone, and only they are joined back to the rows.
 """
@@ -29,7 +32,11 @@ FAILED_RULE = "__failed_rule"
 
 @dataclass(frozen=True)
 class Rule:
-    """Every ``fact_key`` must occur as ``dim_key`` in ``dim``."""
+    """Every ``fact_key`` must occur as ``dim_key`` in ``dim``.
+
+    Set ``unique`` only where a contract keeps ``dim_key`` unique: repeated
+    keys would repeat fact rows.
+    """
 
     fact_key: str
     dim: DataFrame
@@ -39,6 +46,7 @@ class Rule:
     severity: str = "HIGH"
     event_keys: tuple[str, ...] = ()
     bounded: bool = False
+    unique: bool = False
 
     @property
     def detail(self) -> str:
@@ -48,7 +56,7 @@ class Rule:
 def _key_set(fact: DataFrame, rule: Rule, name: str) -> DataFrame:
     kind = fact.schema[rule.fact_key].dataType
     keys = rule.dim.select(F.col(rule.dim_key).cast(kind).alias(name)).where(F.col(name).isNotNull())
-    return keys.dropDuplicates()
+    return keys if rule.unique else keys.dropDuplicates()
 
 
 def orphan_keys(fact: DataFrame, rule: Rule) -> DataFrame:

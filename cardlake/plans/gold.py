@@ -89,7 +89,7 @@ def mcc_checks() -> list[Q.Check]:
 def card_rules(users: DataFrame) -> list[Rule]:
     return [
         Rule("client_id", users, "client_id", "GOLD.CARD.CONF.001", "ORPHAN_DIM_USER", "HIGH",
-             ("card_id", "client_id")),
+             ("card_id", "client_id"), unique=True),
     ]
 
 
@@ -112,13 +112,14 @@ def dim_card(
 
 
 def fact_rules(users: DataFrame, cards: DataFrame, mcc: DataFrame, dates: DataFrame) -> list[Rule]:
-    """The chain user, card, mcc, date. Category codes have four characters and
-    a calendar has days: those two key sets are bounded by their domain."""
+    """The chain user, card, mcc, date over gold dimensions, whose contracts keep
+    user and card ids unique. Category codes have four characters and a
+    calendar has days: those two key sets are bounded by their domain."""
     return [
         Rule("client_id", users, "client_id", "GOLD.TXN.CONF.001", "ORPHAN_DIM_USER", "HIGH",
-             ("transaction_id", "client_id")),
+             ("transaction_id", "client_id"), unique=True),
         Rule("card_id", cards, "card_id", "GOLD.TXN.CONF.002", "ORPHAN_DIM_CARD", "HIGH",
-             ("transaction_id", "card_id")),
+             ("transaction_id", "card_id"), unique=True),
         Rule("mcc_code", mcc, "mcc_code", "GOLD.TXN.CONF.003", "ORPHAN_DIM_MCC", "MEDIUM",
              ("transaction_id", "mcc_code"), bounded=True),
         Rule("txn_date", dates.select(F.col("date_value").alias("txn_date")), "txn_date",

@@ -79,14 +79,17 @@ def test_results_without_broadcast(spark, no_broadcast, name):
     assert differences(entry_points.queries()[name](spark, SF), entry_points.oracle_sql()[name], con) == []
 
 
-def test_hot_keys(spark, sf, no_broadcast):
+def test_hot_keys(spark, no_broadcast):
     """One card, user and merchant own a third of all rows; small skew limits
     make the run-time splitting work on test data."""
     settings = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
     }
+    sf = "/root/testdata/sf0.01"
     before = {k: spark.conf.get(k) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
@@ -112,7 +115,9 @@ def test_hot_keys(spark, sf, no_broadcast):
             k for k, r in expected.items()
             if r["client_id"] in known["u"] and r["card_id"] in known["c"] and r["mcc_code"] in known["m"] and r["txn_date"] in known["d"]
         }
-        assert {r[0] for r in good.select("transaction_id").collect()} == kept
+        got = good.select("transaction_id", F.sha2("record_hash", 256).alias("h"), "merchant_city", "zip")
+        assert {r[0] for r in got.collect()} == kept
+        assert "SortMergeJoin(skew=true)" in plan(got)
         assert events.count() == len(expected) - len(kept)
         fact = warehouse.wh_fact(good, V.stored_dims(spark, sf))
         top = measures.top1_share(fact, "merchant_id").first()
