@@ -260,16 +260,26 @@ def _load(spark, name: str, paths, table_path: str, exec_date: str, run_id: str)
     staged, _ = writers.stage(
         raw.select("*", F.col("_metadata.file_path").alias("__file")), f"landing-{name}", run_id
     )
-    bad = staged.where(broken).select("__file").distinct()
-    good = staged.join(bad, "__file", "left_anti").drop(readers.CORRUPT)
+    good, bad = split_bad_files(staged, broken)
+    good = good.drop(readers.CORRUPT)
     if name == "MCC":
         good = pairs_from_object(good, "value", "mcc", "mcc_description")
     bronze = to_bronze(good, name, exec_date, source_file=F.col("__file"))
     writers.append(bronze, table_path, ("ingestion_date",))
-    broken_paths = {_local(unquote(r["__file"])) for r in bad.collect()}
+    broken_paths = {_local(unquote(uri)) for uri in bad}
     return {p for p in paths if _local(p) in broken_paths}
 
 
+def split_bad_files(rows: DataFrame, broken: Column) -> tuple[DataFrame, list[str]]:
+    """(rows of files without a broken row, names of the other files).
+
+    A batch has a bounded number of files, so the names are a literal filter;
+    a join would shuffle every row by its file, and files differ much in size.
+    """
+    bad = [r["__file"] for r in rows.where(broken).select("__file").distinct().collect()]
+    return (rows.where(~F.col("__file").isin(bad)) if bad else rows), bad
+
+
 def _local(uri: str) -> str:
     """Path without scheme, however many slashes follow the scheme."""
     return "/" + re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:", "", uri).lstrip("/")

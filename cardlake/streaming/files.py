@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cardlake.operators.dedup import dedup_latest
 from cardlake.plans.bronze import ENTITIES, to_bronze
-from cardlake.plans.ingest import manifest_rows, update_manifest
+from cardlake.plans.ingest import manifest_rows, split_bad_files, update_manifest
 from cardlake.plans.contracts import INGESTION_MANIFEST
 from cardlake.sources import writers
 from cardlake.sources.readers import CORRUPT, text_schema
@@ -66,8 +66,8 @@ def stream_ingest(
         session = batch.sparkSession
         tag = f"{name}-stream-{batch_id}"
         rows, _ = writers.stage(batch, "landing", tag)
-        bad = rows.where(F.col(CORRUPT).isNotNull()).select("__file").distinct()
-        good = rows.join(bad, "__file", "left_anti").drop(CORRUPT, "__size", "__modified")
+        good, _ = split_bad_files(rows, F.col(CORRUPT).isNotNull())
+        good = good.drop(CORRUPT, "__size", "__modified")
         bronze = to_bronze(good, name, exec_date, source_file=F.col("__file"))
         writers.overwrite_partitions(
             bronze.withColumn(BATCH, F.lit(batch_id)), table_path, ["ingestion_date", BATCH], cluster=False
