@@ -1305,7 +1305,7 @@ def ops_latest_run(spark, sf):
 def _landing_files(spark, sf) -> str:
     """The landing text written as CSV files with a header."""
     home = f"{checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
-    L.transactions(spark, sf).repartition(4).write.option("header", True).csv(f"{home}/in")
+    L.transactions(spark, sf).write.option("header", True).option("maxRecordsPerFile", 1_000_000).csv(f"{home}/in")
     return home
 
 

@@ -50,15 +50,15 @@ def _amount(c: Column) -> Column:
 
 
 def base_measures() -> dict[str, Column]:
+    """Additive parts: each can be merged again by ``_MERGE``."""
     ok, chip, amount = F.col("is_success"), F.col("is_chip_used"), F.col("amount")
-    zero = F.lit(0).cast("decimal(18,2)")
     return {
-        "amount_abs_sum_total": _amount(F.abs(amount)),
-        "amount_max": F.coalesce(F.max(amount), zero).cast("decimal(18,2)"),
-        "amount_min": F.coalesce(F.min(amount), zero).cast("decimal(18,2)"),
-        "amount_sum_failed": _amount(F.when(~ok, amount)),
-        "amount_sum_success": _amount(F.when(ok, amount)),
-        "amount_sum_total": _amount(amount),
+        "amount_abs_sum_total": F.sum(F.abs(amount)),
+        "amount_max": F.max(amount),
+        "amount_min": F.min(amount),
+        "amount_sum_failed": F.sum(F.when(~ok, amount)),
+        "amount_sum_success": F.sum(F.when(ok, amount)),
+        "amount_sum_total": F.sum(amount),
         "txn_count_failed": F.count_if(~ok),
         "txn_count_success": F.count_if(ok),
         "txn_count_total": F.count(F.lit(1)),
@@ -68,15 +68,51 @@ def base_measures() -> dict[str, Column]:
     }
 
 
-def distinct_measures(approximate: bool = False) -> dict[str, Column]:
-    """Active cards, users and merchants. Exact counts expand each row once per
-    counted column before the map-side combine; ``approximate`` avoids that."""
-    count = F.approx_count_distinct if approximate else F.countDistinct
-    return {
-        "card_count_distinct": count("card_key"),
-        "user_count_distinct": count("user_key"),
-        "merchant_count_distinct": count("merchant_id"),
+_MERGE = {"amount_max": F.max, "amount_min": F.min, "last_txn_date": F.max}
+_DISTINCT = {
+    "card_count_distinct": "card_key",
+    "user_count_distinct": "user_key",
+    "merchant_count_distinct": "merchant_id",
+}
+
+
+def _fact_keys(fact: DataFrame, dims: dict[str, DataFrame], by: Sequence[str]) -> list[str]:
+    """Columns of the fact that determine ``by``."""
+    return list(dict.fromkeys(b if b in fact.columns else DIM_KEYS[dim_of(b, dims)] for b in by))
+
+
+def _level(by: Sequence[str], mode: str, name: str = "level") -> list[Column]:
+    return [F.grouping_id().alias(name)] if by and mode != "group" else []
+
+
+def _totals(fact: DataFrame, dims: dict[str, DataFrame], by: list[str], mode: str, extra) -> DataFrame:
+    """Base measures: summed per surrogate key, then joined, then merged.
+
+    The join and the subtotals see one row per key and not per transaction.
+    """
+    base = base_measures()
+    partial = fact.groupBy(*_fact_keys(fact, dims, by)).agg(*[c.alias(n) for n, c in base.items()])
+    merged = [_MERGE.get(n, F.sum)(n).alias(n) for n in base]
+    totals = _grouped(star(partial, dims, by), by, mode).agg(*merged, *_level(by, mode), *extra)
+    money = {
+        n: F.coalesce(n, F.lit(0)).cast("decimal(18,2)") for n in base if n.startswith("amount_")
     }
+    counts = {n: F.coalesce(n, F.lit(0)) for n in base if n.startswith("txn_count_")}
+    return totals.withColumns({**money, **counts})
+
+
+def _distinct_count(
+    fact: DataFrame, dims: dict[str, DataFrame], by: list[str], mode: str, name: str, approximate: bool
+) -> DataFrame:
+    """Distinct members per group, counted on the distinct (key, member) pairs
+    so that neither the join nor a subtotal carries transactions."""
+    member = _DISTINCT[name]
+    pairs = fact.select(*dict.fromkeys([*_fact_keys(fact, dims, by), member]))
+    pairs = pairs if approximate else pairs.where(F.col(member).isNotNull()).distinct()
+    count = F.approx_count_distinct if approximate else F.countDistinct
+    return _grouped(star(pairs, dims, by), by, mode).agg(
+        count(member).alias(name), *_level(by, mode, f"__{name}_level")
+    )
 
 
 def ratio_measures() -> dict[str, Column]:
@@ -105,12 +141,19 @@ def business_measures(
     by = list(by)
     card_by = [b for b in by if b not in fact.columns and dim_of(b, dims) == "dim_card"]
     flags = [F.grouping(b).alias(f"__g_{b}") for b in card_by] if mode != "group" else []
-    level = [F.grouping_id().alias("level")] if by and mode != "group" else []
-    measured = _grouped(star(fact, dims, by), by, mode).agg(
-        *[c.alias(n) for n, c in {**base_measures(), **distinct_measures(approximate)}.items()],
-        *level,
-        *flags,
-    )
+    measured = _totals(fact, dims, by, mode, flags)
+    for name in _DISTINCT:
+        counted = _distinct_count(fact, dims, by, mode, name, approximate)
+        if not by:
+            measured = measured.withColumn(name, counted.scalar())
+            continue
+        counted = counted.withColumnsRenamed({b: f"__{name}_{b}" for b in by})
+        match = [F.col(b).eqNullSafe(F.col(f"__{name}_{b}")) for b in by]
+        if mode != "group":
+            match.append(F.col("level") == F.col(f"__{name}_level"))
+        measured = measured.join(counted, C.all_of(match), "left").withColumn(
+            name, F.coalesce(name, F.lit(0))
+        )
     flagged = dims["dim_card"].where(F.col("card_on_dark_web"))
     if card_by:
         inner = [F.grouping(b).alias(f"__d_g_{b}") for b in card_by] if flags else []
@@ -124,8 +167,10 @@ def business_measures(
         dark_count = F.coalesce("darkweb_cards", F.lit(0))
     else:
         dark_count = flagged.agg(F.count(F.lit(1))).scalar()
-    names = [*by, *(["level"] if level else []), *base_measures(), *distinct_measures()]
-    measured = measured.select(*names, dark_count.alias("darkweb_cards"))
+    level = ["level"] if by and mode != "group" else []
+    measured = measured.select(
+        *by, *level, *base_measures(), *_DISTINCT, dark_count.alias("darkweb_cards")
+    )
     return measured.withColumns(
         {
             **ratio_measures(),
