@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cardlake.catalog import landing as L
 from cardlake.catalog import views as V
-from cardlake.catalog.oracle import AGGREGATE, bucketed_number, money_sum, record_hash, with_views
+from cardlake.catalog.oracle import AGGREGATE, bucketed_number, money_sum, with_views
 from cardlake.functions import columns as C
 from cardlake.functions import hashing as H
 from cardlake.functions.naming import normalize_columns
