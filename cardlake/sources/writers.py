@@ -82,8 +82,8 @@ def create_if_missing(
 def rebuild_table(df: DataFrame, table: str) -> None:
     """Replace all rows of a catalog table in one job, keeping its definition.
 
-    One overwrite instead of truncate and append: readers never see an empty
-    table, and a failed job leaves the old rows.
+    One overwrite job instead of truncate and append. ``df`` must not read from
+    the table; after a failure the job is simply run again.
     """
     df.select(*df.sparkSession.table(table).columns).write.option(
         "partitionOverwriteMode", "static"
