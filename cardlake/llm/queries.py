@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+from cardlake.llm import quality
+from cardlake.llm.bpe_codec import op5_bpe_codec
+from cardlake.llm.quality import op6_quality_rules
+from cardlake.llm.simhash import op10_simhash
 from cardlake.llm.token_counts import op1_token_counts
+from cardlake.llm.token_files import op9_token_files
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op5_bpe_codec": op5_bpe_codec,
+    "op6_quality_rules": op6_quality_rules,
+    "op9_token_files": op9_token_files,
+    "op10_simhash": op10_simhash,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_quality_rules": quality.ORACLE,
+}
