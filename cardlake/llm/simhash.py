@@ -163,17 +163,42 @@ def links(fps: DataFrame, bits: int = BITS, block: int = BLOCK) -> DataFrame:
     return dealt.mapInArrow(find, "a long, b long")
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
-    """doc_id, fingerprint (16 hexadecimal digits) and component_id of each row."""
-    docs = stage(with_fingerprint(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).select("doc_id", "fp"), "fingerprints")
+def _with_components(docs: DataFrame, bits: int) -> DataFrame:
+    """Add root (a fingerprint of the component) and component_id to a stored table of doc_id, fp and more."""
     firsts = stage(docs.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     linked = components(links(firsts, bits)).withColumnRenamed("node", "fp")
     linked = linked.union(linked.select("root", "root").distinct())
     member = linked.join(firsts, "fp")
     lowest = member.groupBy("root").agg(F.min("first").alias("component_id"))
-    component = member.join(lowest, "root").select("fp", "component_id")
-    of_value = firsts.join(component, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
-    return docs.join(of_value, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    component = member.join(lowest, "root").select("fp", "root", "component_id")
+    alone = F.col("root").isNull()
+    of_value = firsts.join(component, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.when(alone, F.col("first")).otherwise(F.col("component_id")).alias("component_id"))
+    return docs.join(of_value, "fp")
+
+
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
+    """doc_id, fingerprint (16 hexadecimal digits) and component_id of each row."""
+    named = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    docs = stage(with_fingerprint(named).select("doc_id", "fp"), "fingerprints")
+    found = _with_components(docs, bits)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
+    """The rows of the smallest doc_id of each component, whole.
+
+    Of rows with that id, one stays: the first by a hash of the row.
+    """
+    row = F.xxhash64(*[F.col(c) for c in df.columns])
+    named = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), row.alias("row"))
+    docs = stage(with_fingerprint(named).select("doc_id", "fp", "row"), "fingerprints")
+    kept = _with_components(docs, bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    one = kept.groupBy("root", F.col("component_id").alias("_id")).agg(F.min("row").alias("_row"))
+    rows = df.withColumn("_hash", row)
+    same = rows.join(one, rows[doc_id].eqNullSafe(one._id) & (rows["_hash"] == one._row), "left_semi").drop("_hash")
+    twice = docs.groupBy("doc_id", "row").count().where("count > 1").limit(1).count()
+    return same.dropDuplicates() if twice else same
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
