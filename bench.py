@@ -43,7 +43,7 @@ def prepare(spark, work: str) -> dict:
     bronze = spark.read.parquet(f"{work}/bronze")
     silver.silver_transactions(bronze, tie_break=V.TXN_TIES).write.parquet(f"{work}/silver")
     fact, dims = V.stored_fact(spark, SF_DIR), V.stored_dims(spark, SF_DIR)
-    gold_dims = [V.stored_gold(spark, SF_DIR, n) for n in ("users", "cards", "mcc")]
+    gold_dims = V.fact_dims(spark, SF_DIR)
     dates = V._stored(spark, SF_DIR, "gold_dates", lambda: V.gold_dates(spark))
     return {"bronze": bronze, "silver": spark.read.parquet(f"{work}/silver"), "fact": fact, "dims": dims,
             "gold_dims": [*gold_dims, dates], "log": Q.job_log(spark, SF_DIR), "dq": Q.dq_log(spark, SF_DIR),

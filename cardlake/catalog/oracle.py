@@ -94,7 +94,7 @@ VIEWS = {
                CAST(c_acctbal AS DECIMAL(18,2)) AS total_debt,
                CAST(c_custkey % 550 + 300 AS INTEGER) AS credit_score,
                CAST(c_custkey % 5 + 1 AS INTEGER) AS num_credit_cards
-        FROM customer WHERE c_custkey % 50 <> 0""",
+        FROM customer""",
     "users": f"SELECT *, {record_hash('silver_users')} AS record_hash FROM users_plain",
     "cards_plain": """
         SELECT s_suppkey AS card_id, CASE WHEN s_suppkey % 10 <> 3 THEN s_suppkey END AS client_id,
@@ -113,11 +113,13 @@ VIEWS = {
                s_suppkey % 20 = 1 AS card_on_dark_web
         FROM supplier""",
     "silver_card": f"SELECT *, {record_hash('silver_cards')} AS record_hash FROM cards_plain",
-    "cards": "SELECT * FROM silver_card WHERE client_id IS NULL OR client_id IN (SELECT client_id FROM users)",
+    "known_users": "SELECT * FROM users WHERE client_id % 50 <> 0",
+    "known_mcc": "SELECT * FROM mcc WHERE CAST(mcc_code AS INTEGER) % 13 <> 0",
+    "cards": "SELECT * FROM silver_card WHERE client_id IS NULL OR client_id IN (SELECT client_id FROM known_users)",
     "mcc_plain": """
         SELECT DISTINCT lpad(CAST(p_size AS VARCHAR), 4, '0') AS mcc_code,
                concat('SIZE ', p_size) AS mcc_description
-        FROM part WHERE p_size % 13 <> 0""",
+        FROM part""",
     "mcc": f"SELECT *, {record_hash('silver_mcc')} AS record_hash FROM mcc_plain",
     "fx_plain": """
         SELECT currency, base_currency, currency_name, fx_date,
@@ -135,9 +137,9 @@ VIEWS = {
         SELECT CAST(d AS DATE) AS date_value
         FROM generate_series(TIMESTAMP '{CALENDAR[0]}', TIMESTAMP '{CALENDAR[1]}', INTERVAL 1 DAY) AS g(d)""",
     "tagged": """
-        SELECT *, CASE WHEN client_id IS NULL OR client_id NOT IN (SELECT client_id FROM users) THEN 1
+        SELECT *, CASE WHEN client_id IS NULL OR client_id NOT IN (SELECT client_id FROM known_users) THEN 1
                        WHEN card_id IS NULL OR card_id NOT IN (SELECT card_id FROM cards) THEN 2
-                       WHEN mcc_code IS NULL OR mcc_code NOT IN (SELECT mcc_code FROM mcc) THEN 3
+                       WHEN mcc_code IS NULL OR mcc_code NOT IN (SELECT mcc_code FROM known_mcc) THEN 3
                        WHEN txn_date IS NULL OR txn_date NOT IN (SELECT date_value FROM days) THEN 4 END AS failed
         FROM silver_txn""",
     "fact": "SELECT *, contains(use_chip, 'CHIP') AS is_chip_used FROM tagged WHERE failed IS NULL",

@@ -544,7 +544,7 @@ def gold_dim_card(spark, sf):
     SELECT 'ORPHAN_DIM_USER' AS anom_type, 'HIGH' AS severity, 'GOLD.CARD.CONF.001' AS rule_id,
            sha256(concat_ws('||', card_id, client_id)) AS key_hash,
            concat('{"card_id":', card_id, ',"client_id":', client_id, '}') AS natural_keys
-    FROM silver_card WHERE client_id IS NOT NULL AND client_id NOT IN (SELECT client_id FROM users)""")
+    FROM silver_card WHERE client_id IS NOT NULL AND client_id NOT IN (SELECT client_id FROM known_users)""")
 def card_anomaly_events(spark, sf):
     return V.gold_cards(spark, sf)[1].select("anom_type", "severity", "rule_id", "key_hash", "natural_keys")
 
@@ -573,13 +573,13 @@ def anomaly_kpi(spark, sf):
 
 
 @query("""
-    SELECT 'GOLD.TXN.CONF.001' AS rule_id, count(*) AS issue_count FROM silver_txn WHERE client_id NOT IN (SELECT client_id FROM users)
+    SELECT 'GOLD.TXN.CONF.001' AS rule_id, count(*) AS issue_count FROM silver_txn WHERE client_id NOT IN (SELECT client_id FROM known_users)
     UNION ALL SELECT 'GOLD.TXN.CONF.002', count(*) FROM silver_txn WHERE card_id NOT IN (SELECT card_id FROM cards)
-    UNION ALL SELECT 'GOLD.TXN.CONF.003', count(*) FROM silver_txn WHERE mcc_code NOT IN (SELECT mcc_code FROM mcc)
+    UNION ALL SELECT 'GOLD.TXN.CONF.003', count(*) FROM silver_txn WHERE mcc_code NOT IN (SELECT mcc_code FROM known_mcc)
     UNION ALL SELECT 'GOLD.TXN.CONF.004', count(*) FROM silver_txn WHERE txn_date NOT IN (SELECT date_value FROM days)""")
 def foreign_key_report(spark, sf):
     rules = gold.fact_rules(
-        *[V.stored_gold(spark, sf, n) for n in ("users", "cards", "mcc")], V.gold_dates(spark)
+        *V.fact_dims(spark, sf), V.gold_dates(spark)
     )
     return orphan_report(V.silver_transactions(spark, sf), rules).select("rule_id", "issue_count")
 
@@ -588,7 +588,7 @@ def foreign_key_report(spark, sf):
 def gold_fact_by_orphan_sets(spark, sf):
     """The fact by way of stored orphan keys, as the load builds it."""
     silver_rows = V.silver_transactions(spark, sf)
-    rules = gold.fact_rules(*[V.stored_gold(spark, sf, n) for n in ("users", "cards", "mcc")], V.gold_dates(spark))
+    rules = gold.fact_rules(*V.fact_dims(spark, sf), V.gold_dates(spark))
     sets = gold.staged_orphan_keys(silver_rows, rules, uuid.uuid4().hex)
     good = conforming(tag_orphans(gold.deduped_fact(silver_rows, unique_input=True), rules, orphan_sets=sets))
     return business(good).withColumn("txn_ts", F.date_format("txn_ts", STAMP))
@@ -1354,3 +1354,142 @@ def stream_latest_transactions(spark, sf):
         f"{home}/checkpoint", uuid.uuid4().hex, buckets=8,
     ).awaitTermination()
     return spark.read.parquet(f"{home}/table").select(*keyed.columns)
+
+
+# --- loads with faulty, moved and late rows ----------------------------------
+
+
+@query(_BRONZE_TXN.format("DATE '2001-07-01' AS ingestion_date, 'TRANSACTION' AS entity"))
+def ingest_mixed_headers(spark, sf):
+    """Files of two column orders in one folder; columns go by each file's header."""
+    home = f"{checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
+    raw = L.transactions(spark, sf)
+    even = F.col(raw.columns[0]).cast("long") % 2 == 0
+    raw.where(even).write.option("header", True).csv(f"{home}/in")
+    raw.where(~even).select(*reversed(raw.columns)).write.mode("append").option("header", True).csv(f"{home}/in")
+    ingest.ingest(
+        spark, "TRANSACTION", f"{home}/in", f"{home}/bronze", f"{home}/manifest", f"{home}/log", "2001-07-01", uuid.uuid4().hex
+    )
+    return _loaded(spark, f"{home}/bronze")
+
+
+@query("""
+    SELECT 'loaded' AS kind, count(*) FILTER (WHERE o_orderkey % 11 <> 0) AS row_count FROM orders
+    UNION ALL SELECT 'rejected', count(*) FILTER (WHERE o_orderkey % 11 = 0) FROM orders""")
+def ingest_rejects(spark, sf):
+    """Every eleventh line has a field too many: it is kept apart, the others of its file load."""
+    home = f"{checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
+    raw = L.fx(spark, sf)
+    key = V.table(spark, sf, "orders").schema["o_orderkey"].name
+    lines = V.table(spark, sf, "orders").select(
+        F.concat_ws(",", F.format_string("c%02d", F.col("o_custkey") % 25), F.lit("EUR"), F.lit("C"), F.col("o_totalprice").cast("string"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd"), F.when(F.col(key) % 11 == 0, "more")).alias(",".join(raw.columns)))
+    lines.write.option("header", True).option("quote", "").option("sep", "|").csv(f"{home}/in")
+    ingest.ingest(spark, "FX", f"{home}/in", f"{home}/bronze", f"{home}/manifest", f"{home}/log", "2001-07-01", uuid.uuid4().hex)
+    counts = [
+        spark.read.parquet(p).agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("row_count"))
+        for kind, p in (("loaded", f"{home}/bronze"), ("rejected", ingest.rejects_path(f"{home}/bronze")))
+    ]
+    return counts[0].unionByName(counts[1])
+
+
+@query(_BRONZE_TXN.format("DATE '2001-07-01' AS ingestion_date, 'TRANSACTION' AS entity"))
+def stream_two_sources(spark, sf):
+    """Two folders streamed into one table, one after the other."""
+    home = f"{checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
+    raw = L.transactions(spark, sf)
+    odd = F.col(raw.columns[0]).cast("long") % 2
+    for i in (0, 1):
+        raw.where(odd == i).write.option("header", True).csv(f"{home}/in{i}")
+        stream_ingest(
+            spark, "TRANSACTION", f"{home}/in{i}", f"{home}/bronze", f"{home}/manifest", f"{home}/checkpoint{i}", "2001-07-01"
+        ).awaitTermination()
+    return _loaded(spark, f"{home}/bronze")
+
+
+@query("""
+    SELECT id AS transaction_id, CAST(date_trunc('month', date + INTERVAL 31 DAY) AS DATE) AS txn_month, CAST(amount AS DECIMAL(18,2)) AS amount
+    FROM txn_raw WHERE id % 10 = 1
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY merchant_id DESC, card_id DESC, abs(amount) DESC) = 1
+    UNION ALL SELECT transaction_id, txn_month, amount FROM silver_txn WHERE transaction_id % 10 <> 1""")
+def silver_incremental(spark, sf):
+    """A later load moves the first lines to another month; what it has of the
+    second lines is older than the stored rows and changes nothing."""
+    path = f"{checkpoint_dir(spark)}/silver-{uuid.uuid4().hex}"
+    bronze, line = V.bronze_transactions(spark, sf), F.col("id") % 10
+    silver.build_silver(bronze, "TRANSACTION", path, uuid.uuid4().hex, tie_break=V.TXN_TIES)
+    moved = bronze.where(line == 1).withColumns({
+        "date": F.col("date") + F.expr("interval 31 days"), "ingestion_ts": V._ts(V.LOAD_TS)})
+    stale = bronze.where(line == 2).withColumns({"amount": F.lit(0.0), "ingestion_ts": V._ts("1970-01-01 00:00:00")})
+    late = moved.unionByName(stale)
+    silver.build_silver(late, "TRANSACTION", path, uuid.uuid4().hex, incremental=True, tie_break=V.TXN_TIES)
+    return spark.read.parquet(path).select("transaction_id", "txn_month", "amount")
+
+
+_SHIFTED = """(SELECT txn_month, transaction_id FROM wh_fact_known UNION ALL
+    SELECT CAST(txn_month + INTERVAL 1 MONTH AS DATE), transaction_id FROM wh_fact_known WHERE transaction_id LIKE '%5')"""
+
+
+def _fact_with_moved_copies(spark, sf):
+    fact = V.stored_fact(spark, sf).select("txn_month", "transaction_id")
+    copies = fact.where(F.col("transaction_id").endswith("5")).withColumn("txn_month", F.add_months("txn_month", 1))
+    return fact.unionByName(copies)
+
+
+@query(f"""
+    SELECT 'duplicates_transaction_id' AS check_code, CAST(NULL AS DATE) AS txn_month, {_STATUS}
+    FROM (SELECT count(*) AS n FROM (SELECT transaction_id FROM {_SHIFTED} GROUP BY transaction_id HAVING count(*) > 1))""")
+def ctl_duplicates_all(spark, sf):
+    """Ids that stand once in each of two months."""
+    return controls.ctl_duplicates(_fact_with_moved_copies(spark, sf), _run(), per_month=False).select(*_RESULT)
+
+
+@query(f"SELECT DISTINCT txn_month, 'BLOCKED' AS status, 'duplicates_transaction_id' AS reason FROM {_SHIFTED}")
+def publish_blocked(spark, sf):
+    fact = _fact_with_moved_copies(spark, sf)
+    found = controls.ctl_duplicates(fact, _run()).unionByName(controls.ctl_duplicates(fact, _run(), per_month=False))
+    return controls.publish_decision(found, now()).select("txn_month", "status", "reason")
+
+
+@query("""
+    SELECT txn_month, 'duplicates_transaction_id' AS metric_name, CAST(n AS BIGINT) AS metric_value, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+    FROM (SELECT txn_month, count(*) FILTER (WHERE c > 1) AS n FROM (
+        SELECT CAST(date_trunc('month', date) AS DATE) AS txn_month, id, count(*) AS c FROM txn_raw GROUP BY ALL) GROUP BY txn_month)""")
+def ctrl_duplicates(spark, sf):
+    raw = V.bronze_transactions(spark, sf).select(
+        F.col("id").alias("transaction_id"), C.month_start(F.to_date("date")).alias("txn_month"))
+    shaped = controls.ctrl_rows(controls.ctl_duplicates(raw, _run()), K.CTRL_DUPLICATES)
+    return shaped.select("txn_month", "metric_name", F.col("metric_value").cast("bigint").alias("metric_value"), "status")
+
+
+@query("""
+    SELECT v.d AS dimension, CAST(v.n AS BIGINT) AS row_count
+    FROM (SELECT count(*) FILTER (WHERE client_id NOT IN (SELECT client_id FROM known_users)) AS u,
+                 count(*) FILTER (WHERE card_id NOT IN (SELECT card_id FROM cards)) AS c,
+                 count(*) FILTER (WHERE mcc_code NOT IN (SELECT mcc_code FROM known_mcc)) AS m,
+                 count(*) FILTER (WHERE txn_date NOT IN (SELECT date_value FROM days)) AS t FROM silver_txn) x,
+         LATERAL (VALUES ('dim_user', u), ('dim_card', c), ('dim_mcc', m), ('dim_date', t)) v(d, n)""")
+def rows_without_key(spark, sf):
+    """Rows that a warehouse load would leave out, by the dimension that lacks their key."""
+    dims = dict(V.stored_dims(spark, sf))
+    dims["dim_user"] = dims["dim_user"].where(F.col("client_id").cast("long") % 50 != 0)
+    dims["dim_mcc"] = dims["dim_mcc"].where(F.col("mcc_code") % 13 != 0)
+    return warehouse.rows_without_key(V.silver_transactions(spark, sf), dims)
+
+
+@query("""
+    SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'contract_version,layer,run_id,entity_code,load_mode,status,metrics.row_out,table.target_table,timing.started_utc,timing.ended_utc,timing.duration_ms'
+           ELSE '' END AS missing_fields, CASE WHEN event_id % 2 = 0 THEN 'FAIL' ELSE 'PASS' END AS payload_status FROM events""")
+def payload_required_fields(spark, sf):
+    """The required fields: odd payloads are brought to the common shape, even ones left as they come."""
+    flat = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("run_id"), F.col("event_type").alias("entity_code"), F.lit("FULL").alias("load_mode"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("row_out"), F.lit("t").alias("target_table")))
+    payload = F.when(F.col("event_id") % 2 == 0, F.col("props")).otherwise(normalize_payload(flat, now()))
+    return check_payloads(V.table(spark, sf, "events").select("event_id", payload.alias("payload_json"))).drop("payload_json")
+
+
+@query("SELECT s_suppkey, concat('tk', s_suppkey) AS ticker FROM supplier")
+def ticker_paths(spark, sf):
+    path = F.concat(F.lit("landing/stocks/tk"), F.col("s_suppkey").cast("string"), F.lit(".us.txt"))
+    return V.table(spark, sf, "supplier").select("s_suppkey", C.ticker_from_path(path).alias("ticker"))

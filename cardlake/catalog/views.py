@@ -8,7 +8,8 @@ tables, so the work grows with them.
 
 from __future__ import annotations
 
-import xxhash
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,7 +81,7 @@ def bronze_users(spark: SparkSession, sf: str) -> DataFrame:
     def spread(low: int, n: int) -> Column:
         return (key % n + low).cast("int")
 
-    return table(spark, sf, "customer").where(key % 50 != 0).select(
+    return table(spark, sf, "customer").select(
         key.alias("id"),
         spread(18, 70).alias("current_age"),
         spread(60, 10).alias("retirement_age"),
@@ -124,7 +125,7 @@ def bronze_cards(spark: SparkSession, sf: str) -> DataFrame:
 def bronze_mcc(spark: SparkSession, sf: str) -> DataFrame:
     """A category per part size, once per part: many duplicates, one code each."""
     size = F.col("p_size")
-    return table(spark, sf, "part").where(size % 13 != 0).select(
+    return table(spark, sf, "part").select(
         size.alias("mcc"),
         F.concat(F.lit(" SIZE "), size.cast("string")).alias("mcc_description"),
         *[c.alias(n) for n, c in _technical("MCC", _ts(LOAD_TS)).items()],
@@ -179,7 +180,22 @@ def gold_mcc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_cards(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return gold.dim_card(silver_cards(spark, sf), gold_users(spark, sf), RUN_ID, _ts(LOAD_TS))
+    return gold.dim_card(silver_cards(spark, sf), known_users(gold_users(spark, sf)), RUN_ID, _ts(LOAD_TS))
+
+
+# Conformance sees dimensions with gaps, so that facts and cards have orphans.
+def known_users(users: DataFrame) -> DataFrame:
+    return users.where(F.col("client_id") % 50 != 0)
+
+
+def known_mcc(mcc: DataFrame) -> DataFrame:
+    return mcc.where(F.col("mcc_code").cast("int") % 13 != 0)
+
+
+def fact_dims(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """Users, cards and categories that the fact must conform to."""
+    users, cards, mcc = (stored_gold(spark, sf, n) for n in ("users", "cards", "mcc"))
+    return [known_users(users), cards, known_mcc(mcc)]
 
 
 def gold_dates(spark: SparkSession) -> DataFrame:
@@ -191,9 +207,7 @@ def gold_fact(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     transaction, so freshness differs by month."""
     return gold.fact_transactions(
         silver_transactions(spark, sf),
-        stored_gold(spark, sf, "users"),
-        stored_gold(spark, sf, "cards"),
-        stored_gold(spark, sf, "mcc"),
+        *fact_dims(spark, sf),
         gold_dates(spark),
         RUN_ID,
         F.col("txn_ts"),
@@ -216,7 +230,7 @@ _STORED: dict[tuple[str, str, str], str] = {}
 def _stored(spark: SparkSession, sf: str, name: str, make, partition_by=()) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _STORED:
-        path = f"{checkpoint_dir(spark)}/views/{key[0]}/{xxhash.xxh64_hexdigest(sf)}/{name}"
+        path = f"{checkpoint_dir(spark)}/views/{key[0]}/{hashlib.md5(sf.encode()).hexdigest()}/{name}"
         writers.overwrite(make(), path, partition_by)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])

@@ -59,9 +59,12 @@ def ticker_from_path(c: Column | str) -> Column:
 
 
 def to_int(c: Column | str, dtype: str = "int") -> Column:
-    """Whole number from text; ``5812.0`` counts as 5812, other text as NULL."""
+    """Whole number from text; ``5812.0`` counts as 5812, other text as NULL.
+
+    By way of a decimal, which keeps all digits of a long id.
+    """
     c = col(c)
-    return F.coalesce(c.try_cast(dtype), c.try_cast("double").try_cast(dtype))
+    return F.coalesce(c.try_cast(dtype), c.try_cast("decimal(38,10)").try_cast(dtype))
 
 
 def to_long(c: Column | str) -> Column:

@@ -4,10 +4,10 @@ Rules form a chain: a row is reported under the first rule it fails. One pass
 left-joins the de-duplicated key set of every dimension with a marker and reads
 the failing rule off the markers, so the fact is scanned and carried once.
 
-Joins and size. A key set that cannot outgrow a broadcast (codes of four
-digits, days of a calendar) is marked ``bounded`` and broadcast. Users and
-cards grow with the business: they carry no hint, so Spark broadcasts them only
-below its measured size threshold and otherwise runs a shuffled join. Adaptive
+Joins and size. No join carries a hint: Spark broadcasts a key set only below
+its measured size threshold and otherwise runs a shuffled join. Key sets that a
+domain bounds (codes of four digits, days of a calendar) are marked ``bounded``:
+for them a search for orphan keys ahead of the join gains nothing. Adaptive
 execution splits a skewed partition of such a join only if both inputs come
 straight from a shuffle; an aggregate in between would hide it. Dimensions
 whose contract already makes the key ``unique`` are therefore joined as they
@@ -92,8 +92,6 @@ def tag_orphans(
         else:
             side = orphans.select(F.col(rule.fact_key).alias(known)).withColumn(mark, F.lit(True))
             failed = F.col(mark).isNotNull() | key.isNull()
-        if rule.bounded:
-            side = F.broadcast(side)
         tagged = tagged.join(side, key == F.col(known), "left")
         if keep_null_key:
             failed = failed & key.isNotNull()

@@ -325,6 +325,10 @@ def add_ingest_columns(
     )
 
 
+#: Partition column of stored bronze tables: the load that wrote a row. No business column.
+BATCH = "ingestion_batch"
+
+
 def to_bronze(
     raw: DataFrame,
     entity: str,

@@ -88,7 +88,7 @@ class Contract:
     unique: tuple[tuple[str, ...], ...] = ()
     partition_by: tuple[str, ...] = ()
     order_by: str | None = None
-    max_partitions: int = 300
+    max_partitions: int | None = 300
     status: str = "APPROVED"
     source: str = ""
 

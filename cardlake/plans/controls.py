@@ -16,16 +16,13 @@ from cardlake.functions import columns as C
 from cardlake.operators.projection import month_scope
 from cardlake.plans import contracts as K
 
-# Check code -> message.
+DIM_KEYS = {"dim_card": "card_key", "dim_date": "date_key", "dim_mcc": "mcc_key", "dim_user": "user_key"}
+# What each check counts, for whoever reads its row.
 MESSAGES = {
-    "duplicates_transaction_id": "fact_transactions has duplicate transaction_id values (scope: month if provided)",
-    "empty_record_hash": "fact_transactions has empty/blank record_hash values (NOT NULL but can be blank)",
-    "orphans_card_key": "fact_transactions rows with card_key not found in dim_card",
-    "orphans_date_key": "fact_transactions rows with date_key not found in dim_date",
-    "orphans_mcc_key": "fact_transactions rows with mcc_key not found in dim_mcc",
-    "orphans_user_key": "fact_transactions rows with user_key not found in dim_user",
+    "duplicates_transaction_id": "ids that more than one fact row carries",
+    "empty_record_hash": "fact rows whose hash is blank",
+    **{f"orphans_{key}": f"fact rows whose {key} has no member in {dim}" for dim, key in DIM_KEYS.items()},
 }
-DIM_KEYS = {"dim_card": "card_key", "dim_date": "date_key", "dim_mcc": "mcc_key", "dim_user": "user_key"}
 MAX_AGE_HOURS = 24
 
 
@@ -61,7 +58,11 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 def ctl_duplicates(
     fact: DataFrame, run: Run, month: str | None = None, per_month: bool = True
 ) -> DataFrame:
-    """Transaction ids held by more than one row: per month, or over all rows."""
+    """Transaction ids held by more than one row: per month, or over all rows.
+
+    The count over all rows has no month. It also sees an id that stands once
+    in each of two months.
+    """
     scoped = month_scope(fact, month)
     keys = ["txn_month", "transaction_id"] if per_month else ["transaction_id"]
     ids = scoped.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
@@ -86,23 +87,21 @@ def ctl_orphans(
 ) -> DataFrame:
     """Fact rows whose surrogate key its dimension lacks, per month and dimension.
 
-    Rows are counted per (month, key) before the join, so what is shuffled is
-    the distinct keys of a month and a hot card or user is a single row. Each
-    of the four counts reads two columns of the fact.
+    One pass over the fact: each row gives its four keys, which are counted per
+    (month, dimension, key) before they are shuffled, so a hot card or user is
+    one row for each task. What is joined is the distinct keys of a month.
     """
-    scoped = month_scope(fact, month)
-    parts = []
-    for dim, key in DIM_KEYS.items():
-        counted = scoped.groupBy("txn_month", key).agg(F.count(F.lit(1)).alias("n"))
-        known = dims[dim].select(F.col(key).alias("__known"))
-        found = (
-            counted.join(known, F.col(key) == F.col("__known"), "left")
-            .groupBy("txn_month")
-            .agg(F.sum(F.when(F.col("__known").isNull(), F.col("n")).otherwise(0)).alias("issue_count"))
-        )
-        code = f"orphans_{key}"
-        parts.append(_results(found, code, run, F.lit(MESSAGES[code])))
-    return _union(parts)
+    keys = [F.struct(F.lit(f"orphans_{k}").alias("code"), F.col(k).alias("key")) for k in DIM_KEYS.values()]
+    each = month_scope(fact, month).select("txn_month", F.inline(F.array(*keys)))
+    counted = each.groupBy("txn_month", "code", "key").agg(F.count(F.lit(1)).alias("n"))
+    members = _union([
+        dims[dim].select(F.lit(f"orphans_{k}").alias("__code"), F.col(k).alias("__known")) for dim, k in DIM_KEYS.items()
+    ])
+    same = (F.col("code") == F.col("__code")) & (F.col("key") == F.col("__known"))
+    lacking = F.sum(F.when(F.col("__known").isNull(), F.col("n")).otherwise(0)).alias("issue_count")
+    found = counted.join(members, same, "left").groupBy("txn_month", "code").agg(lacking)
+    messages = F.create_map(*[F.lit(x) for k in DIM_KEYS.values() for x in (f"orphans_{k}", MESSAGES[f"orphans_{k}"])])
+    return _results(found, F.col("code"), run, F.element_at(messages, F.col("code")))
 
 
 # --- reconciliation ---------------------------------------------------------
@@ -195,11 +194,18 @@ def gate_fresh(
 def publish_decision(results: DataFrame, now: Column) -> DataFrame:
     """ctrl_publish_status: a month is published only if none of its checks failed.
 
-    The reason lists failed check codes, of which there are as many as controls.
+    A failed check without a month holds for all months and blocks each of
+    them. The reason lists failed check codes, of which there are as many as
+    controls.
     """
     failed = F.collect_set(F.when(F.col("status") == "FAIL", F.col("check_code")))
-    decided = results.where(F.col("txn_month").isNotNull()).groupBy("txn_month").agg(
-        F.array_join(F.sort_array(failed), ",").alias("reason")
+    overall = results.where(F.col("txn_month").isNull()).agg(failed.alias("__overall"))
+    monthly = results.where(F.col("txn_month").isNotNull()).groupBy("txn_month").agg(failed.alias("__codes"))
+    # One row for all months, with at most as many codes as there are controls.
+    everywhere = F.lit(0).alias("__all")
+    decided = monthly.select("*", everywhere).join(overall.select("*", everywhere), "__all", "left").select(
+        "txn_month",
+        F.array_join(F.sort_array(F.array_union("__codes", F.coalesce("__overall", F.array().cast("array<string>")))), ",").alias("reason"),
     )
     return decided.select(
         now.alias("publish_ts"),
@@ -248,6 +254,7 @@ def run_controls(
     return _union(
         [
             ctl_duplicates(fact, run, month),
+            *([ctl_duplicates(fact, run, per_month=False)] if month is None else []),
             ctl_empty_hash(fact, run, month),
             ctl_orphans(fact, dims, run, month),
             recon_results(recon(gold, fact, run.now, month=month), run),

@@ -255,12 +255,17 @@ def _build_split(
     good = conforming(staged)
     Q.assert_passed(Q.run_checks(good, [k for k in checks if k.max_distinct is not None]), c.table)
     writers.overwrite(good, path, c.partition_by, cluster=False)
+    # Each run and entity has a partition of its own: a run repeated replaces its events.
+    own = ["gold_run_id", "entity"]
     if seen["rejected"]:
         events, _ = writers.stage(
             orphan_events(staged, rules, run_id, entity, source_table), f"{c.table}-events", run_id
         )
-        writers.append(events, events_path)
-        writers.append(anomaly_kpis(events, run_id, entity), kpi_path)
+        writers.overwrite_partitions(events, events_path, own, cluster=False)
+        writers.overwrite_partitions(anomaly_kpis(events, run_id, entity), kpi_path, own, cluster=False)
+    else:
+        for table in (events_path, kpi_path):
+            writers.remove_folder(silver.sparkSession, f"{table}/gold_run_id={run_id}/entity={entity}")
     row_in = arrived.get["row_in"]
     months = good.select(*c.partition_by).distinct().count() if c.partition_by else 0
     return {

@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake.functions import columns as C
+from cardlake.functions.naming import column_name
 from cardlake.operators.upsert import merge_rows, merged_table
 from cardlake.plans import contracts as K
-from cardlake.plans.bronze import ENTITIES, pairs_from_object, to_bronze
+from cardlake.plans.bronze import BATCH, ENTITIES, pairs_from_object, to_bronze
 from cardlake.session import checkpoint_dir
 from cardlake.sources import readers, writers
 
@@ -123,11 +124,6 @@ def ingestion_log(
     )
 
 
-def safe_count(c: Column | str) -> Column:
-    """A count given as text; -1 where it is not a whole number."""
-    return F.coalesce(C.col(c).try_cast("int"), F.lit(-1))
-
-
 def daily_ingestion(manifest: DataFrame, since: str | None = None) -> DataFrame:
     """Files per entity and day with counts by status; ``since`` bounds the window."""
     scoped = manifest if since is None else manifest.where(F.col("exec_date") >= F.lit(since).cast("date"))
@@ -151,7 +147,14 @@ def failed_files(manifest: DataFrame) -> DataFrame:
 
 # --- loading ----------------------------------------------------------------
 
-OUTCOME = "file_path string, status string"
+OUTCOME = "file_path string, status string, rows_loaded long, rows_rejected long"
+BEGUN = "entity string, batch string, ingestion_date string, file_path string, begun timestamp"
+#: Files that cannot be read at all; more of them look like an outage, not like bad files.
+UNREADABLE = 10
+
+
+def rejects_path(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}_rejects"
 
 
 def ingest(
@@ -169,10 +172,12 @@ def ingest(
     """Load the new files of an entity, then record each file and the run.
 
     Files go through in batches of about ``batch_files``, so the driver holds
-    the paths of one batch however many there are; each batch is one job.
+    the paths of one batch however many there are; each batch is one job. What
+    a run wrote that was cut off before its manifest is removed first.
     """
     files, _ = writers.stage(readers.list_files(spark, source_path), f"{entity}-files", run_id)
-    manifest = writers.read_or_empty(spark, manifest_path, K.INGESTION_MANIFEST.schema)
+    manifest = writers.read_or_empty(spark, manifest_path, K.INGESTION_MANIFEST.schema).where(F.col("entity") == entity)
+    undo_unfinished(spark, entity, table_path, manifest, manifest_path)
     wanted, seen = writers.stage(
         candidate_files(files, manifest, entity, mode), f"{entity}-candidates", run_id, (),
         {"n": F.count(F.lit(1))},
@@ -184,7 +189,9 @@ def ingest(
         part = wanted.where(F.pmod(F.xxhash64("file_path"), F.lit(batches)) == b).select("file_path")
         paths = [r["file_path"] for r in part.collect()]
         if paths:
-            done = load_files(spark, entity, paths, table_path, exec_date, f"{run_id}-{b}")
+            batch = f"{run_id}-{b}"
+            begin_batch(spark, entity, batch, exec_date, paths, manifest_path)
+            done = load_files(spark, entity, paths, table_path, exec_date, batch)
             writers.append(spark.createDataFrame(done, OUTCOME), outcomes)
     status = spark.read.schema(OUTCOME).parquet(outcomes)
     listed = files.join(status, "file_path", "left").withColumns(
@@ -200,7 +207,8 @@ def ingest(
         total_source_files=total, total_candidate_files=seen["n"],
     )
     merged, _ = writers.stage(update_manifest(manifest, rows), f"{entity}-manifest", run_id)
-    writers.overwrite(merged, manifest_path)
+    # Each entity has a partition of its own, so loads of two entities do not undo each other.
+    writers.overwrite_partitions(merged, manifest_path, ["entity"], cluster=False)
     log, _ = writers.stage(
         K.project_to_contract(ingestion_log(listed), K.INGESTION_LOG), f"{entity}-log", run_id
     )
@@ -214,70 +222,128 @@ def ingest(
         empty = {**nothing, "exec_date": date.fromisoformat(exec_date), "entity": entity,
                  "ingestion_mode": mode, "status": "NO_DATA", "log_timestamp": datetime.now(timezone.utc)}
         writers.append_rows(spark, log_path, [empty], K.INGESTION_LOG.schema)
+    loaded = status.agg(F.coalesce(F.sum("rows_loaded"), F.lit(0)), F.coalesce(F.sum("rows_rejected"), F.lit(0))).first()
     return {
         "total_source_files": total,
         "total_candidate_files": seen["n"],
         "processed_files": row["processed_files"],
         "failed_files": row["failed_files"],
+        "rows_loaded": loaded[0],
+        "rows_rejected": loaded[1],
     }
 
 
+def begin_batch(spark: SparkSession, entity: str, batch: str, exec_date: str, paths: Sequence[str], manifest_path: str) -> None:
+    """Note which files a batch is about to load."""
+    rows = spark.createDataFrame([(entity, batch, exec_date, p) for p in paths], "entity string, batch string, ingestion_date string, file_path string")
+    writers.append(rows.withColumn("begun", F.current_timestamp()), f"{manifest_path}_begun")
+
+
+def undo_unfinished(spark: SparkSession, entity: str, table_path: str, manifest: DataFrame, manifest_path: str) -> None:
+    """Remove the rows of batches whose files the manifest does not confirm."""
+    begun = writers.read_or_empty(spark, f"{manifest_path}_begun", readers.ddl(BEGUN)).where(F.col("entity") == entity)
+    known = manifest.select("file_path", "last_ingested_datetime")
+    confirmed = begun.join(known, "file_path").where("last_ingested_datetime >= begun").select("batch")
+    left = begun.join(confirmed, "batch", "left_anti").select("ingestion_date", "batch").distinct()
+    for row in left.collect():
+        folder = f"ingestion_date={row.ingestion_date}/{BATCH}={row.batch}"
+        for path in (table_path, rejects_path(table_path)):
+            writers.remove_folder(spark, f"{path.rstrip('/')}/{folder}")
+
+
 def load_files(
-    spark: SparkSession, entity: str, paths: Sequence[str], table_path: str, exec_date: str, run_id: str
-) -> list[tuple[str, str]]:
-    """Append the files to bronze in one job; (path, status) of each.
-
-    A file with a line that does not fit is FAILED and none of its rows are
-    loaded, so its retry cannot load them twice. If the whole read fails (a
-    header of its own, an unreadable file), the list is halved until the
-    culprit stands alone.
+    spark: SparkSession, entity: str, paths: Sequence[str], table_path: str, exec_date: str, batch: str
+) -> list[tuple]:
+    """Write the files' rows to a bronze partition of the batch's own.
+
+    Columns go by each file's own header. Lines that do not fit are written,
+    with their file, to the rejects table beside the bronze table; the other
+    lines of the file load. Returns (path, status, rows loaded, rows rejected):
+    FAILED if no line fits or the header has none of the entity's columns,
+    PARTIAL if some lines do not fit, SUCCESS otherwise. Loading
+    a batch again replaces what it wrote.
     """
-    try:
-        bad = _load(spark, entity.strip().upper(), paths, table_path, exec_date, run_id)
-    except (PySparkException, Py4JJavaError):
-        if len(paths) == 1:
-            return [(paths[0], "FAILED")]
-        middle = len(paths) // 2
-        return [
-            outcome
-            for i, half in enumerate((paths[:middle], paths[middle:]))
-            for outcome in load_files(spark, entity, half, table_path, exec_date, f"{run_id}.{i}")
-        ]
-    return [(p, "FAILED" if p in bad else "SUCCESS") for p in paths]
-
-
-def _load(spark, name: str, paths, table_path: str, exec_date: str, run_id: str) -> set[str]:
-    """Stage the raw rows, split off the files with bad ones, append the rest."""
+    name = entity.strip().upper()
+    headers, unreadable = ({}, []) if name == "MCC" else _headers(spark, list(paths))
+    for header in [h for h in headers if not _fits(name, h)]:
+        unreadable += headers.pop(header)
+    staged, _ = writers.stage(_landing(spark, name, paths, headers), f"landing-{name}", batch)
     if name == "MCC":
-        raw = readers.read_whole(spark, paths)
-        broken = F.col("value").isNull() | F.from_json("value", readers.OBJECT).isNull()
-    elif name in ENTITIES:
-        header = spark.read.option("header", True).csv(paths[0]).columns
-        raw = readers.read_csv(spark, paths, readers.text_schema(header), keep_corrupt=True)
-        broken = F.col(readers.CORRUPT).isNotNull()
+        line, broken = F.col("value"), F.col("value").isNull() | F.from_json("value", readers.OBJECT).isNull()
     else:
-        raw, broken = readers.read_csv(spark, paths), F.lit(False)
-    staged, _ = writers.stage(
-        raw.select("*", F.col("_metadata.file_path").alias("__file")), f"landing-{name}", run_id
-    )
-    good, bad = split_bad_files(staged, broken)
-    good = good.drop(readers.CORRUPT)
+        line, broken = F.col(readers.CORRUPT), F.col(readers.CORRUPT).isNotNull()
+    # One row for each file of a batch.
+    counts = {
+        _local(unquote(r["__file"])): (r["good"], r["bad"])
+        for r in staged.groupBy("__file").agg(F.count_if(~broken).alias("good"), F.count_if(broken).alias("bad")).collect()
+    }
+    good = staged.where(~broken)
     if name == "MCC":
         good = pairs_from_object(good, "value", "mcc", "mcc_description")
-    bronze = to_bronze(good, name, exec_date, source_file=F.col("__file"))
-    writers.append(bronze, table_path, ("ingestion_date",))
-    broken_paths = {_local(unquote(uri)) for uri in bad}
-    return {p for p in paths if _local(p) in broken_paths}
-
-
-def split_bad_files(rows: DataFrame, broken: Column) -> tuple[DataFrame, list[str]]:
-    """(rows of files without a broken row, names of the other files).
-
-    A batch has a bounded number of files, so the names are a literal filter;
-    a join would shuffle every row by its file, and files differ much in size.
-    """
-    bad = [r["__file"] for r in rows.where(broken).select("__file").distinct().collect()]
-    return (rows.where(~F.col("__file").isin(bad)) if bad else rows), bad
+    bronze = to_bronze(good.drop(readers.CORRUPT), name, exec_date, source_file=F.col("__file"))
+    part = ["ingestion_date", BATCH]
+    writers.overwrite_partitions(bronze.withColumn(BATCH, F.lit(batch)), table_path, part, cluster=False)
+    if any(bad for _, bad in counts.values()):
+        rejects = staged.where(broken).select(
+            F.col("__file").alias("source_file"), line.alias("line"), F.lit(exec_date).cast("date").alias("ingestion_date"), F.lit(batch).alias(BATCH)
+        )
+        writers.overwrite_partitions(rejects, rejects_path(table_path), part, cluster=False)
+    out = []
+    for p in paths:
+        loaded, bad = counts.get(_local(p), (0, 0))
+        status = "FAILED" if p in unreadable or bad and not loaded else "PARTIAL" if bad else "SUCCESS"
+        out.append((p, status, loaded, bad))
+    return out
+
+
+def _headers(spark: SparkSession, paths: list[str]) -> tuple[dict[str, list[str]], list[str]]:
+    """(header line -> its files, files that cannot be read)."""
+    unreadable: list[str] = []
+
+    def scan(some: list[str]) -> list[tuple[str, str]]:
+        try:
+            return [(r.header, r.file) for r in readers.first_lines(spark, some).collect()]
+        except (PySparkException, Py4JJavaError):
+            if len(some) == 1:
+                unreadable.extend(some)
+                if len(unreadable) > UNREADABLE:
+                    raise
+                return []
+            middle = len(some) // 2
+            return scan(some[:middle]) + scan(some[middle:])
+
+    by_header: dict[str, list[str]] = {}
+    own = {_local(p): p for p in paths}
+    for header, file in scan(paths):
+        by_header.setdefault(header, []).append(own[_local(unquote(file))])
+    return by_header, unreadable
+
+
+def _landing(spark: SparkSession, name: str, paths: Sequence[str], headers: dict[str, list[str]]) -> DataFrame:
+    """Raw rows of all files with their path; a column that a file lacks is NULL."""
+    if name == "MCC":
+        return readers.read_whole(spark, paths).select("*", F.col("_metadata.file_path").alias("__file"))
+    frames = [
+        readers.read_csv(spark, files, readers.text_schema(readers.header_names(header)), keep_corrupt=True)
+        .select("*", F.col("_metadata.file_path").alias("__file"))
+        for header, files in sorted(headers.items())
+    ]
+    out = frames[0] if frames else spark.createDataFrame([], readers.text_schema([readers.CORRUPT, "__file"]))
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    have = {column_name(c) for c in out.columns}
+    lacking = [c for c in _wanted(name) if column_name(c) not in have]
+    return out.withColumns({c: F.lit(None).cast("string") for c in lacking})
+
+
+def _wanted(name: str) -> list[str]:
+    return ENTITIES[name].landing_schema.fieldNames() if name in ENTITIES else []
+
+
+def _fits(name: str, header: str) -> bool:
+    """Whether a header has a column of the entity; any header fits an unknown one."""
+    wanted = {column_name(c) for c in _wanted(name)}
+    return not wanted or bool(wanted & {column_name(c) for c in readers.header_names(header)})
 
 
 def _local(uri: str) -> str:

@@ -18,9 +18,8 @@ from cardlake.functions.hashing import add_record_hash
 from cardlake.operators import quality as Q
 from cardlake.operators.dedup import dedup_latest
 from cardlake.operators.projection import add_tech_columns
-from cardlake.operators.upsert import merge_rows, merged_table
 from cardlake.plans import contracts as K
-from cardlake.plans.bronze import ENTITIES
+from cardlake.plans.bronze import BATCH, ENTITIES
 from cardlake.sources import writers
 
 # The business columns behind each record hash, in hash order.
@@ -47,6 +46,7 @@ HASH_COLUMNS = {
 
 def _require(df: DataFrame, entity: str, exact: bool) -> DataFrame:
     expected = ENTITIES[entity].contract
+    df = df.drop(BATCH)
     Q.require_columns(df, expected.names, expected.table)
     return Q.forbid_extra_columns(df, expected.names, expected.table) if exact else df
 
@@ -211,8 +211,9 @@ def build_silver(
 ) -> dict:
     """Load one silver table and return its counts.
 
-    A full load replaces the table. An incremental load upserts by natural key
-    into the partitions the new rows touch, and never replaces the rest.
+    A full load replaces the table. An incremental load keeps the latest row of
+    each natural key, in whatever partition its older version stands, rewrites
+    the partitions concerned and never the rest.
     """
     make, c, default_checks = _BUILDERS[entity.strip().upper()]
     checks = default_checks() if checks is None else checks
@@ -227,22 +228,27 @@ def build_silver(
             fresh, f"{c.table}-fresh", run_id, c.partition_by, {"kept": F.count(F.lit(1))}
         )
         kept = seen["kept"]
-        target = spark.read.schema(c.schema).parquet(path).select(*c.names)
+        target, touched = spark.read.schema(c.schema).parquet(path).select(*c.names), None
         if c.partition_by:
-            target = touched_partitions(target, fresh, c.partition_by[0], c.max_partitions)
-        merged = merged_table(merge_rows(target, fresh, c.keys))
-        counts = writers.publish(merged, path, run_id, c.table, c.partition_by, checks, whole=False)
+            touched, _ = writers.stage(key_partitions(target, fresh, c.keys, c.partition_by[0]), f"{c.table}-touched", run_id)
+            target = target.join(touched, c.partition_by[0], "left_semi")
+        merged = newest_rows(target, fresh, c.keys)
+        counts = writers.publish(merged, path, run_id, c.table, c.partition_by, checks, whole=False, touched=touched)
     row_in = arrived.get["row_in"]
     return {"row_in": row_in, "dedup_dropped": row_in - kept, **counts}
 
 
-def touched_partitions(target: DataFrame, source: DataFrame, column: str, limit: int) -> DataFrame:
-    """The target's partitions that occur in the source, as a literal filter.
+def key_partitions(target: DataFrame, fresh: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """Partitions that fresh rows go to, or that hold their keys now.
 
-    The list of partition values is short by contract; more than ``limit`` is
-    an error and not a longer list.
+    A corrected row may change its month. The old one is found by a semi join
+    that reads only keys and month of the target.
     """
-    values = [r[0] for r in source.select(column).distinct().limit(limit + 1).collect()]
-    if len(values) > limit:
-        raise Q.QualityError(column, {"partition_count_in_limit": len(values) - limit})
-    return target.where(F.col(column).isin(values) if values else F.lit(False))
+    held = target.select(*dict.fromkeys([*keys, column])).join(fresh.select(*keys).distinct(), list(keys), "left_semi")
+    return held.select(column).union(fresh.select(column)).distinct()
+
+
+def newest_rows(target: DataFrame, fresh: DataFrame, keys: Sequence[str], order: str = "ingestion_ts") -> DataFrame:
+    """One row per key: the latest of both sides, the fresh one if they are equally old."""
+    both = target.withColumn("__fresh", F.lit(0)).unionByName(fresh.withColumn("__fresh", F.lit(1)))
+    return dedup_latest(both, keys, order, ["__fresh"]).drop("__fresh")

@@ -11,15 +11,16 @@ from cardlake.functions import columns as C
 from cardlake.functions.hashing import bit, warehouse_hash
 from cardlake.operators.projection import month_scope
 from cardlake.operators.upsert import (
-    DELETED,
     ACTION,
+    DELETED,
+    UNCHANGED,
     action_metrics,
     assign_surrogate,
     merge_rows,
     merged_table,
 )
 from cardlake.plans import contracts as K
-from cardlake.plans.silver import touched_partitions
+from cardlake.plans.silver import key_partitions
 from cardlake.sources import writers
 
 # Fixed values.
@@ -112,13 +113,14 @@ def dim_rows(gold: DataFrame, table: str, target: DataFrame | None = None) -> Da
     """The refreshed dimension with the action taken on each row.
 
     New members get the next surrogate keys, changed ones (by hash) are
-    overwritten in place, the rest stay.
+    overwritten in place, the rest stay. A row without a natural key is no
+    member: it would match nothing and come in anew with every load.
     """
     c, project, keep = _DIMENSIONS[table]
     if target is None:
         target = K.empty_table(gold.sparkSession, c)
     key, natural = c.names[0], c.keys[0]
-    source = assign_surrogate(target, project(gold), natural, key)
+    source = assign_surrogate(target, project(gold).where(F.col(natural).isNotNull()), natural, key)
     return merge_rows(target.select(*c.names), source.select(*c.names), [natural], "record_hash", keep)
 
 
@@ -155,13 +157,13 @@ def month_rows(dates: DataFrame, target: DataFrame) -> DataFrame:
 def wh_fact(gold: DataFrame, dims: dict[str, DataFrame], month: str | None = None) -> DataFrame:
     """Gold fact rows with surrogate keys; rows without all four drop out.
 
-    Dates and categories are bounded by their domain and broadcast. Users and
-    cards are left to Spark: broadcast below the size threshold, otherwise a
-    shuffled join with skewed partitions split at run time.
+    No dimension carries a hint: below the size threshold Spark broadcasts it,
+    otherwise it joins by shuffle and splits skewed partitions at run time.
+    ``rows_without_key`` counts what drops out.
     """
     f = month_scope(gold, month)
-    dates = F.broadcast(dims["dim_date"].select("date_key", "date_id"))
-    mcc = F.broadcast(dims["dim_mcc"].select("mcc_key", F.col("mcc_code").alias("__mcc")))
+    dates = dims["dim_date"].select("date_key", "date_id")
+    mcc = dims["dim_mcc"].select("mcc_key", F.col("mcc_code").alias("__mcc"))
     users = dims["dim_user"].select("user_key", F.col("client_id").alias("__client"))
     cards = dims["dim_card"].select("card_key", F.col("card_id").alias("__card"))
     joined = (
@@ -193,6 +195,25 @@ def wh_fact(gold: DataFrame, dims: dict[str, DataFrame], month: str | None = Non
     )
 
 
+def rows_without_key(gold: DataFrame, dims: dict[str, DataFrame], month: str | None = None) -> DataFrame:
+    """Gold rows per dimension that lack a member there: dimension, row_count.
+
+    Rows are counted per natural key before the join. A NULL key has no member.
+    """
+    keys = {
+        "dim_date": (C.date_id("txn_date"), "date_id"), "dim_mcc": (F.col("mcc_code").try_cast("int"), "mcc_code"),
+        "dim_user": (F.col("client_id"), "client_id"), "dim_card": (F.col("card_id"), "card_id"),
+    }
+    own = [F.struct(F.lit(d).alias("dimension"), k.cast("string").alias("member")) for d, (k, _) in keys.items()]
+    each = month_scope(gold, month).select(F.inline(F.array(*own)))
+    counted = each.groupBy("dimension", "member").agg(F.count(F.lit(1)).alias("n"))
+    known = [dims[d].select(F.lit(d).alias("__d"), F.col(c).cast("string").alias("__m")) for d, (_, c) in keys.items()]
+    members = known[0].unionByName(known[1]).unionByName(known[2]).unionByName(known[3])
+    same = (F.col("dimension") == F.col("__d")) & (F.col("member") == F.col("__m"))
+    lacking = F.coalesce(F.sum(F.when(F.col("__d").isNull(), F.col("n"))), F.lit(0)).cast("bigint")
+    return counted.join(members, same, "left").groupBy("dimension").agg(lacking.alias("row_count"))
+
+
 # --- aggregates -------------------------------------------------------------
 
 
@@ -268,9 +289,11 @@ def refresh_slice(
 ) -> dict:
     """Upsert ``source`` into the months it touches, other months untouched.
 
-    The source is evaluated once. The merged slice is staged with its counts
-    and then replaces exactly those partitions; running it again from the
-    result changes nothing.
+    A row whose month has changed leaves the month it stood in. With
+    ``delete_missing``, rows that the source lacks go from the source's own
+    months only. The source is evaluated once. The merged slice is staged with
+    its counts and then replaces exactly those partitions; running it again
+    from the result changes nothing.
     """
     c, hash_col = _SLICES[table]
     spark = source.sparkSession
@@ -279,28 +302,39 @@ def refresh_slice(
         {"rows_source": F.count(F.lit(1))},
     )
     target = writers.read_or_empty(spark, path, c.schema).select(*c.names)
-    target = touched_partitions(target, fresh, "txn_month", c.max_partitions)
-    keys = list(dict.fromkeys([*c.keys, "txn_month"]))
-    rows = merge_rows(target, fresh, keys, hash_col, delete_missing=delete_missing)
+    touched, _ = writers.stage(key_partitions(target, fresh, c.keys, "txn_month"), f"{table}-touched", run_id)
+    target = target.join(touched, "txn_month", "left_semi")
+    rows = merge_rows(target, fresh, c.keys, hash_col)
+    if delete_missing:
+        own = fresh.select("txn_month").distinct().withColumn("__own", F.lit(True))
+        gone = (F.col(ACTION) == UNCHANGED) & F.col("__own") & F.col("__absent")
+        there = fresh.select(*c.keys).distinct().withColumn("__there", F.lit(True))
+        rows = rows.join(own, "txn_month", "left").join(there, list(c.keys), "left").withColumn("__absent", F.col("__there").isNull())
+        rows = rows.withColumn(ACTION, F.when(gone, DELETED).otherwise(F.col(ACTION))).select(*c.names, ACTION)
     staged, counts = writers.stage(
         rows, f"{table}-merged", run_id, c.partition_by, action_metrics()
     )
     if counts["rows_inserted"] or counts["rows_updated"] or counts["rows_deleted"]:
         kept = staged.where(F.col(ACTION) != DELETED).drop(ACTION)
         writers.overwrite_partitions(kept, path, c.partition_by, cluster=False)
+        writers.remove_partitions(spark, path, "txn_month", touched.join(kept, "txn_month", "left_anti"))
     return {**seen, **counts}
 
 
 def refresh_dimension(gold: DataFrame, table: str, path: str, run_id: str) -> dict:
-    """Upsert one dimension; the merged table is staged before it replaces the old."""
-    c = _DIMENSIONS[table][0]
+    """Upsert one dimension; the merged table is staged before it replaces the old.
+
+    ``rows_without_key`` counts source rows that have no natural key.
+    """
+    c, project, _ = _DIMENSIONS[table]
     target = writers.read_or_empty(gold.sparkSession, path, c.schema)
+    nameless = project(gold).where(F.col(c.keys[0]).isNull()).count()
     staged, counts = writers.stage(
         dim_rows(gold, table, target), table, run_id, (), action_metrics()
     )
     if counts["rows_inserted"] or counts["rows_updated"]:
         writers.overwrite(staged.where(F.col(ACTION) != DELETED).drop(ACTION), path)
-    return counts
+    return {**counts, "rows_without_key": nameless}
 
 
 def refresh_months(dates: DataFrame, path: str, run_id: str) -> dict:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,19 +25,42 @@ def read_csv(
 ) -> DataFrame:
     """CSV files with a header row, every column as text.
 
-    With a schema nothing is inferred. Without one the header of the first file
-    gives the names; values stay text. ``keep_corrupt`` adds a column holding
-    lines that do not fit the schema, so one bad line does not fail the run.
+    With a schema nothing is inferred: its names are those of the files' header,
+    in its order, so files of different headers are read apart. Without one the
+    header of the first file gives the names; values stay text.
+    ``keep_corrupt`` adds a column holding lines that do not fit the schema, so
+    one bad line does not fail the run.
     """
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if schema is not None:
         if keep_corrupt:
             schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
             reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-        reader = reader.schema(schema).option("enforceSchema", False)
+        reader = reader.schema(schema)
     return reader.csv(paths if isinstance(paths, str) else list(paths))
 
 
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The first line with text of each file: file, header."""
+    lines = spark.read.text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    started = lines.where((F.col("at") == 0) & (F.trim("value") != ""))
+    return started.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+
+
+def header_names(line: str) -> list[str]:
+    """Column names of a header line; blank and repeated ones get a number."""
+    names = [n.lstrip("\ufeff") for n in next(csv.reader([line]), [])]
+    seen = Counter(n.lower() for n in names)
+    return [f"_c{i}" if not n.strip() else f"{n}{i}" if seen[n.lower()] > 1 else n for i, n in enumerate(names)]
+
+
+def ddl(text: str) -> T.StructType:
+    return T._parse_datatype_string(text)
+
+
 OBJECT = "map<string,string>"
 
 

@@ -44,6 +44,18 @@ def _replace(df: DataFrame, path: str, partition_by: Sequence[str], cluster: boo
     writer.partitionBy(*partition_by).parquet(path)
 
 
+def remove_partitions(spark: SparkSession, path: str, column: str, values: DataFrame) -> None:
+    """Delete the folders of partitions; ``values`` are those that a load has emptied."""
+    for (value,) in values.select(F.col(column).cast("string")).distinct().collect():
+        remove_folder(spark, f"{path}/{column}={value or '__HIVE_DEFAULT_PARTITION__'}")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the table's own file system, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Rows of one table partition brought together before a partitioned write.
 
@@ -129,9 +141,13 @@ def publish(
     checks: Sequence[Check] = (),
     metrics: dict[str, Column] | None = None,
     whole: bool = True,
+    touched: DataFrame | None = None,
 ) -> dict:
     """Stage, check, then replace the table (or only the touched partitions).
 
+    ``touched`` lists partitions the rows were taken from: those that no row
+    is left for are removed.
+
     Row checks ride on the staging write, so a load is one pass over its input.
     Partition limits and unique keys are checked on the staged files. A failed
     check raises and leaves the target as it was.
@@ -151,6 +167,8 @@ def publish(
         overwrite(staged, path, partition_by, cluster=False)
     else:
         overwrite_partitions(staged, path, partition_by, cluster=False)
+        if touched is not None:
+            remove_partitions(df.sparkSession, path, partition_by[0], touched.join(staged, partition_by[0], "left_anti"))
     result = {k: v for k, v in seen.items() if not k.startswith(prefix)}
     result["partition_count"] = staged.select(*partition_by).distinct().count() if partition_by else 0
     return result

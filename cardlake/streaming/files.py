@@ -8,6 +8,7 @@ merges rows that are already there.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,29 +17,22 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cardlake.operators.dedup import dedup_latest
-from cardlake.plans.bronze import ENTITIES, to_bronze
-from cardlake.plans.ingest import manifest_rows, split_bad_files, update_manifest
 from cardlake.plans.contracts import INGESTION_MANIFEST
+from cardlake.plans.ingest import OUTCOME, load_files, manifest_rows, update_manifest
 from cardlake.sources import writers
-from cardlake.sources.readers import CORRUPT, text_schema
 
-BATCH = "ingestion_batch"
 BUCKET = "key_bucket"
 
 
-def file_stream(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000
-) -> DataFrame:
-    """CSV files of a folder as a stream of text columns, with their path."""
-    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+def file_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """The files of a folder as a stream of paths, sizes and times; their content is never read."""
+    found = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+                          T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
     return (
-        spark.readStream.schema(with_corrupt)
-        .option("header", True)
-        .option("columnNameOfCorruptRecord", CORRUPT)
+        spark.readStream.format("binaryFile").schema(found)
         .option("maxFilesPerTrigger", files_per_batch)
-        .csv(path)
-        .select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_size").alias("__size"),
-                F.col("_metadata.file_modification_time").alias("__modified"))
+        .load(path)
+        .select(F.col("path").alias("file_path"), F.col("length").alias("file_size"), F.col("modificationTime").alias("modified_datetime"))
     )
 
 
@@ -50,45 +44,38 @@ def stream_ingest(
     manifest_path: str,
     checkpoint: str,
     exec_date: str,
-    header: Sequence[str] | None = None,
     files_per_batch: int = 1000,
 ) -> StreamingQuery:
     """Load every new file of an entity and record it in the manifest.
 
-    ``header`` gives the files' column names; by default they are those of the
-    entity's spec. A batch is written to a partition of its own by overwrite,
-    so a batch repeated after a failure does not load its rows twice.
+    The stream finds the files; they are then loaded as a batch run loads them,
+    by their own headers, into the same layout. A micro-batch has a partition of
+    its own, named after the stream and its number, so a repeated one replaces
+    its rows and two streams into one table keep apart.
     """
     name = entity.strip().upper()
-    schema = text_schema(header) if header else ENTITIES[name].landing_schema
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        tag = f"{name}-stream-{batch_id}"
-        rows, _ = writers.stage(batch, "landing", tag)
-        good, _ = split_bad_files(rows, F.col(CORRUPT).isNotNull())
-        good = good.drop(CORRUPT, "__size", "__modified")
-        bronze = to_bronze(good, name, exec_date, source_file=F.col("__file"))
-        writers.overwrite_partitions(
-            bronze.withColumn(BATCH, F.lit(batch_id)), table_path, ["ingestion_date", BATCH], cluster=False
+        tag = f"{stream}-{batch_id}"
+        files, _ = writers.stage(batch, f"{name}-stream-files", tag)
+        paths = [r["file_path"] for r in files.select("file_path").collect()]  # files_per_batch at most
+        if not paths:
+            return
+        done = session.createDataFrame(load_files(session, name, paths, table_path, exec_date, tag), OUTCOME)
+        status = files.join(done, "file_path").select(
+            F.lit(name).alias("entity"), "file_path", F.element_at(F.split("file_path", "/"), -1).alias("source_name"),
+            "file_size", "modified_datetime", "status",
         )
-        broken = F.max(F.col(CORRUPT).isNotNull())
-        files = rows.groupBy("__file", "__size", "__modified").agg(broken.alias("broken")).select(
-            F.lit(name).alias("entity"),
-            F.col("__file").alias("file_path"),
-            F.element_at(F.split("__file", "/"), -1).alias("source_name"),
-            F.col("__size").alias("file_size"),
-            F.col("__modified").alias("modified_datetime"),
-            F.when(F.col("broken"), "FAILED").otherwise("SUCCESS").alias("status"),
-        )
-        manifest = writers.read_or_empty(session, manifest_path, INGESTION_MANIFEST.schema)
+        manifest = writers.read_or_empty(session, manifest_path, INGESTION_MANIFEST.schema).where(F.col("entity") == name)
         merged, _ = writers.stage(
-            update_manifest(manifest, manifest_rows(files, exec_date, "STREAM")), "manifest", tag
+            update_manifest(manifest, manifest_rows(status, exec_date, "STREAM")), f"{name}-stream-manifest", tag
         )
-        writers.overwrite(merged, manifest_path)
+        writers.overwrite_partitions(merged, manifest_path, ["entity"], cluster=False)
 
     return (
-        file_stream(spark, source_path, schema, files_per_batch)
+        file_stream(spark, source_path, files_per_batch)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -115,6 +102,7 @@ def merge_latest(
     schema = T.StructType(batch.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
     keyed = batch.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
     fresh, _ = writers.stage(dedup_latest(keyed, keys, order, tie_break), "fresh", tag, [BUCKET])
+    _require_buckets(session, path, buckets)
     touched = [r[0] for r in fresh.select(BUCKET).distinct().collect()]
     if not touched:
         return
@@ -124,6 +112,17 @@ def merge_latest(
     writers.overwrite_partitions(merged, path, [BUCKET], cluster=False)
 
 
+def _require_buckets(spark: SparkSession, path: str, buckets: int) -> None:
+    """The table's number of buckets is fixed by its first batch: another one would put a key into two."""
+    note = f"{path.rstrip('/')}_buckets"
+    if writers.table_exists(spark, note):
+        stored = spark.read.parquet(note).first()[0]
+        if stored != buckets:
+            raise ValueError(f"{path} has {stored} buckets, not {buckets}")
+    else:
+        writers.overwrite(spark.createDataFrame([(buckets,)], "buckets int"), note)
+
+
 def stream_latest(
     stream: DataFrame,
     path: str,

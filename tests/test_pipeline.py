@@ -6,12 +6,14 @@ from decimal import Decimal
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardlake.operators.quality import QualityError, assert_passed, run_checks
 from cardlake.plans import contracts as K
 from cardlake.plans import controls, gold, ingest, measures, runlog, silver, warehouse
 from cardlake.plans.bronze import ENTITIES
 from cardlake.sources import readers, writers
+from cardlake.sources.readers import rows_to_table
 
 TXN = "id,date,client_id,card_id,amount,use_chip,merchant_id,merchant_city,merchant_state,zip,mcc,errors"
 FILES = {
@@ -96,7 +98,7 @@ def warehouse_refresh(spark, path, run):
 def test_end_to_end(spark, landing, path):
     # bronze
     first = load_all(spark, landing, path, "r1")
-    assert first["TRANSACTION"] == {"total_source_files": 2, "total_candidate_files": 2, "processed_files": 2, "failed_files": 0}
+    assert first["TRANSACTION"] == {"total_source_files": 2, "total_candidate_files": 2, "processed_files": 2, "failed_files": 0, "rows_loaded": 8, "rows_rejected": 0}
     again = load_all(spark, landing, path, "r2")
     assert all(v["total_candidate_files"] == 0 for v in again.values())
     log = rows(spark.read.parquet(path("log")).where("entity = 'TRANSACTION'"), "status", "processed_files")
@@ -137,6 +139,11 @@ def test_end_to_end(spark, landing, path):
     assert rows(spark.read.parquet(kpis), "rule_id", "row_count") == [
         ("GOLD.CARD.CONF.001", 1), *[(f"GOLD.TXN.CONF.00{i}", 1) for i in (1, 2, 3, 4)],
     ]
+    gold.build_fact(
+        read(spark, path, K.SILVER_TRANSACTIONS), read(spark, path, K.GOLD_DIM_USER), read(spark, path, K.GOLD_DIM_CARD),
+        read(spark, path, K.GOLD_DIM_MCC), read(spark, path, K.GOLD_DIM_DATE), path("gold_fact_transactions"), events, kpis, "g1",
+    )
+    assert spark.read.parquet(events).count() == 5 and spark.read.parquet(kpis).count() == 5
     fact = {r["transaction_id"]: r for r in read(spark, path, K.GOLD_FACT).collect()}
     assert (fact[1]["is_chip_used"], fact[2]["is_chip_used"], fact[3]["is_chip_used"]) == (True, False, None)
 
@@ -159,7 +166,7 @@ def test_end_to_end(spark, landing, path):
     gold_fact = read(spark, path, K.GOLD_FACT)
     run = controls.Run("w2", F.current_timestamp())
     results = controls.run_controls(gold_fact, stored, monthly, dims, run)
-    assert results.columns == K.WH_DQ_RESULT.names and results.count() == 2 * 10
+    assert results.columns == K.WH_DQ_RESULT.names and results.count() == 2 * 10 + 1
     decision = controls.publish_decision(results, run.now)
     assert rows(decision, "status") == [("PUBLISHED",), ("PUBLISHED",)]
     controls.assert_publishable(decision, "2020-01-01")
@@ -239,22 +246,60 @@ def test_ingest_isolates_bad_files(spark, path, tmp_path):
     (folder / "c d.csv").write_text("other,header\n1,2\n")
     args = (spark, "FX", str(folder), path("fx"), path("m"), path("l"))
     got = ingest.ingest(*args, "2020-01-02", "i1")
-    assert (got["processed_files"], got["failed_files"]) == (1, 2)
-    assert rows(spark.read.parquet(path("fx")), "currency") == [("USD",)]
+    assert (got["processed_files"], got["failed_files"], got["rows_loaded"], got["rows_rejected"]) == (1, 1, 2, 1)
+    assert rows(spark.read.parquet(path("fx")), "currency") == [("CHF",), ("USD",)]
+    assert rows(spark.read.parquet(ingest.rejects_path(path("fx"))), "line") == [("gbp,EUR,Pound,0.9,2020-01-01,extra,extra",)]
     first = {r["source_name"]: r for r in spark.read.parquet(path("m")).collect()}
-    assert first["a.csv"]["last_status"] == "SUCCESS" and first["b.csv"]["last_status"] == "FAILED"
+    assert [first[n]["last_status"] for n in ("a.csv", "b.csv", "c d.csv")] == ["SUCCESS", "PARTIAL", "FAILED"]
     assert rows(spark.read.parquet(path("l")), "status") == [("PARTIAL",)]
-    (folder / "b.csv").write_text(head + "gbp,EUR,Pound,0.9,2020-01-01\n")
+    (folder / "c d.csv").write_text("date,currency\n2020-01-01,gbp\n")
     got = ingest.ingest(*args, "2020-01-03", "i2")
-    assert (got["total_candidate_files"], got["processed_files"], got["failed_files"]) == (2, 1, 1)
-    assert rows(spark.read.parquet(path("fx")), "currency") == [("GBP",), ("USD",)]
+    assert (got["total_candidate_files"], got["processed_files"], got["failed_files"]) == (1, 1, 0)
+    assert rows(spark.read.parquet(path("fx")), "currency", "base_currency") == [("CHF", "EUR"), ("GBP", None), ("USD", "EUR")]
     second = {r["source_name"]: r for r in spark.read.parquet(path("m")).collect()}
-    assert second["b.csv"]["first_ingested_datetime"] == first["b.csv"]["first_ingested_datetime"]
-    assert second["b.csv"]["exec_date"] == date(2020, 1, 3) and second["a.csv"]["exec_date"] == date(2020, 1, 2)
+    assert second["c d.csv"]["first_ingested_datetime"] == first["c d.csv"]["first_ingested_datetime"]
+    assert second["c d.csv"]["exec_date"] == date(2020, 1, 3) and second["a.csv"]["exec_date"] == date(2020, 1, 2)
     empty = tmp_path / "none"
     empty.mkdir()
     assert ingest.ingest(spark, "FX", str(empty), path("fx"), path("m"), path("l"), "2020-01-04", "i3")["total_source_files"] == 0
-    assert rows(spark.read.parquet(path("l")), "status") == [("NO_DATA",), ("PARTIAL",), ("PARTIAL",)]
+    assert rows(spark.read.parquet(path("l")), "status") == [("NO_DATA",), ("PARTIAL",), ("SUCCESS",)]
+
+
+def test_a_cut_off_load_is_undone_and_entities_keep_apart(spark, path, tmp_path):
+    for n in ("fx", "partner"):
+        (tmp_path / n).mkdir()
+        (tmp_path / n / "a.csv").write_text("currency,date\nusd,2020-01-01\n")
+    files = [str(tmp_path / "fx" / "a.csv")]
+    ingest.begin_batch(spark, "FX", "cut-0", "2020-01-02", files, path("m"))
+    ingest.load_files(spark, "FX", files, path("fx-t"), "2020-01-02", "cut-0")  # and no manifest
+    for name, run in (("FX", "r1"), ("PARTNER", "r2"), ("FX", "r3")):
+        ingest.ingest(spark, name, str(tmp_path / name.lower()), path(f"{name.lower()}-t"), path("m"), path("l"), "2020-01-02", run)
+    assert spark.read.parquet(path("fx-t")).count() == spark.read.parquet(path("partner-t")).count() == 1
+    assert rows(spark.read.parquet(path("m")), "entity") == [("FX",), ("PARTNER",)]
+
+
+def test_unknown_entities_go_by_their_own_headers(spark, path, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "in" / "b.csv").write_text("y,x,z\n20,10,30\n")
+    ingest.ingest(spark, "PARTNER", str(tmp_path / "in"), path("p"), path("m"), path("l"), "2020-01-02", "u1")
+    assert rows(spark.read.parquet(path("p")), "x", "y", "z") == [("1", "2", None), ("10", "20", "30")]
+
+
+def test_incremental_silver_moves_months_and_keeps_the_newest(spark, path):
+    def bronze_of(*txns):
+        c = ENTITIES["TRANSACTION"].contract
+        made = [{"id": i, "date": d, "client_id": 1, "card_id": 1, "amount": a, "merchant_id": 1, "mcc": 1, "ingestion_ts": t} for i, d, a, t in txns]
+        return K.project_to_contract(rows_to_table(spark, made, T.StructType([T.StructField(n, T.StringType()) for n in made[0]])).select(
+            "*", *[F.lit(None).alias(n) for n in c.names if n not in made[0]]), c)
+
+    args = (path("silver"),)
+    silver.build_silver(bronze_of((1, "2020-01-31 10:00:00", 5.0, "2020-02-01 00:00:00"), (2, "2020-02-01 10:00:00", 7.0, "2020-02-02 00:00:00")), "TRANSACTION", *args, "s1")
+    late = bronze_of((1, "2020-02-01 10:00:00", 6.0, "2020-02-03 00:00:00"), (2, "2020-02-01 10:00:00", 1.0, "2020-01-15 00:00:00"))
+    for run in ("s2", "s3"):
+        silver.build_silver(late, "TRANSACTION", *args, run, incremental=True)
+        got = spark.read.schema(K.SILVER_TRANSACTIONS.schema).parquet(path("silver"))
+        assert rows(got, "transaction_id", "txn_month", "amount") == [(1, date(2020, 2, 1), Decimal("6.00")), (2, date(2020, 2, 1), Decimal("7.00"))]
 
 
 def test_unknown_entity_and_full_mode(spark, path, tmp_path):

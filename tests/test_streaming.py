@@ -1,9 +1,12 @@
 from datetime import date
 
+import pytest
 from conftest import rows
 
 from cardlake.operators.dedup import dedup_latest
-from cardlake.streaming.files import BATCH, merge_latest, stream_ingest, stream_latest
+from cardlake.plans import ingest
+from cardlake.plans.bronze import BATCH
+from cardlake.streaming.files import merge_latest, stream_ingest, stream_latest
 
 HEAD = "currency,base_currency,currency_name,exchange_rate,date\n"
 
@@ -13,10 +16,9 @@ def test_stream_ingest_takes_each_file_once(spark, path, tmp_path):
     folder.mkdir()
     (folder / "a.csv").write_text(HEAD + "usd,EUR,Dollar,1.1,2020-01-01\n")
     (folder / "b.csv").write_text(HEAD + "gbp,EUR,Pound,0.9,2020-01-01,too,long\n")
-    names = ["currency", "base_currency", "currency_name", "exchange_rate", "date"]
 
     def run():
-        stream_ingest(spark, "fx", str(folder), path("t"), path("m"), path("c"), "2020-01-02", names).awaitTermination()
+        stream_ingest(spark, "fx", str(folder), path("t"), path("m"), path("c"), "2020-01-02").awaitTermination()
 
     run()
     assert rows(spark.read.parquet(path("t")), "currency") == [("USD",)]
@@ -41,3 +43,22 @@ def test_stream_latest_equals_batch(spark, path):
     assert rows(got, "k", "d", "v") == rows(dedup_latest(df, ["k"], "d", ["v"]), "k", "d", "v")
     merge_latest(df, path("out"), ["k"], "d", ["v"], "again", buckets=3)
     assert spark.read.parquet(path("out")).count() == 7
+    with pytest.raises(ValueError):
+        merge_latest(df, path("out"), ["k"], "d", ["v"], "more", buckets=6)
+
+
+def test_two_streams_and_a_batch_share_a_table(spark, path, tmp_path):
+    """Columns go by each file's own header, whatever their order; nobody replaces another's rows."""
+    for i, code in enumerate(("usd", "gbp", "chf")):
+        (tmp_path / f"in{i}").mkdir()
+        (tmp_path / f"in{i}" / "x.csv").write_text(f"date,currency,exchange_rate,base_currency,currency_name\n2020-01-0{i + 1},{code},1.5,EUR,C\n")
+    (tmp_path / "in0" / "y.csv").write_text(HEAD + "jpy,EUR,Yen,100,2020-01-05\nbad,line\n")
+    for i in (0, 1):
+        stream_ingest(spark, "FX", str(tmp_path / f"in{i}"), path("t"), path("m"), path(f"c{i}"), "2020-02-01").awaitTermination()
+    ingest.ingest(spark, "FX", str(tmp_path / "in2"), path("t"), path("m"), path("l"), "2020-02-01", "r1")
+    got = spark.read.parquet(path("t"))
+    assert rows(got, "currency", "base_currency", "date") == [
+        ("CHF", "EUR", date(2020, 1, 3)), ("GBP", "EUR", date(2020, 1, 2)), ("JPY", "EUR", date(2020, 1, 5)), ("USD", "EUR", date(2020, 1, 1))]
+    assert rows(spark.read.parquet(path("m")), "source_name", "last_status") == [
+        ("x.csv", "SUCCESS"), ("x.csv", "SUCCESS"), ("x.csv", "SUCCESS"), ("y.csv", "PARTIAL")]
+    assert rows(spark.read.parquet(ingest.rejects_path(path("t"))), "line") == [("bad,line",)]
