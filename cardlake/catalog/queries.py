@@ -1419,7 +1419,7 @@ def silver_incremental(spark, sf):
     bronze, line = V.bronze_transactions(spark, sf), F.col("id") % 10
     silver.build_silver(bronze, "TRANSACTION", path, uuid.uuid4().hex, tie_break=V.TXN_TIES)
     moved = bronze.where(line == 1).withColumns({
-        "date": F.col("date") + F.expr("interval 31 days"), "ingestion_ts": V._ts(V.LOAD_TS)})
+        "date": F.col("date") + F.expr("interval 31 days"), "ingestion_ts": now()})
     stale = bronze.where(line == 2).withColumns({"amount": F.lit(0.0), "ingestion_ts": V._ts("1970-01-01 00:00:00")})
     late = moved.unionByName(stale)
     silver.build_silver(late, "TRANSACTION", path, uuid.uuid4().hex, incremental=True, tie_break=V.TXN_TIES)
