@@ -65,7 +65,8 @@ def _lines(docs: DataFrame, least: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([own, *[pa.array(c, type=f.type) for c, f in zip(columns, _LINE)]], names=["doc_id", *_LINE.names])
 
     kind = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *T._parse_datatype_string("key long, line int, h1 long, h2 long, ahead int, behind int").fields])
-    found = docs.select("doc_id", "key", "text").mapInArrow(split, kind)
+    # Stored before it is dealt: finding the ranges reads it too, and would split all texts twice.
+    found = stage(docs.select("doc_id", "key", "text").mapInArrow(split, kind), "split-lines")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = found.repartitionByRange(n, "doc_id", "key").sortWithinPartitions("doc_id", "key", "line")
     return stage(ordered.withColumn("g", F.monotonically_increasing_id()), "lines")
