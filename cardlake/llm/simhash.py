@@ -102,6 +102,11 @@ def _blocks(placed: DataFrame, homes: DataFrame, block: int) -> DataFrame:
     return spread.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fp")
 
 
+def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits. Of signed numbers numpy would count the bits of the absolute value."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def _tree(fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what is connected within the given bits, at most one a fingerprint."""
     waiting, a, b = np.unique(fps), [], []
@@ -109,7 +114,7 @@ def _tree(fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
         front, waiting = [waiting[0]], waiting[1:]
         while front and len(waiting):
             x = front.pop()
-            near = np.bitwise_count(waiting ^ x) <= bits
+            near = _distance(waiting, x) <= bits
             if near.any():
                 found = waiting[near]
                 a.append(np.full(len(found), x))
@@ -128,7 +133,7 @@ def _links_of(key: np.ndarray, fp: np.ndarray, bits: int) -> list[np.ndarray]:
     small = sizes <= SMALL
     left, right = [], []
     for d in range(1, SMALL):
-        near = (group[d:] == group[:-d]) & small[group[d:]] & (np.bitwise_count(fp[d:] ^ fp[:-d]) <= bits)
+        near = (group[d:] == group[:-d]) & small[group[d:]] & (_distance(fp[d:], fp[:-d]) <= bits)
         left.append(fp[:-d][near])
         right.append(fp[d:][near])
     for s, n in zip(starts[~small], sizes[~small]):
