@@ -61,15 +61,17 @@ class WordBpe:
         self.words = Memo(self._word)
 
     def _word(self, word: str) -> bytes:
+        if word[-1] in ".," and word[:-1].isalpha():
+            return self.words[word[:-1]] + self.words[word[-1]]
         tokenize, out = self.library.model.tokenize, array("I")
-        for piece in self.pattern.findall(word.lower()):
+        for piece in self.pattern.findall(word):
             out.extend(t.id for t in tokenize(piece.encode().decode("latin-1").translate(self.letters)))
         return out.tobytes()
 
     def encode(self, text: str) -> bytes:
         if UNUSUAL.search(text) or "<|" in text and any(s in text for s in self.special):
             return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        return b"".join(map(self.words.__getitem__, text.split()))
+        return b"".join(map(self.words.__getitem__, text.lower().split()))
 
 
 @functools.cache
