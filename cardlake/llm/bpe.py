@@ -86,10 +86,10 @@ class ByteBpe:
         self.bytes_of = {i: bytes(back[c] for c in t) for t, i in vocab.items()}
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
         self.ids = Memo(self._ids)
-        self.chunk = Memo(lambda c: self._ids(" " + c) if c.isalpha() else b"".join(map(self.ids.__getitem__, self.pattern.findall(" " + c))))
+        self.chunk = Memo(self._chunk)
         self.stable = Memo(lambda pair: self._is_stable(pair >> 20, pair & 0xFFFFF))
         self.counts = Memo(self._counts)
-        self.chunk_count = Memo(lambda c: self._counts(" " + c)[-1] if c.isalpha() else sum(self.counts[p][-1] for p in self.pattern.findall(" " + c)))
+        self.chunk_count = Memo(self._chunk_count)
 
     # pieces
 
@@ -114,6 +114,21 @@ class ByteBpe:
 
     # ids
 
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk behind a space: letters, letters and a point or comma, or anything."""
+        if chunk.isalpha():
+            return self._ids(" " + chunk)
+        if chunk[-1] in ".," and chunk[:-1].isalpha():
+            return self.chunk[chunk[:-1]] + self.ids[chunk[-1]]
+        return b"".join(map(self.ids.__getitem__, self.pattern.findall(" " + chunk)))
+
+    def _chunk_count(self, chunk: str) -> int:
+        if chunk.isalpha():
+            return self._counts(" " + chunk)[-1]
+        if chunk[-1] in ".," and chunk[:-1].isalpha():
+            return self.chunk_count[chunk[:-1]] + self.counts[chunk[-1]][-1]
+        return sum(self.counts[p][-1] for p in self.pattern.findall(" " + chunk))
+
     def _ids(self, piece: str) -> bytes:
         return array("I", self.tree(piece.encode().decode("latin-1").translate(_TO_LETTERS))).tobytes()
 
