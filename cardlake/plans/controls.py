@@ -199,14 +199,10 @@ def publish_decision(results: DataFrame, now: Column) -> DataFrame:
     controls.
     """
     failed = F.collect_set(F.when(F.col("status") == "FAIL", F.col("check_code")))
-    overall = results.where(F.col("txn_month").isNull()).agg(failed.alias("__overall"))
-    monthly = results.where(F.col("txn_month").isNotNull()).groupBy("txn_month").agg(failed.alias("__codes"))
-    # One row for all months, with at most as many codes as there are controls.
-    everywhere = F.lit(0).alias("__all")
-    decided = monthly.select("*", everywhere).join(overall.select("*", everywhere), "__all", "left").select(
-        "txn_month",
-        F.array_join(F.sort_array(F.array_union("__codes", F.coalesce("__overall", F.array().cast("array<string>")))), ",").alias("reason"),
-    )
+    everywhere = results.where(F.col("txn_month").isNull()).agg(failed).scalar()
+    monthly = results.where(F.col("txn_month").isNotNull()).groupBy("txn_month").agg(failed.alias("codes"))
+    reason = F.array_join(F.sort_array(F.array_union("codes", everywhere)), ",")
+    decided = monthly.select("txn_month", reason.alias("reason"))
     return decided.select(
         now.alias("publish_ts"),
         "txn_month",
