@@ -66,19 +66,7 @@ class ByteBpe:
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         vocab = self.library.get_vocab(with_added_tokens=False)
-        merges = [tuple(vocab[t] for t in pair) for pair in json.loads(self.library.to_str())["model"]["merges"]]
-        letters_of = {i: t for t, i in vocab.items()}
-        self.letters_of = letters_of
-        self.merged = {pair: age for age, pair in enumerate(merges)}  # a pair's age: merges run in this order
-        self.age = dict.fromkeys(letters_of, -1)
-        self.parts = {}
-        for age, (a, b) in enumerate(merges):
-            token = vocab[letters_of[a] + letters_of[b]]
-            self.age[token], self.parts[token] = age, (a, b)
-        self.automaton = ahocorasick.Automaton()
-        for token, i in vocab.items():
-            self.automaton.add_word(token, (len(token), i))
-        self.automaton.make_automaton()
+        self.letters_of = {i: t for t, i in vocab.items()}
         self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.split_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.pattern = regex.compile(public_tokenizers.PATTERN)
@@ -91,6 +79,25 @@ class ByteBpe:
         self.counts = Memo(self._counts)
         self.chunk_count = Memo(self._chunk_count)
 
+    # tables that only counting needs
+
+    @functools.cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        found = ahocorasick.Automaton()
+        for i, token in self.letters_of.items():
+            found.add_word(token, (len(token), i))
+        found.make_automaton()
+        return found
+
+    @functools.cached_property
+    def merges(self) -> tuple[dict, dict, dict]:
+        """Age of each pair (merges run in this order), age and parts of each token."""
+        ids = {t: i for i, t in self.letters_of.items()}
+        pairs = [(ids[a], ids[b]) for a, b in json.loads(self.library.to_str())["model"]["merges"]]
+        made = [ids[self.letters_of[a] + self.letters_of[b]] for a, b in pairs]
+        age = dict.fromkeys(self.letters_of, -1) | {t: k for k, t in enumerate(made)}
+        return {p: k for k, p in enumerate(pairs)}, age, dict(zip(made, pairs))
+
     # pieces
 
     def sections(self, text: str) -> list[tuple[str, bool]]:
@@ -179,16 +186,17 @@ class ByteBpe:
         tokens that stand there together for a while must not be one that is
         merged within that time; of equal merges the left one comes first.
         """
-        until_x = until_y = len(self.merged)
+        merged, age_of, parts = self.merges
+        until_x = until_y = len(merged)
         while True:
-            age = self.merged.get((x, y))
+            age = merged.get((x, y))
             if age is not None and age < until_x and age <= until_y:
                 return False
-            age_x, age_y = self.age[x], self.age[y]
+            age_x, age_y = age_of[x], age_of[y]
             if age_x > age_y:
-                until_x, x = age_x, self.parts[x][1]
+                until_x, x = age_x, parts[x][1]
             elif age_y >= 0:
-                until_y, y = age_y, self.parts[y][0]
+                until_y, y = age_y, parts[y][0]
             else:
                 return True
 

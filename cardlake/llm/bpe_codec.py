@@ -142,14 +142,26 @@ def with_digests(df: DataFrame, text: str = "text", leaf_chars: int = LEAF_CHARS
     """Add ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of encoding and decoding."""
     path = vocabulary or public_tokenizers.path(BYTE_BPE)
 
-    def digest(values: list[bytes]) -> list[dict]:
+    def digest_of(bpe: ByteBpe, ids: bytes) -> dict:
+        return {"n_tokens": len(ids) // 4, "ids_sha256": hashlib.sha256(ids).hexdigest(),
+                "decoded_sha256": hashlib.sha256(bpe.decode(ids).encode()).hexdigest()}
+
+    def of_texts(texts: list[str]) -> list[dict]:
+        bpe = byte_bpe(path)
+        return [digest_of(bpe, bpe.encode(t)) for t in texts]
+
+    def of_ids(values: list[bytes]) -> list[dict]:
         bpe = byte_bpe(path)
-        return [{"n_tokens": len(v) // 4, "ids_sha256": hashlib.sha256(v).hexdigest(),
-                 "decoded_sha256": hashlib.sha256(bpe.decode(v).encode()).hexdigest()} for v in values]
+        return [digest_of(bpe, v) for v in values]
 
-    encoded = encode(df, text, leaf_chars, path)
-    done = encoded.withColumn("_d", arrow_column(digest, _DIGEST)(F.col("ids")))
-    return done.withColumns({f.name: F.col("_d")[f.name] for f in _DIGEST.fields}).drop("_d", "ids")
+    importable(df.sparkSession)
+    is_long = F.length(text_of(text)) > leaf_chars
+    # One Python worker a task: ids of short texts are not sent back to be read again.
+    short = df.where(~is_long).withColumn("_d", arrow_column(of_texts, _DIGEST)(text_of(text)))
+    encoded = stage(_encode_long(df.where(is_long), text, leaf_chars, path), "long-ids")
+    long = encoded.withColumn("_d", arrow_column(of_ids, _DIGEST)(F.col("ids"))).drop("ids")
+    done = short.unionByName(long)
+    return done.withColumns({f.name: F.col("_d")[f.name] for f in _DIGEST.fields}).drop("_d")
 
 
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
