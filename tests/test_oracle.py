@@ -5,8 +5,7 @@ from conftest import SF
 from oracle import connect, differences
 
 import __spark_entry__ as entry_points
-
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+from cardlake.catalog.queries import ORACLE, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +20,7 @@ def test_query_equals_oracle(spark, con, name):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 def test_entry_runs(spark):
