@@ -104,13 +104,15 @@ def _totals(fact: DataFrame, dims: dict[str, DataFrame], by: list[str], mode: st
 def _distinct_count(
     fact: DataFrame, dims: dict[str, DataFrame], by: list[str], mode: str, name: str, approximate: bool
 ) -> DataFrame:
-    """Distinct members per group, counted on the distinct (key, member) pairs
-    so that neither the join nor a subtotal carries transactions."""
+    """Distinct members per group, counted on the distinct (attributes, member)
+    pairs: each task reduces its rows to them, so what is shuffled and what the
+    subtotals multiply are few pairs and not transactions."""
     member = _DISTINCT[name]
-    pairs = fact.select(*dict.fromkeys([*_fact_keys(fact, dims, by), member]))
-    pairs = pairs if approximate else pairs.where(F.col(member).isNotNull()).distinct()
+    rows = fact.select(*dict.fromkeys([*_fact_keys(fact, dims, by), member])).where(F.col(member).isNotNull())
+    pairs = star(rows, dims, by).select(*dict.fromkeys([*by, member]))
+    pairs = pairs if approximate else pairs.distinct()
     count = F.approx_count_distinct if approximate else F.countDistinct
-    return _grouped(star(pairs, dims, by), by, mode).agg(
+    return _grouped(pairs, by, mode).agg(
         count(member).alias(name), *_level(by, mode, f"__{name}_level")
     )
 
