@@ -15,9 +15,10 @@ two blocks meet in a task of their own.
 Text: null counts as empty; a text without words has fingerprint zero and is
 linked like any other; fewer words than a shingle make one shingle. A null id
 is never a component's id unless all ids of the component are null. Repeated
-rows and ids stay, each with its component. Extra columns pass through; those
-named like an output column are replaced. An empty table gives an empty table.
-Long texts are hashed whole, in slices.
+rows and ids stay, each with its component. ``near_duplicates`` gives ids,
+fingerprints and components only; ``one_of_each`` keeps whole rows, extra columns
+included. An empty table gives an empty table. Long texts are hashed whole, in
+slices.
 """
 
 from __future__ import annotations
