@@ -1493,3 +1493,31 @@ def payload_required_fields(spark, sf):
 def ticker_paths(spark, sf):
     path = F.concat(F.lit("landing/stocks/tk"), F.col("s_suppkey").cast("string"), F.lit(".us.txt"))
     return V.table(spark, sf, "supplier").select("s_suppkey", C.ticker_from_path(path).alias("ticker"))
+
+
+@query("SELECT rule_id, count(*) AS row_count FROM events_out GROUP BY rule_id")
+def gold_fact_loaded_twice(spark, sf):
+    """Events of a fact load that ran twice under one run id."""
+    home = f"{checkpoint_dir(spark)}/gold-{uuid.uuid4().hex}"
+    stored = V._stored(spark, sf, "silver_transactions", lambda: V.silver_transactions(spark, sf))
+    for _ in range(2):
+        gold.build_fact(
+            stored, *V.fact_dims(spark, sf), V.gold_dates(spark), f"{home}/fact", f"{home}/events", f"{home}/kpis", uuid.uuid5(uuid.NAMESPACE_URL, home).hex,
+        )
+    return spark.read.parquet(f"{home}/events").groupBy("rule_id").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("""
+    SELECT 'rows_inserted' AS measure, count(*) FILTER (WHERE client_id % 2 = 1) AS row_count FROM users
+    UNION ALL SELECT 'rows_without_key', count(*) FILTER (WHERE client_id % 7 = 0) FROM users
+    UNION ALL SELECT 'rows_inserted_again', 0""")
+def dimension_without_keys(spark, sf):
+    """Users of whom some come a second time without their id: they are counted and never inserted."""
+    path = f"{checkpoint_dir(spark)}/dim-{uuid.uuid4().hex}"
+    users = V.stored_gold(spark, sf, "users")
+    nameless = users.where(F.col("client_id") % 7 == 0).withColumn("client_id", F.lit(None).cast("bigint"))
+    warehouse.refresh_dimension(users.where(F.col("client_id") % 2 == 0), "dim_user", path, uuid.uuid4().hex)
+    first = warehouse.refresh_dimension(users.unionByName(nameless), "dim_user", path, uuid.uuid4().hex)
+    again = warehouse.refresh_dimension(users.unionByName(nameless), "dim_user", path, uuid.uuid4().hex)
+    counts = {"rows_inserted": first["rows_inserted"], "rows_without_key": first["rows_without_key"], "rows_inserted_again": again["rows_inserted"]}
+    return spark.createDataFrame(list(counts.items()), "measure string, row_count long")
