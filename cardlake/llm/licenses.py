@@ -7,7 +7,9 @@ in their order, close together, and none of its names or numbers missing; the
 missing words and those put in their place are counted.
 
 Null and empty texts have no block. Blocks are whole lines, in order; a block
-ends where no license word is near. Rows are independent: repeated rows and
+goes on around each license word for NEAR lines and for as many words as the
+longest match can have, so that no line wrap cuts a notice. A finding has the
+lines of its own words. Rows are independent: repeated rows and
 null or repeated ids give their own findings. Extra columns are left alone. An
 empty table gives no rows. Ties in saved bytes go to the template listed first.
 """
@@ -16,7 +18,10 @@ from __future__ import annotations
 
 import functools
 import re
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -44,7 +49,7 @@ TEMPLATES = (
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
 )
 HINT = r"(?i)licen[cs]|copyright|hereby granted|redistribut|permission|free software|creative commons"
-#: Lines after one with a license word that still belong to its block.
+#: Lines before and after one with a license word that belong to its block at least.
 NEAR = 3
 #: Template words that may be missing, and how much longer than the template its match may be.
 MISSING, SPREAD = 0.1, 1.3
@@ -62,15 +67,28 @@ def compressors() -> list[zstandard.ZstdCompressor]:
     return [zstandard.ZstdCompressor(level=19), *[zstandard.ZstdCompressor(level=19, dict_data=d) for d in raw]]
 
 
+def reach() -> int:
+    """Words of the longest match of any template."""
+    return max(_wanted(t)[1] for _, t in TEMPLATES)
+
+
 def blocks(text: str) -> Iterator[tuple[int, int, str]]:
     """First line, last line (exclusive) and text of each block."""
     lines = text.split("\n")
     marked = [i for i, x in enumerate(lines) if re.search(HINT, x)]
-    while marked:
-        start = end = marked[0]
-        while marked and marked[0] <= end + NEAR:
-            end = marked.pop(0)
-        yield start, end + 1, "\n".join(lines[start : end + 1])
+    if not marked:
+        return
+    before = [0, *accumulate(len(_WORD.findall(x)) for x in lines)]
+    around = []
+    for i in marked:
+        start = max(min(bisect_right(before, before[i] - reach()) - 1, i - NEAR), 0)
+        end = min(max(bisect_left(before, before[i + 1] + reach()), i + 1 + NEAR), len(lines))
+        if around and start <= around[-1][1]:
+            around[-1][1] = end
+        else:
+            around.append([start, end])
+    for start, end in around:
+        yield start, end, "\n".join(lines[start:end])
 
 
 def ranked(block: str) -> list[tuple[int, int]]:
@@ -80,17 +98,80 @@ def ranked(block: str) -> list[tuple[int, int]]:
     return sorted(((plain - n, i) for i, n in enumerate(with_dict)), key=lambda x: (-x[0], x[1]))
 
 
-def difference(template: str, block: str) -> tuple[int, int] | None:
-    """Words missing and words put in between, or None if it is another wording."""
-    want, have = _WORD.findall(template), _WORD.findall(block)
-    match = SequenceMatcher(None, [w.lower() for w in want], [w.lower() for w in have], autojunk=False)
+@functools.cache
+def _wanted(template: str) -> tuple[list[str], int, Counter, Counter]:
+    """Words, the most words of a match, and how often it has each word and each name or number."""
+    words = _WORD.findall(template)
+    names = Counter(w.lower() for w in words if w[0].isdigit() or w[0].isupper())
+    return words, int(SPREAD * len(words) + 1), Counter(w.lower() for w in words), names
+
+
+def _starts(template: str, have: list[str]) -> Iterator[int]:
+    """Places from which as many words as a match can have hold enough of the template's, in any order."""
+    want, most, count, names = _wanted(template)
+    places = [i for i, w in enumerate(have) if w in count]
+    seen, held, named, right = Counter(), 0, 0, 0
+    for i in places:
+        while right < len(places) and places[right] < i + most:
+            w = have[places[right]]
+            seen[w] += 1
+            held += seen[w] <= count[w]
+            named += seen[w] <= names[w]
+            right += 1
+        if len(want) - held <= MISSING * len(want) and named == names.total():
+            yield i
+        w = have[i]
+        held -= seen[w] <= count[w]
+        named -= seen[w] <= names[w]
+        seen[w] -= 1
+
+
+def _match(template: str, have: list[str], at: int) -> tuple[int, int, int, int] | None:
+    want, most, _, _ = _wanted(template)
+    match = SequenceMatcher(None, [w.lower() for w in want], have[at : at + most], autojunk=False)
     same = [m for m in match.get_matching_blocks() if m.size]
     held = {m.a + k for m in same for k in range(m.size)}
     missing = [w for i, w in enumerate(want) if i not in held]
     if not same or len(missing) > MISSING * len(want) or any(w[0].isdigit() or w[0].isupper() for w in missing):
         return None
-    span = same[-1].b + same[-1].size - same[0].b
-    return (len(missing), span - len(held)) if span <= SPREAD * len(want) + 1 else None
+    first, last = same[0].b, same[-1].b + same[-1].size
+    return len(missing), last - first - len(held), at + first, at + last
+
+
+def matches(template: str, have: list[str]) -> list[tuple[int, int, int, int]]:
+    """Words missing, words put in between, first and last word (exclusive) of each place with this wording.
+
+    Of places that overlap, the one with the fewest missing and put in stays.
+    """
+    out = []
+    for at in _starts(template, have):
+        if out and at < out[-1][3]:
+            if out[-1][:2] != (0, 0) and (m := _match(template, have, at)) and m[:2] < out[-1][:2]:
+                out[-1] = m
+        elif m := _match(template, have, at):
+            out.append(m)
+    return out
+
+
+def difference(template: str, block: str) -> tuple[int, int] | None:
+    """Words missing and words put in between, or None if it is another wording."""
+    found = matches(template, [w.lower() for w in _WORD.findall(block)])
+    return min(found)[:2] if found else None
+
+
+def notices(block: str) -> Iterator[tuple[int, int, str, int, int, int]]:
+    """First line, last line (exclusive), license, saved bytes, words missing and put in of each license confirmed."""
+    words = list(_WORD.finditer(block))
+    have = [w[0].lower() for w in words]
+    if not any(matches(t, have) for _, t in TEMPLATES):
+        return
+    seen = set()
+    for saved, i in ranked(block)[:RANKS]:
+        license_name, template = TEMPLATES[i]
+        if saved > 0 and license_name not in seen and (found := matches(template, have)):
+            seen.add(license_name)
+            missing, added, first, last = min(found)
+            yield block.count("\n", 0, words[first].start()), block.count("\n", 0, words[last - 1].end()) + 1, license_name, saved, missing, added
 
 
 def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -101,14 +182,10 @@ def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame
         for batch in batches:
             out = []
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for first, last, block in blocks(value):
-                    seen = set()
-                    for saved, i in ranked(block)[:RANKS]:
-                        license_name, template = TEMPLATES[i]
-                        if saved > 0 and license_name not in seen and (d := difference(template, block)):
-                            seen.add(license_name)
-                            out.append({"doc_id": name, "first_line": first, "last_line": last, "license": license_name,
-                                        "saved_bytes": saved, "n_missing": d[0], "n_added": d[1]})
+                for start, _, block in blocks(value):
+                    for first, last, license_name, saved, missing, added in notices(block):
+                        out.append({"doc_id": name, "first_line": start + first, "last_line": start + last, "license": license_name,
+                                    "saved_bytes": saved, "n_missing": missing, "n_added": added})
             yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
 
     texts = df.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))

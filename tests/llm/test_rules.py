@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 from collections import Counter
 
 import pytest
@@ -166,3 +167,17 @@ def test_op4_equals_a_search_for_the_notices(spark):
     want = Counter((i, n) for i, t in texts.items() for n, notice in licenses.TEMPLATES if notice in t)
     got = {(r.doc_id, r.license) for r in QUERIES["op4_license_scans"](spark, SF).collect()}
     assert got == set(want) and got
+
+
+def test_line_wraps_cut_no_notice(spark):
+    before, after = "Copyright 2020 Some Person and others", "A paragraph of this text that goes on and on.\n\n" * 12
+    texts, want = [], set()
+    for name, notice in licenses.TEMPLATES:
+        for width in (30, 50, 70, 75, 80):
+            for mark in ("", "# "):
+                lines = textwrap.wrap(notice, width, break_on_hyphens=False, break_long_words=False)
+                start = after.count("\n") + 3
+                want.add((len(texts), start, start + len(lines), name))
+                texts.append("\n".join([after, before, "", *(mark + x for x in lines), "", after]))
+    got = licenses.scan(table(spark, texts)).collect()
+    assert {(r.doc_id, r.first_line, r.last_line, r.license) for r in got} == want and all(r.saved_bytes > 0 for r in got)
