@@ -2,9 +2,11 @@
 
 A block of lines with a license word is compressed with each template as a raw
 zstandard dictionary. Templates are ranked by the bytes this saves against no
-dictionary. The best are confirmed by wording: almost all words of the template
-in their order, close together, and none of its names or numbers missing; the
-missing words and those put in their place are counted.
+dictionary. In this order each is confirmed by wording, wherever it stands in the
+block: almost all words of the template in their order, close together, and none
+of its names or numbers missing; the missing words and those put in their place
+are counted. Words of a confirmed notice are not used again. Its saved bytes are
+those of its own words, as a short notice saves nothing in a long line.
 
 Null and empty texts have no block. Blocks are whole lines, in order; a block
 goes on around each license word for NEAR lines and for as many words as the
@@ -53,7 +55,6 @@ HINT = r"(?i)licen[cs]|copyright|hereby granted|redistribut|permission|free soft
 NEAR = 3
 #: Template words that may be missing, and how much longer than the template its match may be.
 MISSING, SPREAD = 0.1, 1.3
-RANKS = 3
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
 _FOUND = "doc_id long, first_line int, last_line int, license string, saved_bytes int, n_missing int, n_added int"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("first_line", pa.int32()), ("last_line", pa.int32()), ("license", pa.string()),
@@ -91,11 +92,17 @@ def blocks(text: str) -> Iterator[tuple[int, int, str]]:
         yield start, end, "\n".join(lines[start:end])
 
 
+def saved(text: str, only: int | None = None) -> list[int]:
+    """Bytes that each template saves, or one of them."""
+    data = text.encode()
+    plain, *with_dict = compressors()
+    sizes = [len(c.compress(data)) for c in (with_dict if only is None else [with_dict[only]])]
+    return [len(plain.compress(data)) - n for n in sizes]
+
+
 def ranked(block: str) -> list[tuple[int, int]]:
     """Saved bytes and template, the best first."""
-    data = block.encode()
-    plain, *with_dict = (len(c.compress(data)) for c in compressors())
-    return sorted(((plain - n, i) for i, n in enumerate(with_dict)), key=lambda x: (-x[0], x[1]))
+    return sorted(((n, i) for i, n in enumerate(saved(block))), key=lambda x: (-x[0], x[1]))
 
 
 @functools.cache
@@ -160,22 +167,23 @@ def difference(template: str, block: str) -> tuple[int, int] | None:
 
 
 def notices(block: str) -> Iterator[tuple[int, int, str, int, int, int]]:
-    """First line, last line (exclusive), license, saved bytes, words missing and put in of each license confirmed."""
+    """First line, last line (exclusive), license, saved bytes, words missing and put in of each notice confirmed."""
     words = list(_WORD.finditer(block))
     have = [w[0].lower() for w in words]
     if not any(matches(t, have) for _, t in TEMPLATES):
         return
-    seen = set()
-    for saved, i in ranked(block)[:RANKS]:
+    for _, i in ranked(block):
         license_name, template = TEMPLATES[i]
-        if saved > 0 and license_name not in seen and (found := matches(template, have)):
-            seen.add(license_name)
-            missing, added, first, last = min(found)
-            yield block.count("\n", 0, words[first].start()), block.count("\n", 0, words[last - 1].end()) + 1, license_name, saved, missing, added
+        while found := matches(template, have):
+            for missing, added, first, last in found:
+                have[first:last] = [""] * (last - first)
+                start, end = words[first].start(), words[last - 1].end()
+                yield (block.count("\n", 0, start), block.count("\n", 0, end) + 1, license_name,
+                       saved(block[start:end], i)[0], missing, added)
 
 
 def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Confirmed licenses: doc_id, first_line, last_line (exclusive), license, saved_bytes, n_missing, n_added."""
+    """Confirmed notices: doc_id, first_line, last_line (exclusive), license, saved_bytes, n_missing, n_added."""
     importable(df.sparkSession)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,9 +191,9 @@ def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame
             out = []
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for start, _, block in blocks(value):
-                    for first, last, license_name, saved, missing, added in notices(block):
+                    for first, last, license_name, n_saved, missing, added in notices(block):
                         out.append({"doc_id": name, "first_line": start + first, "last_line": start + last, "license": license_name,
-                                    "saved_bytes": saved, "n_missing": missing, "n_added": added})
+                                    "saved_bytes": n_saved, "n_missing": missing, "n_added": added})
             yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
 
     texts = df.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))

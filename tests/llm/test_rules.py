@@ -181,3 +181,16 @@ def test_line_wraps_cut_no_notice(spark):
                 texts.append("\n".join([after, before, "", *(mark + x for x in lines), "", after]))
     got = licenses.scan(table(spark, texts)).collect()
     assert {(r.doc_id, r.first_line, r.last_line, r.license) for r in got} == want and all(r.saved_bytes > 0 for r in got)
+
+
+def test_a_block_may_hold_any_number_of_notices(spark):
+    notices = [t for _, t in licenses.TEMPLATES]
+    names = Counter(n for n, _ in licenses.TEMPLATES)
+    prose = "word after word of prose that no license has, and under it the next one of many in this long line, " * 40
+    short = [t for t in notices if len(t) < 90]
+    texts = ["\n".join(notices), "\n".join(notices[::-1]), " ".join(notices), "\n".join(short), f"{prose}{' '.join(short)} {prose}", "\n".join(short[:1] * 5)]
+    got = licenses.scan(table(spark, texts)).collect()
+    some = Counter(n for n, t in licenses.TEMPLATES if t in short)
+    for i, want in enumerate([names, names, names, some, some, Counter({"Apache-2.0": 5})]):
+        assert Counter(r.license for r in got if r.doc_id == i) == want, i
+    assert all(r.saved_bytes > 0 for r in got)
