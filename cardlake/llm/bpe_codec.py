@@ -35,6 +35,7 @@ WINDOW = 4
 _IDS = T.StructType([T.StructField("ids", T.BinaryType())])
 _LEAF = T.StructType([T.StructField("sizes", T.ArrayType(T.IntegerType())), T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("ids", T.BinaryType())])
 _DIGEST = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
+_CODED = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType()), *_DIGEST.fields])
 _TEXT = T.StructType([T.StructField("text", T.StringType())])
 
 
@@ -140,28 +141,39 @@ def decode(df: DataFrame, ids: str = "ids", text: str = "decoded", vocabulary: s
 
 def with_digests(df: DataFrame, text: str = "text", leaf_chars: int = LEAF_CHARS, vocabulary: str | None = None) -> DataFrame:
     """Add ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of encoding and decoding."""
+    return _coded(df, text, leaf_chars, vocabulary, _DIGEST)
+
+
+def with_decoded(df: DataFrame, text: str = "text", leaf_chars: int = LEAF_CHARS, vocabulary: str | None = None) -> DataFrame:
+    """Add ``ids``, the ``decoded`` text and what ``with_digests`` adds."""
+    return _coded(df, text, leaf_chars, vocabulary, _CODED)
+
+
+def _coded(df: DataFrame, text: str, leaf_chars: int, vocabulary: str | None, kind: T.StructType) -> DataFrame:
     path = vocabulary or public_tokenizers.path(BYTE_BPE)
 
-    def digest_of(bpe: ByteBpe, ids: bytes) -> dict:
-        return {"n_tokens": len(ids) // 4, "ids_sha256": hashlib.sha256(ids).hexdigest(),
-                "decoded_sha256": hashlib.sha256(bpe.decode(ids).encode()).hexdigest()}
+    def coded(bpe: ByteBpe, ids: bytes) -> dict:
+        decoded = bpe.decode(ids)
+        of = {"ids": ids, "decoded": decoded, "n_tokens": len(ids) // 4, "ids_sha256": hashlib.sha256(ids).hexdigest(),
+              "decoded_sha256": hashlib.sha256(decoded.encode()).hexdigest()}
+        return {name: of[name] for name in kind.names}
 
     def of_texts(texts: list[str]) -> list[dict]:
         bpe = byte_bpe(path)
-        return [digest_of(bpe, bpe.encode(t)) for t in texts]
+        return [coded(bpe, bpe.encode(t)) for t in texts]
 
     def of_ids(values: list[bytes]) -> list[dict]:
         bpe = byte_bpe(path)
-        return [digest_of(bpe, v) for v in values]
+        return [coded(bpe, v) for v in values]
 
     importable(df.sparkSession)
     is_long = F.length(text_of(text)) > leaf_chars
     # One Python worker a task: ids of short texts are not sent back to be read again.
-    short = df.where(~is_long).withColumn("_d", arrow_column(of_texts, _DIGEST)(text_of(text)))
+    short = df.where(~is_long).withColumn("_d", arrow_column(of_texts, kind)(text_of(text)))
     encoded = stage(_encode_long(df.where(is_long), text, leaf_chars, path), "long-ids")
-    long = encoded.withColumn("_d", arrow_column(of_ids, _DIGEST)(F.col("ids"))).drop("ids")
+    long = encoded.withColumn("_d", arrow_column(of_ids, kind)(F.col("ids"))).drop("ids")
     done = short.unionByName(long)
-    return done.withColumns({f.name: F.col("_d")[f.name] for f in _DIGEST.fields}).drop("_d")
+    return done.withColumns({f.name: F.col("_d")[f.name] for f in kind.fields}).drop("_d")
 
 
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

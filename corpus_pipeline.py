@@ -10,7 +10,8 @@ columns of documents, and work on every row that came in.
 3. SimHash near-dedup: of each group of linked documents the one with the
    smallest doc_id stays (null last; of equal ids, one by the rest of the row).
 4. benchmark decontamination: documents that hold a test item go.
-5. BPE encoding: token ids, counts and digests of what is left.
+5. BPE encoding and decoding: token ids and their count, the text decoded from
+   them, and digests of both, for what is left.
 """
 
 from __future__ import annotations
@@ -42,9 +43,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, ids (little-endian unsigned 32-bit), n_tokens."""
-    encoded = bpe_codec.encode(docs)
-    return encoded.select("doc_id", "lang", "source", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"))
+    """doc_id, lang, source, ids (little-endian unsigned 32-bit), n_tokens, ids_sha256, decoded, decoded_sha256."""
+    coded = bpe_codec.with_decoded(docs)
+    return coded.select("doc_id", "lang", "source", "ids", "n_tokens", "ids_sha256", "decoded", "decoded_sha256")
 
 
 STAGES = [

@@ -231,6 +231,26 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
     assert got == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in texts.items()}
 
 
+def test_last_stage_decodes_its_ids(spark):
+    from array import array
+
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+    from cardlake.llm.bpe import BYTE_BPE
+
+    library = Tokenizer.from_file(public_tokenizers.path(BYTE_BPE))
+    long = "two words of many 漢字 \n" * 4000  # longer than a leaf
+    texts = {**stored(spark), -1: long, -2: None}
+    got = corpus_pipeline.bpe_encoding(spark, table(spark, list(texts.values()), list(texts)), SF).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert array("I", r.ids).tolist() == ids and r.n_tokens == len(ids) and r.decoded == decoded, r.doc_id
+        assert r.ids_sha256 == hashlib.sha256(r.ids).hexdigest() and r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+
+
 def stored_rows(spark):
     return spark.read.parquet(f"{SF}/documents.parquet").collect()
 
