@@ -57,5 +57,5 @@ def arrow_column(fn: Callable[[list[str]], list[dict]], kind: T.StructType) -> C
 
 _ARROW = {
     "bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(),
-    "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "double": pa.float64(),
+    "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64()), "double": pa.float64(),
 }

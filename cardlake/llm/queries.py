@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from cardlake.llm import decontaminate, quality, sharding
+from cardlake.llm.alignment import op12_alignment
 from cardlake.llm.bpe_codec import op5_bpe_codec
+from cardlake.llm.conversation_trie import op13_conversation_trie
 from cardlake.llm.decontaminate import op8_decontaminate
 from cardlake.llm.licenses import op4_license_scans
 from cardlake.llm.line_dedup import op2_line_dedup
+from cardlake.llm.minhash import op11_minhash
 from cardlake.llm.pii import op7_pii
 from cardlake.llm.quality import op6_quality_rules
 from cardlake.llm.sharding import op3_sharding
@@ -25,6 +28,9 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_token_files": op9_token_files,
     "op10_simhash": op10_simhash,
+    "op11_minhash": op11_minhash,
+    "op12_alignment": op12_alignment,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 ORACLE: dict[str, str] = {
