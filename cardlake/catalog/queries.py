@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +34,9 @@ from cardlake.plans import contracts as K
 from cardlake.plans import controls, gold, ingest, measures, ops_measures, runlog, silver, warehouse
 from cardlake.plans.bronze import ENTITIES, FUNDAMENTAL_MEASURES, pairs_from_object, to_bronze
 from cardlake.session import checkpoint_dir
+from cardlake.sources import readers, writers
 from cardlake.sources.readers import spine_over
-from cardlake.streaming.files import stream_ingest, stream_latest
+from cardlake.streaming.files import read_latest, stream_ingest, stream_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1353,7 +1355,7 @@ def stream_latest_transactions(spark, sf):
         keyed, f"{home}/table", ["id"], "ship_date", ["l_partkey", "l_suppkey", "l_extendedprice"],
         f"{home}/checkpoint", uuid.uuid4().hex, buckets=8,
     ).awaitTermination()
-    return spark.read.parquet(f"{home}/table").select(*keyed.columns)
+    return read_latest(spark, f"{home}/table", keyed.schema, ["id"], "ship_date", ["l_partkey", "l_suppkey", "l_extendedprice"])
 
 
 # --- loads with faulty, moved and late rows ----------------------------------
@@ -1423,7 +1425,44 @@ def silver_incremental(spark, sf):
     stale = bronze.where(line == 2).withColumns({"amount": F.lit(0.0), "ingestion_ts": V._ts("1970-01-01 00:00:00")})
     late = moved.unionByName(stale)
     silver.build_silver(late, "TRANSACTION", path, uuid.uuid4().hex, incremental=True, tie_break=V.TXN_TIES)
-    return spark.read.parquet(path).select("transaction_id", "txn_month", "amount")
+    return writers.read(spark, path, K.SILVER_TRANSACTIONS.schema).select("transaction_id", "txn_month", "amount")
+
+
+@query("""
+    SELECT transaction_id, CASE WHEN transaction_id LIKE '%5' THEN CAST(txn_month + INTERVAL 1 MONTH AS DATE) ELSE txn_month END AS txn_month, amount
+    FROM wh_fact_known""")
+def refresh_slice_moved(spark, sf):
+    """A month-wise load by which some transactions leave the month they stood in."""
+    path = f"{checkpoint_dir(spark)}/slice-{uuid.uuid4().hex}"
+    fact = warehouse.wh_fact(V.stored_gold(spark, sf, "fact"), V.stored_dims(spark, sf))
+    warehouse.refresh_slice(fact, "fact_transactions", path, uuid.uuid4().hex)
+    later = F.add_months("txn_month", 1)
+    moved = fact.where(F.col("transaction_id").endswith("5")).withColumns({
+        "txn_month": later, "record_hash": F.sha2(F.concat("record_hash", later.cast("string")), 256)})
+    warehouse.refresh_slice(moved, "fact_transactions", path, uuid.uuid4().hex)
+    return writers.read(spark, path, K.WH_FACT.schema).select("transaction_id", "txn_month", "amount")
+
+
+@query(_BRONZE_TXN.format("DATE '2001-07-01' AS ingestion_date, 'TRANSACTION' AS entity"))
+def ingest_interleaved(spark, sf):
+    """Two loads of one entity from two folders at once: one waits for the other, no row is lost or doubled."""
+    home = f"{checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
+    raw = L.transactions(spark, sf)
+    odd = F.col(raw.columns[0]).cast("long") % 2
+    for i in (0, 1):
+        raw.where(odd == i).write.option("header", True).csv(f"{home}/in{i}")
+
+    def load(i: int) -> dict:
+        return ingest.ingest(
+            spark, "TRANSACTION", f"{home}/in{i}", f"{home}/bronze", f"{home}/manifest", f"{home}/log", "2001-07-01", uuid.uuid4().hex, wait=1800.0
+        )
+
+    with ThreadPoolExecutor(2) as both:
+        list(both.map(load, (0, 1)))
+    recorded = writers.read(spark, f"{home}/manifest").where("last_status = 'SUCCESS'").count()
+    if recorded != sum(readers.list_files(spark, f"{home}/in{i}").count() for i in (0, 1)):
+        raise AssertionError("a load's files are missing in the manifest")
+    return _loaded(spark, f"{home}/bronze")
 
 
 _SHIFTED = """(SELECT txn_month, transaction_id FROM wh_fact_known UNION ALL

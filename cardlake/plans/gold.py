@@ -21,9 +21,11 @@ from cardlake.operators.conform import (
 from cardlake.operators.dedup import dedup_latest
 from cardlake.operators.projection import add_gold_audit, require_text
 from cardlake.plans import contracts as K
-from cardlake.sources import writers
+from cardlake.sources import versions, writers
 from cardlake.sources.readers import date_spine
 
+#: The folder level that keeps rows that conform apart from those that do not.
+PASSED = "__passed"
 # The calendar's span when none is given.
 DEFAULT_START, DEFAULT_END = "2015-01-01", "2035-12-31"
 
@@ -185,7 +187,7 @@ def staged_orphan_keys(silver: DataFrame, rules: list[Rule], run_id: str) -> dic
 def build_dimension(df: DataFrame, c: K.Contract, path: str, run_id: str, checks=None) -> dict:
     """Replace one gold dimension after its contract holds."""
     checks = Q.contract_checks(c) if checks is None else checks
-    return writers.publish(K.project_to_contract(df, c), path, run_id, c.table, (), checks)
+    return writers.publish(K.project_to_contract(df, c), path, c.table, (), checks)
 
 
 def build_cards(
@@ -231,48 +233,56 @@ def _build_split(
     silver, tag, rules, c: K.Contract, entity: str, source_table: str,
     path: str, events_path: str, kpi_path: str, run_id: str,
 ) -> dict:
-    """Tag once, stage the tagged rows with all counts and checks observed on
-    that write, then fill the table and the anomaly tables from the staged rows.
+    """Write the tagged rows once, those that pass and those that fail apart, with
+    all counts and checks observed on that write. Passing ones are committed as
+    the table, failing ones become anomaly events.
 
     Uniqueness needs no pass of its own: the rows are ranked per key just before.
     """
+    spark, base = silver.sparkSession, versions.current(silver.sparkSession, path)
     run_id = require_text(run_id, "run_id")
     arrived = Observation(f"{c.table}-in-{run_id}")
     tagged = add_gold_audit(tag(silver.observe(arrived, F.count(F.lit(1)).alias("row_in"))), run_id)
     shaped = tagged.select(
         *[F.col(k.name).cast(K.spark_type(k.type)).alias(k.name) for k in c.columns], FAILED_RULE
-    )
-    passed = F.col(FAILED_RULE).isNull()
+    ).withColumn(PASSED, F.col(FAILED_RULE).isNull())
+    passed = F.col(PASSED)
     checks = Q.contract_checks(c, with_unique=False)
     broken = {k.name: F.count_if(passed & k.violation) for k in checks if k.violation is not None}
-    staged, seen = writers.stage(
-        shaped, f"{c.table}-tagged", run_id, c.partition_by,
-        {"deduped": F.count(F.lit(1)), "rejected": F.count_if(~passed), **broken},
+    load, seen = versions.write(
+        shaped, path, [PASSED, *c.partition_by], {"deduped": F.count(F.lit(1)), "rejected": F.count_if(~passed), **broken}
     )
-    failures = {k: seen[k] for k in broken if seen[k]}
-    if failures:
-        raise Q.QualityError(c.table, failures)
-    good = conforming(staged)
-    Q.assert_passed(Q.run_checks(good, [k for k in checks if k.max_distinct is not None]), c.table)
-    writers.overwrite(good, path, c.partition_by, cluster=False)
+    written = versions.folders(spark, path, load)
+    top = f"{PASSED}=true"
+    good = {p[len(top) + 1 :]: [f] for p, f in written.items() if p.startswith(top)}
+    try:
+        failures = {k: seen[k] for k in broken if seen[k]}
+        if failures:
+            raise Q.QualityError(c.table, failures)
+        rows = versions.files(spark, path, [f for some in good.values() for f in some], c.schema)
+        Q.assert_passed(Q.run_checks(rows, [k for k in checks if k.max_distinct is not None]), c.table)
+    except Q.QualityError:
+        versions.discard(spark, path, load)
+        raise
+    versions.commit(spark, path, base, good, whole=True)
     # Each run and entity has a partition of its own: a run repeated replaces its events.
     own = ["gold_run_id", "entity"]
     if seen["rejected"]:
+        failed = versions.files(spark, path, [f for p, f in written.items() if not p.startswith(top)], shaped.drop(PASSED).schema)
         events, _ = writers.stage(
-            orphan_events(staged, rules, run_id, entity, source_table), f"{c.table}-events", run_id
+            orphan_events(failed, rules, run_id, entity, source_table), f"{c.table}-events", run_id
         )
         writers.overwrite_partitions(events, events_path, own, cluster=False)
         writers.overwrite_partitions(anomaly_kpis(events, run_id, entity), kpi_path, own, cluster=False)
     else:
         for table in (events_path, kpi_path):
-            writers.remove_folder(silver.sparkSession, f"{table}/gold_run_id={run_id}/entity={entity}")
+            writers.remove_folder(spark, f"{table}/gold_run_id={run_id}/entity={entity}")
     row_in = arrived.get["row_in"]
-    months = good.select(*c.partition_by).distinct().count() if c.partition_by else 0
     return {
         "row_in": row_in,
         "dedup_dropped": row_in - seen["deduped"],
         "row_rejected": seen["rejected"],
         "anom_count": seen["rejected"],
         "row_out": seen["deduped"] - seen["rejected"],
-        "partition_count": months,
+        "partition_count": len(good) if c.partition_by else 0,
     }

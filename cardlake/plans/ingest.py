@@ -18,7 +18,7 @@ from cardlake.operators.upsert import merge_rows, merged_table
 from cardlake.plans import contracts as K
 from cardlake.plans.bronze import BATCH, ENTITIES, pairs_from_object, to_bronze
 from cardlake.session import checkpoint_dir
-from cardlake.sources import readers, writers
+from cardlake.sources import lease, readers, versions, writers
 
 
 def candidate_files(
@@ -168,16 +168,60 @@ def ingest(
     run_id: str,
     mode: str = "INCR",
     batch_files: int = 10_000,
+    wait: float = 0.0,
+    lease_seconds: float = lease.SECONDS,
 ) -> dict:
     """Load the new files of an entity, then record each file and the run.
 
     Files go through in batches of about ``batch_files``, so the driver holds
-    the paths of one batch however many there are; each batch is one job. What
-    a run wrote that was cut off before its manifest is removed first.
+    the paths of one batch however many there are; each batch is one job.
+
+    One load of an entity runs at a time: it holds the entity's lease, renewed
+    with each batch, and another one waits up to ``wait`` seconds or raises
+    ``lease.Held``. If its owner dies, the lease ends after ``lease_seconds``; the
+    next load takes over, removes what was written but never recorded, and
+    shuts the old owner out of the manifest.
     """
-    files, _ = writers.stage(readers.list_files(spark, source_path), f"{entity}-files", run_id)
-    manifest = writers.read_or_empty(spark, manifest_path, K.INGESTION_MANIFEST.schema).where(F.col("entity") == entity)
+    with lease.held(spark, lease_folder(manifest_path, entity), run_id, lease_seconds, wait) as own:
+        return _ingest(spark, entity, source_path, table_path, manifest_path, log_path, exec_date, run_id, mode, batch_files, own)
+
+
+def lease_folder(manifest_path: str, entity: str) -> str:
+    return f"{manifest_path.rstrip('/')}_leases/{entity.strip().upper()}"
+
+
+def take_over(spark: SparkSession, entity: str, table_path: str, manifest_path: str, own: lease.Lease) -> DataFrame:
+    """The entity's manifest, once earlier owners are shut out of it and their unfinished batches are removed."""
+    versions.commit(spark, manifest_path, versions.current(spark, manifest_path), {}, fence=(entity, own.number))
+    manifest = _manifest(spark, manifest_path, entity)
     undo_unfinished(spark, entity, table_path, manifest, manifest_path)
+    return manifest
+
+
+def _manifest(spark: SparkSession, manifest_path: str, entity: str) -> DataFrame:
+    part = versions.part_name("entity", entity)
+    return versions.read(spark, manifest_path, K.INGESTION_MANIFEST.schema, [part]).where(F.col("entity") == entity)
+
+
+def record_files(spark: SparkSession, entity: str, manifest_path: str, rows: DataFrame, own: lease.Lease) -> None:
+    """Merge rows into the entity's partition of the manifest and commit it under the lease.
+
+    Entities have partitions of their own, so loads of two of them do not meet.
+    """
+    base, part = versions.current(spark, manifest_path), versions.part_name("entity", entity)
+    stored = versions.read(spark, manifest_path, K.INGESTION_MANIFEST.schema, [part], base)
+    merged = update_manifest(stored.where(F.col("entity") == entity), rows)
+    load, _ = versions.write(merged, manifest_path, ["entity"])
+    own.renew()
+    versions.publish_load(spark, manifest_path, base, load, fence=(entity, own.number))
+
+
+def _ingest(
+    spark: SparkSession, entity: str, source_path: str, table_path: str, manifest_path: str, log_path: str,
+    exec_date: str, run_id: str, mode: str, batch_files: int, own: lease.Lease,
+) -> dict:
+    manifest = take_over(spark, entity, table_path, manifest_path, own)
+    files, _ = writers.stage(readers.list_files(spark, source_path), f"{entity}-files", run_id)
     wanted, seen = writers.stage(
         candidate_files(files, manifest, entity, mode), f"{entity}-candidates", run_id, (),
         {"n": F.count(F.lit(1))},
@@ -189,6 +233,7 @@ def ingest(
         part = wanted.where(F.pmod(F.xxhash64("file_path"), F.lit(batches)) == b).select("file_path")
         paths = [r["file_path"] for r in part.collect()]
         if paths:
+            own.renew()
             batch = f"{run_id}-{b}"
             begin_batch(spark, entity, batch, exec_date, paths, manifest_path)
             done = load_files(spark, entity, paths, table_path, exec_date, batch)
@@ -206,9 +251,8 @@ def ingest(
         listed.where("status is not null"), exec_date, mode,
         total_source_files=total, total_candidate_files=seen["n"],
     )
-    merged, _ = writers.stage(update_manifest(manifest, rows), f"{entity}-manifest", run_id)
-    # Each entity has a partition of its own, so loads of two entities do not undo each other.
-    writers.overwrite_partitions(merged, manifest_path, ["entity"], cluster=False)
+    if seen["n"]:
+        record_files(spark, entity, manifest_path, rows, own)
     log, _ = writers.stage(
         K.project_to_contract(ingestion_log(listed), K.INGESTION_LOG), f"{entity}-log", run_id
     )

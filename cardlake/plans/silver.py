@@ -20,7 +20,7 @@ from cardlake.operators.dedup import dedup_latest
 from cardlake.operators.projection import add_tech_columns
 from cardlake.plans import contracts as K
 from cardlake.plans.bronze import BATCH, ENTITIES
-from cardlake.sources import writers
+from cardlake.sources import versions, writers
 
 # The business columns behind each record hash, in hash order.
 HASH_COLUMNS = {
@@ -220,32 +220,39 @@ def build_silver(
     spark = bronze.sparkSession
     arrived = Observation(f"{c.table}-in-{run_id}")
     fresh = make(bronze.observe(arrived, F.count(F.lit(1)).alias("row_in")), **options)
+    zone_key = c.keys[0] if c.partition_by else None
     if not (incremental and writers.table_exists(spark, path)):
-        counts = writers.publish(fresh, path, run_id, c.table, c.partition_by, checks)
+        counts = writers.publish(fresh, path, c.table, c.partition_by, checks, zone_key=zone_key)
         kept = counts["row_out"]
     else:
         fresh, seen = writers.stage(
             fresh, f"{c.table}-fresh", run_id, c.partition_by, {"kept": F.count(F.lit(1))}
         )
-        kept = seen["kept"]
-        target, touched = spark.read.schema(c.schema).parquet(path).select(*c.names), None
-        if c.partition_by:
-            touched, _ = writers.stage(key_partitions(target, fresh, c.keys, c.partition_by[0]), f"{c.table}-touched", run_id)
-            target = target.join(touched, c.partition_by[0], "left_semi")
-        merged = newest_rows(target, fresh, c.keys)
-        counts = writers.publish(merged, path, run_id, c.table, c.partition_by, checks, whole=False, touched=touched)
+        kept, base = seen["kept"], versions.current(spark, path)
+        touched = key_partitions(spark, path, base, c, fresh) if c.partition_by else None
+        merged = newest_rows(versions.read(spark, path, c.schema, touched, base), fresh, c.keys)
+        counts = writers.publish(merged, path, c.table, c.partition_by, checks, whole=False, touched=touched or (), base=base, zone_key=zone_key)
     row_in = arrived.get["row_in"]
     return {"row_in": row_in, "dedup_dropped": row_in - kept, **counts}
 
 
-def key_partitions(target: DataFrame, fresh: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    """Partitions that fresh rows go to, or that hold their keys now.
+def key_partitions(spark: SparkSession, path: str, at: versions.Version, c: K.Contract, fresh: DataFrame) -> list[str]:
+    """Names of the partitions that fresh rows go to, or that hold their keys now.
 
-    A corrected row may change its month. The old one is found by a semi join
-    that reads only keys and month of the target.
+    A corrected row may change its month. Each partition's range of keys is part
+    of the table's version, so only partitions whose range has a fresh key are
+    asked: of these, a semi join reads the key column. Ids that grow with time
+    lead to few partitions, ids without any order to all of them.
     """
-    held = target.select(*dict.fromkeys([*keys, column])).join(fresh.select(*keys).distinct(), list(keys), "left_semi")
-    return held.select(column).union(fresh.select(column)).distinct()
+    column, key = c.partition_by[0], c.keys[0]
+    asked = versions.holding(spark, at, fresh.select(key), key)
+    going = fresh.select(F.col(column).cast("string").alias("p"))
+    if asked:
+        held = versions.read(spark, path, c.schema, asked, at).select(*dict.fromkeys([*c.keys, column]))
+        found = held.join(fresh.select(*c.keys).distinct(), list(c.keys), "left_semi")
+        going = going.union(found.select(F.col(column).cast("string")))
+    # Partition values are limited by contract.
+    return sorted({versions.part_name(column, r.p) for r in going.distinct().collect()})
 
 
 def newest_rows(target: DataFrame, fresh: DataFrame, keys: Sequence[str], order: str = "ingestion_ts") -> DataFrame:

@@ -21,7 +21,7 @@ from cardlake.operators.upsert import (
 )
 from cardlake.plans import contracts as K
 from cardlake.plans.silver import key_partitions
-from cardlake.sources import writers
+from cardlake.sources import versions, writers
 
 # Fixed values.
 CURRENCY = "USD"
@@ -109,18 +109,20 @@ _DIMENSIONS = {
 }
 
 
-def dim_rows(gold: DataFrame, table: str, target: DataFrame | None = None) -> DataFrame:
+def dim_rows(gold: DataFrame, table: str, target: DataFrame | None = None, projected: bool = False) -> DataFrame:
     """The refreshed dimension with the action taken on each row.
 
     New members get the next surrogate keys, changed ones (by hash) are
     overwritten in place, the rest stay. A row without a natural key is no
-    member: it would match nothing and come in anew with every load.
+    member: it would match nothing and come in anew with every load. ``gold`` may
+    be ``projected`` to the source's columns already.
     """
     c, project, keep = _DIMENSIONS[table]
     if target is None:
         target = K.empty_table(gold.sparkSession, c)
     key, natural = c.names[0], c.keys[0]
-    source = assign_surrogate(target, project(gold).where(F.col(natural).isNotNull()), natural, key)
+    members = (gold if projected else project(gold)).where(F.col(natural).isNotNull())
+    source = assign_surrogate(target, members, natural, key)
     return merge_rows(target.select(*c.names), source.select(*c.names), [natural], "record_hash", keep)
 
 
@@ -291,9 +293,9 @@ def refresh_slice(
 
     A row whose month has changed leaves the month it stood in. With
     ``delete_missing``, rows that the source lacks go from the source's own
-    months only. The source is evaluated once. The merged slice is staged with
-    its counts and then replaces exactly those partitions; running it again
-    from the result changes nothing.
+    months only. The source is evaluated once. The merged months are written
+    once, with their counts, and committed if anything has changed; running it
+    again from the result changes nothing.
     """
     c, hash_col = _SLICES[table]
     spark = source.sparkSession
@@ -301,9 +303,9 @@ def refresh_slice(
         K.project_to_contract(source, c), f"{table}-source", run_id, c.partition_by,
         {"rows_source": F.count(F.lit(1))},
     )
-    target = writers.read_or_empty(spark, path, c.schema).select(*c.names)
-    touched, _ = writers.stage(key_partitions(target, fresh, c.keys, "txn_month"), f"{table}-touched", run_id)
-    target = target.join(touched, "txn_month", "left_semi")
+    base = versions.current(spark, path)
+    touched = key_partitions(spark, path, base, c, fresh)
+    target = versions.read(spark, path, c.schema, touched, base).select(*c.names)
     rows = merge_rows(target, fresh, c.keys, hash_col)
     if delete_missing:
         own = fresh.select("txn_month").distinct().withColumn("__own", F.lit(True))
@@ -311,36 +313,43 @@ def refresh_slice(
         there = fresh.select(*c.keys).distinct().withColumn("__there", F.lit(True))
         rows = rows.join(own, "txn_month", "left").join(there, list(c.keys), "left").withColumn("__absent", F.col("__there").isNull())
         rows = rows.withColumn(ACTION, F.when(gone, DELETED).otherwise(F.col(ACTION))).select(*c.names, ACTION)
-    staged, counts = writers.stage(
-        rows, f"{table}-merged", run_id, c.partition_by, action_metrics()
-    )
-    if counts["rows_inserted"] or counts["rows_updated"] or counts["rows_deleted"]:
-        kept = staged.where(F.col(ACTION) != DELETED).drop(ACTION)
-        writers.overwrite_partitions(kept, path, c.partition_by, cluster=False)
-        writers.remove_partitions(spark, path, "txn_month", touched.join(kept, "txn_month", "left_anti"))
+    zone = (c.partition_by[0], c.keys[0])
+    counts = _publish_merged(rows, path, base, c, partition_by=c.partition_by, whole=False, emptied=touched, zone=zone)
     return {**seen, **counts}
 
 
+def _publish_merged(
+    rows: DataFrame, path: str, base: versions.Version, c: K.Contract, partition_by: Sequence[str] = (),
+    whole: bool = True, emptied: Sequence[str] = (), zone: tuple[str, str] | None = None,
+) -> dict:
+    """Write merged rows once with their counts; commit them unless nothing has changed."""
+    spark = rows.sparkSession
+    kept = F.col(ACTION) != DELETED
+    load, counts = versions.write(rows, path, partition_by, action_metrics(), keep=kept)
+    if counts["rows_inserted"] or counts["rows_updated"] or counts["rows_deleted"]:
+        known = versions.zones(versions.load_rows(spark, path, load, c.schema), *zone) if zone else None
+        versions.publish_load(spark, path, base, load, whole, emptied, alone=True, zones=known)
+    else:
+        versions.discard(spark, path, load)
+    return counts
+
+
 def refresh_dimension(gold: DataFrame, table: str, path: str, run_id: str) -> dict:
-    """Upsert one dimension; the merged table is staged before it replaces the old.
+    """Upsert one dimension.
 
-    ``rows_without_key`` counts source rows that have no natural key.
+    The source is projected once, into a staging table: missing keys, numbering
+    and merging read that. ``rows_without_key`` counts source rows that have no
+    natural key.
     """
     c, project, _ = _DIMENSIONS[table]
-    target = writers.read_or_empty(gold.sparkSession, path, c.schema)
-    nameless = project(gold).where(F.col(c.keys[0]).isNull()).count()
-    staged, counts = writers.stage(
-        dim_rows(gold, table, target), table, run_id, (), action_metrics()
-    )
-    if counts["rows_inserted"] or counts["rows_updated"]:
-        writers.overwrite(staged.where(F.col(ACTION) != DELETED).drop(ACTION), path)
-    return {**counts, "rows_without_key": nameless}
+    spark, base = gold.sparkSession, versions.current(gold.sparkSession, path)
+    nameless = F.count_if(F.col(c.keys[0]).isNull())
+    source, seen = writers.stage(project(gold), f"{table}-source", run_id, (), {"rows_without_key": nameless})
+    rows = dim_rows(source, table, versions.read(spark, path, c.schema, version=base), projected=True)
+    return {**_publish_merged(rows, path, base, c), **seen}
 
 
 def refresh_months(dates: DataFrame, path: str, run_id: str) -> dict:
-    c = K.WH_DIM_MONTH
-    target = writers.read_or_empty(dates.sparkSession, path, c.schema)
-    staged, counts = writers.stage(month_rows(dates, target), c.table, run_id, (), action_metrics())
-    if counts["rows_inserted"] or counts["rows_updated"]:
-        writers.overwrite(staged.drop(ACTION), path)
-    return counts
+    c, spark = K.WH_DIM_MONTH, dates.sparkSession
+    base = versions.current(spark, path)
+    return _publish_merged(month_rows(dates, versions.read(spark, path, c.schema, version=base)), path, base, c)

@@ -1,13 +1,15 @@
 """Writing Parquet tables.
 
-A target is never overwritten from a plan that may still fail: the result is
-first written to a staging table in the shared checkpoint folder, checked
-there, and only then moved over. The staging table also cuts the lineage, so a
-lost executor replays a scan and not the whole plan.
+A published table is never overwritten: a load writes its rows once, into a
+folder of its own, is checked there and then committed by a pointer (see
+``versions``). Staging tables in the shared checkpoint folder cut the lineage of
+what several steps read, so a lost executor replays a scan and not the whole
+plan.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -17,6 +19,7 @@ from pyspark.sql.utils import AnalysisException
 
 from cardlake.operators.quality import Check, QualityError, assert_passed, row_metrics, run_checks
 from cardlake.session import checkpoint_dir
+from cardlake.sources import versions
 from cardlake.sources.readers import rows_to_table
 
 
@@ -44,12 +47,6 @@ def _replace(df: DataFrame, path: str, partition_by: Sequence[str], cluster: boo
     writer.partitionBy(*partition_by).parquet(path)
 
 
-def remove_partitions(spark: SparkSession, path: str, column: str, values: DataFrame) -> None:
-    """Delete the folders of partitions; ``values`` are those that a load has emptied."""
-    for (value,) in values.select(F.col(column).cast("string")).distinct().collect():
-        remove_folder(spark, f"{path}/{column}={value or '__HIVE_DEFAULT_PARTITION__'}")
-
-
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of the table's own file system, if it is there."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -67,6 +64,8 @@ def clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    if versions.exists(spark, path):
+        return True
     try:
         spark.read.parquet(path)
         return True
@@ -74,10 +73,18 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A table by its path: the last version of a published one, or plain Parquet files."""
+    if versions.exists(spark, path):
+        return versions.read(spark, path, schema)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at ``path``, or no rows of the right shape before its first load."""
     if table_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
+        return read(spark, path, schema)
     return spark.createDataFrame([], schema)
 
 
@@ -92,14 +99,24 @@ def create_if_missing(
 
 
 def rebuild_table(df: DataFrame, table: str) -> None:
-    """Replace all rows of a catalog table in one job, keeping its definition.
+    """Replace all rows of a catalog table, keeping its definition.
 
-    One overwrite job instead of truncate and append. ``df`` must not read from
-    the table; after a failure the job is simply run again.
+    The rows are written once, beside the old ones; then the table's location
+    moves there, in one catalog step. A query that has begun keeps the old files,
+    a job that is cut off leaves the table as it was, and ``df`` may read from
+    the table. Old folders stay until the folder's retention rule removes them.
     """
-    df.select(*df.sparkSession.table(table).columns).write.option(
-        "partitionOverwriteMode", "static"
-    ).insertInto(table, overwrite=True)
+    spark = df.sparkSession
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+    home = about["Location"].rstrip("/")
+    home = home.rpartition("/_v-")[0] or home
+    columns = spark.table(table).schema
+    part = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    fresh = f"{home}/_v-{uuid.uuid4().hex}"
+    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in columns])
+    clustered(rows, part).write.partitionBy(*part).parquet(fresh)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{fresh}'")
+    spark.catalog.refreshTable(table)
 
 
 def append_rows(spark: SparkSession, path: str, rows: Sequence[dict], schema: T.StructType) -> None:
@@ -123,52 +140,58 @@ def stage(
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/staging/{run_id}/{name}"
     schema = df.schema
-    observation = None
+    observation, rows = None, df
     if metrics:
         observation = Observation(f"{name}-{run_id}")
         df = df.observe(observation, *[m.alias(k) for k, m in metrics.items()])
     overwrite(df, path, partition_by)
     staged = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
-    return staged, observation.get if observation else {}
+    return staged, versions.seen(observation, rows, metrics) if observation else {}
 
 
 def publish(
     df: DataFrame,
     path: str,
-    run_id: str,
     name: str,
     partition_by: Sequence[str] = (),
     checks: Sequence[Check] = (),
     metrics: dict[str, Column] | None = None,
     whole: bool = True,
-    touched: DataFrame | None = None,
+    touched: Sequence[str] = (),
+    base: versions.Version | None = None,
+    zone_key: str | None = None,
 ) -> dict:
-    """Stage, check, then replace the table (or only the touched partitions).
+    """Write rows once, check them, then commit them as the table or as their partitions.
 
-    ``touched`` lists partitions the rows were taken from: those that no row
-    is left for are removed.
+    ``touched`` names partitions the rows were taken from: those that no row
+    is left for go. ``base`` is the version that the rows were made from.
+    ``zone_key`` is a key whose range is kept for each partition.
 
-    Row checks ride on the staging write, so a load is one pass over its input.
-    Partition limits and unique keys are checked on the staged files. A failed
-    check raises and leaves the target as it was.
+    Row checks ride on the write, so a load is one pass over its input.
+    Partition limits and unique keys are checked on the written files. A failed
+    check raises and leaves the table as it was.
     """
+    spark = df.sparkSession
+    if base is None:
+        base = versions.current(spark, path)
+    if not (whole or base.number) and table_exists(spark, path):
+        raise ValueError(f"{path} is not a published table: load it whole first")
     prefix = "check:"
     probes = {prefix + k: m for k, m in row_metrics(checks).items()}
-    staged, seen = stage(
-        df, name, run_id, partition_by, {"row_out": F.count(F.lit(1)), **probes, **(metrics or {})}
-    )
-    broken = {k[len(prefix):]: v for k, v in seen.items() if k.startswith(prefix) and v}
-    if broken:
-        raise QualityError(name, broken)
-    others = [c for c in checks if c.unique_key or c.max_distinct is not None]
-    if others:
-        assert_passed(run_checks(staged, others), name)
-    if whole or not partition_by:
-        overwrite(staged, path, partition_by, cluster=False)
-    else:
-        overwrite_partitions(staged, path, partition_by, cluster=False)
-        if touched is not None:
-            remove_partitions(df.sparkSession, path, partition_by[0], touched.join(staged, partition_by[0], "left_anti"))
+    load, seen = versions.write(df, path, partition_by, {"row_out": F.count(F.lit(1)), **probes, **(metrics or {})})
+    written = versions.load_rows(spark, path, load, df.schema)
+    try:
+        broken = {k[len(prefix):]: v for k, v in seen.items() if k.startswith(prefix) and v}
+        if broken:
+            raise QualityError(name, broken)
+        others = [c for c in checks if c.unique_key or c.max_distinct is not None]
+        if others:
+            assert_passed(run_checks(written, others), name)
+    except QualityError:
+        versions.discard(spark, path, load)
+        raise
+    known = versions.zones(written, partition_by[0], zone_key) if zone_key and partition_by else None
+    versions.publish_load(spark, path, base, load, whole, touched, alone=not whole, zones=known)
     result = {k: v for k, v in seen.items() if not k.startswith(prefix)}
-    result["partition_count"] = staged.select(*partition_by).distinct().count() if partition_by else 0
+    result["partition_count"] = len(versions.folders(spark, path, load)) if partition_by else 0
     return result

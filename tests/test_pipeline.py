@@ -12,7 +12,7 @@ from cardlake.operators.quality import QualityError, assert_passed, run_checks
 from cardlake.plans import contracts as K
 from cardlake.plans import controls, gold, ingest, measures, runlog, silver, warehouse
 from cardlake.plans.bronze import ENTITIES
-from cardlake.sources import readers, writers
+from cardlake.sources import readers, versions, writers
 from cardlake.sources.readers import rows_to_table
 
 TXN = "id,date,client_id,card_id,amount,use_chip,merchant_id,merchant_city,merchant_state,zip,mcc,errors"
@@ -79,17 +79,17 @@ def silver_paths(spark, path, run, incremental=False):
 
 
 def read(spark, path, c):
-    return spark.read.schema(c.schema).parquet(path(c.table)).select(*c.names)
+    return writers.read(spark, path(c.table), c.schema).select(*c.names)
 
 
 def warehouse_refresh(spark, path, run):
     names = {"dim_user": K.GOLD_DIM_USER, "dim_card": K.GOLD_DIM_CARD, "dim_mcc": K.GOLD_DIM_MCC, "dim_date": K.GOLD_DIM_DATE}
     counts = {t: warehouse.refresh_dimension(read(spark, path, c), t, path(t), f"{run}-{t}") for t, c in names.items()}
     counts["dim_month"] = warehouse.refresh_months(read(spark, path, K.GOLD_DIM_DATE), path("dim_month"), run)
-    dims = {t: spark.read.parquet(path(t)) for t in names}
+    dims = {t: writers.read(spark, path(t)) for t in names}
     fact = warehouse.wh_fact(read(spark, path, K.GOLD_FACT), dims)
     counts["fact"] = warehouse.refresh_slice(fact, "fact_transactions", path("fact_transactions"), f"{run}-f")
-    stored = spark.read.schema(K.WH_FACT.schema).parquet(path("fact_transactions")).select(*K.WH_FACT.names)
+    stored = writers.read(spark, path("fact_transactions"), K.WH_FACT.schema)
     for t, make in (("fact_transactions_daily", warehouse.fact_daily), ("fact_transactions_monthly", warehouse.fact_monthly)):
         counts[t] = warehouse.refresh_slice(make(stored, run), t, path(t), f"{run}-{t}")
     return counts, dims, stored
@@ -157,8 +157,8 @@ def test_end_to_end(spark, landing, path):
     assert rows(stored, "transaction_id", "card_key", "user_key", "mcc_key", "date_key") == keys
 
     # totals agree at every grain
-    monthly = spark.read.schema(K.WH_FACT_MONTHLY.schema).parquet(path("fact_transactions_monthly"))
-    daily = spark.read.schema(K.WH_FACT_DAILY.schema).parquet(path("fact_transactions_daily"))
+    monthly = writers.read(spark, path("fact_transactions_monthly"), K.WH_FACT_MONTHLY.schema)
+    daily = writers.read(spark, path("fact_transactions_daily"), K.WH_FACT_DAILY.schema)
     total = stored.agg(F.sum("amount")).first()[0]
     assert monthly.agg(F.sum("amount_sum_total")).first()[0] == daily.agg(F.sum("amount_sum_total")).first()[0] == total
 
@@ -199,16 +199,17 @@ def test_changed_row_touches_only_its_month(spark, path):
     jan, feb = date(2020, 1, 1), date(2020, 2, 1)
     target = path("f")
     warehouse.refresh_slice(fact({"1": (jan, 1), "2": (feb, 2)}), "fact_transactions", target, "a")
-    import os
-
-    untouched = sorted(os.listdir(f"{target}/txn_month=2020-02-01"))
+    before = versions.current(spark, target)
     got = warehouse.refresh_slice(fact({"1": (jan, 5), "3": (jan, 3)}), "fact_transactions", target, "b")
     assert (got["rows_inserted"], got["rows_updated"], got["rows_unchanged"]) == (1, 1, 0)
-    assert sorted(os.listdir(f"{target}/txn_month=2020-02-01")) == untouched
-    now = spark.read.schema(schema).parquet(target)
+    after = versions.current(spark, target)
+    assert after.changed_since(before) == {"txn_month=2020-01-01"} and set(after.parts) == {"txn_month=2020-01-01", "txn_month=2020-02-01"}
+    now = writers.read(spark, target, schema)
     assert rows(now, "transaction_id", "amount") == [("1", Decimal(5)), ("2", Decimal(2)), ("3", Decimal(3))]
+    warehouse.refresh_slice(fact({"1": (jan, 5), "3": (jan, 3)}), "fact_transactions", target, "b2")
+    assert versions.current(spark, target) == after
     got = warehouse.refresh_slice(fact({"3": (jan, 3)}), "fact_transactions", target, "c", delete_missing=True)
-    assert got["rows_deleted"] == 1 and rows(spark.read.parquet(target), "transaction_id") == [("2",), ("3",)]
+    assert got["rows_deleted"] == 1 and rows(writers.read(spark, target), "transaction_id") == [("2",), ("3",)]
 
 
 def test_failed_check_leaves_the_table(spark, path):
@@ -216,12 +217,12 @@ def test_failed_check_leaves_the_table(spark, path):
     df = spark.createDataFrame(bad, "k string, m date")
     from cardlake.operators import quality as Q
 
-    writers.publish(df.limit(1), path("t"), "p1", "t", ["m"], Q.not_null(["k"]))
+    writers.publish(df.limit(1), path("t"), "t", ["m"], Q.not_null(["k"]))
     with pytest.raises(QualityError):
-        writers.publish(df, path("t"), "p2", "t", ["m"], Q.not_null(["k"]))
+        writers.publish(df, path("t"), "t", ["m"], Q.not_null(["k"]))
     with pytest.raises(QualityError):
-        writers.publish(df.withColumn("k", F.lit("x")), path("t"), "p3", "t", ["m"], [Q.unique(["k"])])
-    assert rows(spark.read.parquet(path("t")), "k") == [("1",)]
+        writers.publish(df.withColumn("k", F.lit("x")), path("t"), "t", ["m"], [Q.unique(["k"])])
+    assert rows(writers.read(spark, path("t")), "k") == [("1",)]
 
 
 def test_silver_rejects_cards_without_client(spark):
@@ -249,14 +250,14 @@ def test_ingest_isolates_bad_files(spark, path, tmp_path):
     assert (got["processed_files"], got["failed_files"], got["rows_loaded"], got["rows_rejected"]) == (1, 1, 2, 1)
     assert rows(spark.read.parquet(path("fx")), "currency") == [("CHF",), ("USD",)]
     assert rows(spark.read.parquet(ingest.rejects_path(path("fx"))), "line") == [("gbp,EUR,Pound,0.9,2020-01-01,extra,extra",)]
-    first = {r["source_name"]: r for r in spark.read.parquet(path("m")).collect()}
+    first = {r["source_name"]: r for r in writers.read(spark, path("m")).collect()}
     assert [first[n]["last_status"] for n in ("a.csv", "b.csv", "c d.csv")] == ["SUCCESS", "PARTIAL", "FAILED"]
     assert rows(spark.read.parquet(path("l")), "status") == [("PARTIAL",)]
     (folder / "c d.csv").write_text("date,currency\n2020-01-01,gbp\n")
     got = ingest.ingest(*args, "2020-01-03", "i2")
     assert (got["total_candidate_files"], got["processed_files"], got["failed_files"]) == (1, 1, 0)
     assert rows(spark.read.parquet(path("fx")), "currency", "base_currency") == [("CHF", "EUR"), ("GBP", None), ("USD", "EUR")]
-    second = {r["source_name"]: r for r in spark.read.parquet(path("m")).collect()}
+    second = {r["source_name"]: r for r in writers.read(spark, path("m")).collect()}
     assert second["c d.csv"]["first_ingested_datetime"] == first["c d.csv"]["first_ingested_datetime"]
     assert second["c d.csv"]["exec_date"] == date(2020, 1, 3) and second["a.csv"]["exec_date"] == date(2020, 1, 2)
     empty = tmp_path / "none"
@@ -275,7 +276,7 @@ def test_a_cut_off_load_is_undone_and_entities_keep_apart(spark, path, tmp_path)
     for name, run in (("FX", "r1"), ("PARTNER", "r2"), ("FX", "r3")):
         ingest.ingest(spark, name, str(tmp_path / name.lower()), path(f"{name.lower()}-t"), path("m"), path("l"), "2020-01-02", run)
     assert spark.read.parquet(path("fx-t")).count() == spark.read.parquet(path("partner-t")).count() == 1
-    assert rows(spark.read.parquet(path("m")), "entity") == [("FX",), ("PARTNER",)]
+    assert rows(writers.read(spark, path("m")), "entity") == [("FX",), ("PARTNER",)]
 
 
 def test_unknown_entities_go_by_their_own_headers(spark, path, tmp_path):
@@ -298,7 +299,7 @@ def test_incremental_silver_moves_months_and_keeps_the_newest(spark, path):
     late = bronze_of((1, "2020-02-01 10:00:00", 6.0, "2020-02-03 00:00:00"), (2, "2020-02-01 10:00:00", 1.0, "2020-01-15 00:00:00"))
     for run in ("s2", "s3"):
         silver.build_silver(late, "TRANSACTION", *args, run, incremental=True)
-        got = spark.read.schema(K.SILVER_TRANSACTIONS.schema).parquet(path("silver"))
+        got = writers.read(spark, path("silver"), K.SILVER_TRANSACTIONS.schema)
         assert rows(got, "transaction_id", "txn_month", "amount") == [(1, date(2020, 2, 1), Decimal("6.00")), (2, date(2020, 2, 1), Decimal("7.00"))]
 
 
