@@ -8,6 +8,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from cardlake.functions import columns as C
 from cardlake.functions import hashing as H
 from cardlake.functions.naming import normalize_columns
 from cardlake.functions.payload import check_payloads, json_path, normalize_payload
-from cardlake.operators import compliance, quality
+from cardlake.operators import compliance, projection, quality
 from cardlake.operators import upsert as U
 from cardlake.operators.conform import (
     anomaly_count,
@@ -34,7 +35,7 @@ from cardlake.plans import contracts as K
 from cardlake.plans import controls, gold, ingest, measures, ops_measures, runlog, silver, warehouse
 from cardlake.plans.bronze import ENTITIES, FUNDAMENTAL_MEASURES, pairs_from_object, to_bronze
 from cardlake.session import checkpoint_dir
-from cardlake.sources import readers, writers
+from cardlake.sources import numbered, readers, writers
 from cardlake.sources.readers import spine_over
 from cardlake.streaming.files import read_latest, stream_ingest, stream_latest
 
@@ -1560,3 +1561,164 @@ def dimension_without_keys(spark, sf):
     again = warehouse.refresh_dimension(users.unionByName(nameless), "dim_user", path, uuid.uuid4().hex)
     counts = {"rows_inserted": first["rows_inserted"], "rows_without_key": first["rows_without_key"], "rows_inserted_again": again["rows_inserted"]}
     return spark.createDataFrame(list(counts.items()), "measure string, row_count long")
+
+
+# --- what loads report, catalog tables, logs ---------------------------------
+
+
+def _measured(spark, counts: dict) -> DataFrame:
+    return spark.createDataFrame([(k, int(v)) for k, v in counts.items()], "measure string, n long")
+
+
+@query("""
+    SELECT 'row_in' AS measure, count(*) AS n FROM txn_raw UNION ALL SELECT 'row_out', count(*) FROM silver_txn
+    UNION ALL SELECT 'dedup_dropped', (SELECT count(*) FROM txn_raw) - (SELECT count(*) FROM silver_txn)
+    UNION ALL SELECT 'partition_count', count(DISTINCT txn_month) FROM silver_txn""")
+def load_counts(spark, sf):
+    """What a silver load reports, counted on its one pass."""
+    path = f"{checkpoint_dir(spark)}/counts-{uuid.uuid4().hex}"
+    bronze = V.bronze_transactions(spark, sf)
+    return _measured(spark, silver.build_silver(bronze, "TRANSACTION", path, uuid.uuid4().hex, tie_break=V.TXN_TIES))
+
+
+@query("""
+    SELECT 'fact_transactions' AS entity_code, 'SUCCESS' AS status, (SELECT count(*) FROM silver_txn) AS row_in, (SELECT count(*) FROM fact) AS row_out,
+           count(*) AS row_rejected, CAST(0 AS BIGINT) AS dedup_dropped, count(*) AS anom_count,
+           CAST((SELECT count(DISTINCT txn_month) FROM fact) AS INTEGER) AS partition_count
+    FROM tagged WHERE failed IS NOT NULL""")
+def step_log(spark, sf):
+    """The step log's row of a fact load, from the metrics that the load returns; fields it lacks are NULL."""
+    home, run = f"{checkpoint_dir(spark)}/steps-{uuid.uuid4().hex}", uuid.uuid4().hex
+    stored = V._stored(spark, sf, "silver_transactions", lambda: V.silver_transactions(spark, sf))
+    began = datetime.now(timezone.utc)
+    counts = gold.build_fact(stored, *V.fact_dims(spark, sf), V.gold_dates(spark), f"{home}/fact", f"{home}/events", f"{home}/kpis", run)
+    row = runlog.step_row(run, "fact_transactions", began, datetime.now(timezone.utc), "SUCCESS", counts, step_seq=1)
+    writers.append_rows(spark, f"{home}/log", [row], K.GOLD_STEP_LOG.schema)
+    logged = spark.read.schema(K.GOLD_STEP_LOG.schema).parquet(f"{home}/log").where("duration_ms >= 0 and error_message is null")
+    return logged.select("entity_code", "status", "row_in", "row_out", "row_rejected", "dedup_dropped", "anom_count", "partition_count")
+
+
+@query("SELECT transaction_id, amount FROM wh_fact WHERE txn_month = DATE '1998-02-01'")
+def month_scope(spark, sf):
+    return projection.month_scope(V.stored_fact(spark, sf), "1998-02-01").select("transaction_id", "amount")
+
+
+@query("""
+    SELECT 'row_count' AS check, abs(count(*) - (date_diff('day', DATE '1995-01-01', DATE '2001-06-30') + 1)) AS issue_count,
+           CASE WHEN count(*) = date_diff('day', DATE '1995-01-01', DATE '2001-06-30') + 1 THEN 'PASS' ELSE 'FAIL' END AS status
+    FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) FROM lineitem)""")
+def calendar_row_count(spark, sf):
+    """Whether the days that have transactions fill the calendar."""
+    days = V.table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("date_value")).distinct()
+    check = [c for c in gold.date_checks(*V.CALENDAR) if c.expected_rows is not None]
+    return quality.run_checks(days, check)
+
+
+@query("""
+    SELECT 'mcc_code_not_blank' AS check, count(*) FILTER (WHERE p_size % 5 = 0) AS issue_count,
+           CASE WHEN count(*) FILTER (WHERE p_size % 5 = 0) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM part""")
+def mcc_blocking_check(spark, sf):
+    """Categories of which some have no code: the check that blocks their load."""
+    size = F.col("p_size")
+    codes = V.table(spark, sf, "part").select(F.when(size % 5 != 0, size.cast("string")).otherwise(F.when(size % 2 == 0, " ")).alias("mcc_code"))
+    return quality.run_checks(codes, [c for c in gold.mcc_checks() if c.name == "mcc_code_not_blank"])
+
+
+@query("SELECT n_name AS name, n_regionkey AS region FROM nation UNION ALL SELECT r_name, r_regionkey FROM region")
+def catalog_rebuild(spark, sf):
+    """A catalog table made empty and rebuilt twice, the second time from what it holds."""
+    table = f"rebuilt_{uuid.uuid4().hex}"
+    nations = V.table(spark, sf, "nation").select(F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"))
+    regions = V.table(spark, sf, "region").select(F.col("r_name").alias("name"), F.col("r_regionkey").alias("region"))
+    writers.create_if_missing(spark, table, nations.schema)
+    writers.rebuild_table(nations, table)
+    writers.create_if_missing(spark, table, nations.schema)
+    writers.rebuild_table(spark.table(table).unionByName(regions), table)
+    return spark.table(table)
+
+
+@query("""
+    SELECT s_name AS source_name, 'landing/2001-07-01/' || s_name AS landing_path, 'archive/2001-07-01/' || s_name AS archive_path FROM supplier""")
+def landing_archive_paths(spark, sf):
+    files = V.table(spark, sf, "supplier").select(F.col("s_name").alias("source_name"))
+    return readers.add_lineage_paths(files, "landing/", "archive/", "2001-07-01")
+
+
+@query("SELECT strftime(txn_month, '%b %Y') AS month_label, count(*) AS txn_count FROM wh_fact WHERE txn_month = DATE '1998-02-01' GROUP BY 1 "
+       "UNION ALL SELECT 'All months', count(*) FROM wh_fact")
+def kpi_month_label(spark, sf):
+    fact = V.stored_fact(spark, sf)
+    one = projection.month_scope(fact, "1998-02-01").agg(F.count(F.lit(1)).alias("txn_count")).select(measures.month_label(1998, 2).alias("month_label"), "txn_count")
+    return one.unionByName(fact.agg(F.count(F.lit(1)).alias("txn_count")).select(measures.month_label().alias("month_label"), "txn_count"))
+
+
+@query("SELECT 'dim_user' AS entity, count(*) AS row_count, CAST(1 AS BIGINT) AS runs, CAST(1 AS BIGINT) AS stamps FROM users")
+def audit_columns(spark, sf):
+    """Rows of one load carry one run and one load time, taken from the clock."""
+    users = gold.dim_user(V.silver_users(spark, sf), V.RUN_ID).where(F.col("gold_load_ts") <= F.current_timestamp())
+    return users.groupBy(F.lit("dim_user").alias("entity")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.countDistinct("gold_run_id").alias("runs"), F.countDistinct("gold_load_ts").alias("stamps"))
+
+
+@query("SELECT 'GOLD.CARD.CONF.001' AS rule_id, count(*) AS issue_count FROM silver_card WHERE client_id IS NULL OR client_id NOT IN (SELECT client_id FROM users)")
+def foreign_key_report_cards(spark, sf):
+    """Cards whose client is missing or not known, reported and not rejected."""
+    return orphan_report(V.silver_cards(spark, sf), gold.card_rules(V.gold_users(spark, sf))).select("rule_id", "issue_count")
+
+
+def _verdicts(spark, sf) -> DataFrame:
+    """Gold tables against their contracts: one as declared, one that lacks, adds and changes columns, one that is not there."""
+    users, cards = V.stored_gold(spark, sf, "users"), V.stored_gold(spark, sf, "cards")
+    changed = cards.drop("card_brand").withColumns({"has_chip": F.col("has_chip").cast("string"), "colour": F.lit("blue")})
+    live = {K.GOLD_DIM_USER.table: K.project_to_contract(users, K.GOLD_DIM_USER), K.GOLD_DIM_CARD.table: changed}
+    return compliance.schema_compliance(spark, [K.GOLD_DIM_USER, K.GOLD_DIM_CARD, K.GOLD_DIM_MCC], live.__getitem__)
+
+
+@query(f"""
+    SELECT * FROM (VALUES ('{K.GOLD_DIM_USER.table}', 'PASS', 0, 0, 0), ('{K.GOLD_DIM_CARD.table}', 'FAIL', 1, 1, 1), ('{K.GOLD_DIM_MCC.table}', 'MISSING_TABLE', 0, 0, 0))
+        v(table_name, compliance_status, missing, extra, mistyped)""")
+def schema_verdict(spark, sf):
+    found = _verdicts(spark, sf)
+    sizes = {"missing": "missing_columns", "extra": "extra_columns", "mistyped": "type_mismatches"}
+    return found.select("table_name", "compliance_status", *[F.json_array_length(c).alias(n) for n, c in sizes.items()])
+
+
+@query("SELECT * FROM (VALUES ('PASS', CAST(1 AS BIGINT)), ('FAIL', 1), ('MISSING_TABLE', 1)) v(compliance_status, tables)")
+def schema_verdict_summary(spark, sf):
+    return compliance.compliance_summary(_verdicts(spark, sf))
+
+
+@query("SELECT DISTINCT card_brand, true AS cards_within, true AS users_within, true AS merchants_within FROM wh_fact f JOIN wh_card c ON c.card_key = f.card_key")
+def kpi_sketch_error(spark, sf):
+    """Distinct members from stored sketches by month and card, within four standard errors of the exact counts."""
+    fact, dims = _star(spark, sf)
+    path = f"{checkpoint_dir(spark)}/sketches-{uuid.uuid4().hex}"
+    writers.publish(measures.distinct_sketches(fact, ["txn_month", "card_key"]), path, "sketches", ["txn_month"])
+    estimated = measures.counts_from_sketches(writers.read(spark, path), dims, ["card_brand"])
+    exact = measures.business_measures(fact, dims, ["card_brand"])
+    names = {"cards_within": "card_count_distinct", "users_within": "user_count_distinct", "merchants_within": "merchant_count_distinct"}
+    both = exact.select("card_brand", *[F.col(c).alias(f"exact_{c}") for c in names.values()]).join(estimated, "card_brand")
+    off = {n: F.abs(F.col(c) - F.col(f"exact_{c}")) <= 4 * measures.SKETCH_ERROR * F.col(f"exact_{c}") + 1 for n, c in names.items()}
+    return both.select("card_brand", *[c.alias(n) for n, c in off.items()])
+
+
+@query("""
+    SELECT 'first' AS load, count(*) FILTER (WHERE n_nationkey < 20) AS files, count(*) FILTER (WHERE n_nationkey < 20) AS candidates FROM nation
+    UNION ALL SELECT 'second', count(*) FILTER (WHERE n_nationkey >= 20) + 1, count(*) FILTER (WHERE n_nationkey >= 20) FROM nation""")
+def ingest_by_watermark(spark, sf):
+    """A second load lists only files changed since the last recorded one; that one is seen again and not loaded again."""
+    home = f"{checkpoint_dir(spark)}/files-{uuid.uuid4().hex}"
+    names = V.table(spark, sf, "nation").select(F.col("n_nationkey").alias("k"), F.concat_ws(",", "n_name", F.lit("2001-01-01")).alias("currency,date"))
+    at, fs = numbered.file_system(spark, home)
+    out = []
+    for load, part in (("first", names.where("k < 20")), ("second", names.where("k >= 20"))):
+        lines = part.repartitionByRange(25, "k").drop("k")
+        lines.write.mode("append").option("header", True).option("quote", "").option("sep", "|").csv(f"{home}/in")
+        made = sorted(n for n in numbered.names(spark, f"{home}/in") if n.endswith(".csv"))
+        old = out[0]["names"] if out else set()
+        for i, name in enumerate(n for n in made if n not in old):  # one minute apart, the second load's files an hour later
+            path, _ = numbered.file_system(spark, f"{home}/in/{name}")
+            fs.setTimes(path, (1_000_000 + 60 * i + 36_000 * len(out)) * 1000, -1)
+        got = ingest.ingest(spark, "PARTNER", f"{home}/in", f"{home}/bronze", f"{home}/manifest", f"{home}/log", "2001-07-01", uuid.uuid4().hex, overlap=timedelta(seconds=1))
+        out.append({"load": load, "files": got["total_source_files"], "candidates": got["total_candidate_files"], "names": set(made)})
+    return spark.createDataFrame([(r["load"], r["files"], r["candidates"]) for r in out], "load string, files long, candidates long")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
-from datetime import date, datetime, timezone
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime, timedelta, timezone
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake.functions import columns as C
@@ -18,7 +19,7 @@ from cardlake.operators.upsert import merge_rows, merged_table
 from cardlake.plans import contracts as K
 from cardlake.plans.bronze import BATCH, ENTITIES, pairs_from_object, to_bronze
 from cardlake.session import checkpoint_dir
-from cardlake.sources import lease, readers, versions, writers
+from cardlake.sources import lease, numbered, readers, versions, writers
 
 
 def candidate_files(
@@ -151,6 +152,8 @@ OUTCOME = "file_path string, status string, rows_loaded long, rows_rejected long
 BEGUN = "entity string, batch string, ingestion_date string, file_path string, begun timestamp"
 #: Files that cannot be read at all; more of them look like an outage, not like bad files.
 UNREADABLE = 10
+#: Headers that the driver reads at the same time.
+PEEKS = 16
 
 
 def rejects_path(table_path: str) -> str:
@@ -170,6 +173,7 @@ def ingest(
     batch_files: int = 10_000,
     wait: float = 0.0,
     lease_seconds: float = lease.SECONDS,
+    overlap: timedelta | None = None,
 ) -> dict:
     """Load the new files of an entity, then record each file and the run.
 
@@ -181,9 +185,23 @@ def ingest(
     ``lease.Held``. If its owner dies, the lease ends after ``lease_seconds``; the
     next load takes over, removes what was written but never recorded, and
     shuts the old owner out of the manifest.
+
+    With ``overlap`` only files changed since the latest recorded file, less the
+    overlap, are listed, and those whose load has failed; files that arrive
+    with an older time are then not seen.
     """
     with lease.held(spark, lease_folder(manifest_path, entity), run_id, lease_seconds, wait) as own:
-        return _ingest(spark, entity, source_path, table_path, manifest_path, log_path, exec_date, run_id, mode, batch_files, own)
+        return _ingest(spark, entity, source_path, table_path, manifest_path, log_path, exec_date, run_id, mode, batch_files, own, overlap)
+
+
+def listed_files(spark: SparkSession, source_path: str, manifest: DataFrame, overlap: timedelta | None = None) -> DataFrame:
+    """Files of the source: all, or those from the manifest's latest time less ``overlap`` on, and failed ones."""
+    mark = manifest.agg(F.max("modified_datetime").cast("double")).first()[0] if overlap is not None else None
+    if mark is None:
+        return readers.list_files(spark, source_path)
+    found = readers.list_files(spark, source_path, after=datetime.fromtimestamp(mark, timezone.utc) - overlap)
+    failed = manifest.where("last_status = 'FAILED'").select(*found.columns)
+    return found.unionByName(failed.join(found.select("file_path"), "file_path", "left_anti").select(*found.columns))
 
 
 def lease_folder(manifest_path: str, entity: str) -> str:
@@ -218,10 +236,10 @@ def record_files(spark: SparkSession, entity: str, manifest_path: str, rows: Dat
 
 def _ingest(
     spark: SparkSession, entity: str, source_path: str, table_path: str, manifest_path: str, log_path: str,
-    exec_date: str, run_id: str, mode: str, batch_files: int, own: lease.Lease,
+    exec_date: str, run_id: str, mode: str, batch_files: int, own: lease.Lease, overlap: timedelta | None,
 ) -> dict:
     manifest = take_over(spark, entity, table_path, manifest_path, own)
-    files, _ = writers.stage(readers.list_files(spark, source_path), f"{entity}-files", run_id)
+    files, _ = writers.stage(listed_files(spark, source_path, manifest, overlap if mode != "FULL" else None), f"{entity}-files", run_id)
     wanted, seen = writers.stage(
         candidate_files(files, manifest, entity, mode), f"{entity}-candidates", run_id, (),
         {"n": F.count(F.lit(1))},
@@ -300,86 +318,82 @@ def load_files(
 ) -> list[tuple]:
     """Write the files' rows to a bronze partition of the batch's own.
 
-    Columns go by each file's own header. Lines that do not fit are written,
-    with their file, to the rejects table beside the bronze table; the other
-    lines of the file load. Returns (path, status, rows loaded, rows rejected):
-    FAILED if no line fits or the header has none of the entity's columns,
-    PARTIAL if some lines do not fit, SUCCESS otherwise. Loading
-    a batch again replaces what it wrote.
+    Columns go by each file's own header, which is read from the file's first
+    bytes; the files are then scanned once, and their rows written once. Lines
+    that do not fit are seen on that pass: only if there are any, a second one
+    writes them, with their file, to the rejects table beside the bronze table;
+    the other lines of the file load. Returns (path, status, rows loaded, rows
+    rejected): FAILED if no line fits or the header has none of the entity's
+    columns, PARTIAL if some lines do not fit, SUCCESS otherwise. Loading a batch
+    again replaces what it wrote.
     """
     name = entity.strip().upper()
     headers, unreadable = ({}, []) if name == "MCC" else _headers(spark, list(paths))
     for header in [h for h in headers if not _fits(name, h)]:
         unreadable += headers.pop(header)
-    staged, _ = writers.stage(_landing(spark, name, paths, headers), f"landing-{name}", batch)
     if name == "MCC":
+        landing = readers.read_whole(spark, paths).select("*", F.col("_metadata.file_path").alias("__file"))
         line, broken = F.col("value"), F.col("value").isNull() | F.from_json("value", readers.OBJECT).isNull()
     else:
-        line, broken = F.col(readers.CORRUPT), F.col(readers.CORRUPT).isNotNull()
-    # One row for each file of a batch.
-    counts = {
-        _local(unquote(r["__file"])): (r["good"], r["bad"])
-        for r in staged.groupBy("__file").agg(F.count_if(~broken).alias("good"), F.count_if(broken).alias("bad")).collect()
-    }
-    good = staged.where(~broken)
+        landing = readers.read_by_headers(spark, headers, [column_name(c) for c in _wanted(name)] or None)
+        # A field of the line is asked for, too: a scan cannot give lines that do not fit alone.
+        line, broken = F.col(readers.CORRUPT), F.col(readers.CORRUPT).isNotNull() & F.coalesce(F.length("__first") >= 0, F.lit(True))
+    bad = {"bad": F.count_if(broken)}
+    watched = Observation(f"landing-{name}-{batch}-{uuid.uuid4().hex}")
+    good = landing.observe(watched, *[m.alias(k) for k, m in bad.items()]).where(~broken)
     if name == "MCC":
         good = pairs_from_object(good, "value", "mcc", "mcc_description")
     bronze = to_bronze(good.drop(readers.CORRUPT), name, exec_date, source_file=F.col("__file"))
-    part = ["ingestion_date", BATCH]
+    part, own = ["ingestion_date", BATCH], f"ingestion_date={exec_date}/{BATCH}={batch}"
+    for table in (table_path, rejects_path(table_path)):
+        writers.remove_folder(spark, f"{table.rstrip('/')}/{own}")
     writers.overwrite_partitions(bronze.withColumn(BATCH, F.lit(batch)), table_path, part, cluster=False)
-    if any(bad for _, bad in counts.values()):
-        rejects = staged.where(broken).select(
+    rejected: dict[str, int] = {}
+    if versions.seen(watched, landing, bad)["bad"]:
+        rejects = landing.where(broken).select(
             F.col("__file").alias("source_file"), line.alias("line"), F.lit(exec_date).cast("date").alias("ingestion_date"), F.lit(batch).alias(BATCH)
         )
         writers.overwrite_partitions(rejects, rejects_path(table_path), part, cluster=False)
-    out = []
+        rejected = _written(spark, rejects_path(table_path), own)
+    loaded, out = _written(spark, table_path, own), []
     for p in paths:
-        loaded, bad = counts.get(_local(p), (0, 0))
-        status = "FAILED" if p in unreadable or bad and not loaded else "PARTIAL" if bad else "SUCCESS"
-        out.append((p, status, loaded, bad))
+        n, bad = loaded.get(_local(p), 0), rejected.get(_local(p), 0)
+        status = "FAILED" if p in unreadable or bad and not n else "PARTIAL" if bad else "SUCCESS"
+        out.append((p, status, n, bad))
     return out
 
 
+def _written(spark: SparkSession, table_path: str, folder: str) -> dict[str, int]:
+    """Rows that a batch has written, by file: reads one column of its own folder, gives one row a file."""
+    path = f"{table_path.rstrip('/')}/{folder}"
+    if not numbered.names(spark, path):
+        return {}
+    rows = spark.read.schema("source_file string").parquet(path).groupBy("source_file").count().collect()
+    return {_local(unquote(r.source_file)): r["count"] for r in rows}
+
+
 def _headers(spark: SparkSession, paths: list[str]) -> tuple[dict[str, list[str]], list[str]]:
-    """(header line -> its files, files that cannot be read)."""
+    """(header line -> its files, files that cannot be read). Files without any line are in neither."""
+    by_header: dict[str, list[str]] = {}
     unreadable: list[str] = []
 
-    def scan(some: list[str]) -> list[tuple[str, str]]:
+    def peek(path: str) -> str | None | Py4JJavaError:
         try:
-            return [(r.header, r.file) for r in readers.first_lines(spark, some).collect()]
-        except (PySparkException, Py4JJavaError):
-            if len(some) == 1:
-                unreadable.extend(some)
+            return readers.first_line(spark, path)
+        except Py4JJavaError as error:
+            return error
+
+    with ThreadPoolExecutor(PEEKS) as pool:
+        for path, said in zip(paths, pool.map(peek, paths)):
+            if isinstance(said, Py4JJavaError):
+                unreadable.append(path)
                 if len(unreadable) > UNREADABLE:
-                    raise
-                return []
-            middle = len(some) // 2
-            return scan(some[:middle]) + scan(some[middle:])
-
-    by_header: dict[str, list[str]] = {}
-    own = {_local(p): p for p in paths}
-    for header, file in scan(paths):
-        by_header.setdefault(header, []).append(own[_local(unquote(file))])
+                    raise said
+            elif said is not None:
+                by_header.setdefault(said, []).append(path)
     return by_header, unreadable
 
 
-def _landing(spark: SparkSession, name: str, paths: Sequence[str], headers: dict[str, list[str]]) -> DataFrame:
-    """Raw rows of all files with their path; a column that a file lacks is NULL."""
-    if name == "MCC":
-        return readers.read_whole(spark, paths).select("*", F.col("_metadata.file_path").alias("__file"))
-    frames = [
-        readers.read_csv(spark, files, readers.text_schema(readers.header_names(header)), keep_corrupt=True)
-        .select("*", F.col("_metadata.file_path").alias("__file"))
-        for header, files in sorted(headers.items())
-    ]
-    out = frames[0] if frames else spark.createDataFrame([], readers.text_schema([readers.CORRUPT, "__file"]))
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    have = {column_name(c) for c in out.columns}
-    lacking = [c for c in _wanted(name) if column_name(c) not in have]
-    return out.withColumns({c: F.lit(None).cast("string") for c in lacking})
-
-
 def _wanted(name: str) -> list[str]:
     return ENTITIES[name].landing_schema.fieldNames() if name in ENTITIES else []
 

@@ -101,20 +101,56 @@ def _totals(fact: DataFrame, dims: dict[str, DataFrame], by: list[str], mode: st
     return totals.withColumns({**money, **counts})
 
 
-def _distinct_count(
-    fact: DataFrame, dims: dict[str, DataFrame], by: list[str], mode: str, name: str, approximate: bool
-) -> DataFrame:
-    """Distinct members per group, counted on the distinct (attributes, member)
-    pairs: each task reduces its rows to them, so what is shuffled and what the
-    subtotals multiply are few pairs and not transactions."""
-    member = _DISTINCT[name]
-    rows = fact.select(*dict.fromkeys([*_fact_keys(fact, dims, by), member])).where(F.col(member).isNotNull())
-    pairs = star(rows, dims, by).select(*dict.fromkeys([*by, member]))
-    pairs = pairs if approximate else pairs.distinct()
-    count = F.approx_count_distinct if approximate else F.countDistinct
-    return _grouped(pairs, by, mode).agg(
-        count(member).alias(name), *_level(by, mode, f"__{name}_level")
-    )
+def _groups(by: list[str], mode: str) -> list[list[str]]:
+    """The groupings of a mode, each a list of attributes."""
+    if mode == "rollup":
+        return [by[:n] for n in range(len(by), -1, -1)]
+    if mode == "cube":
+        return [[b for i, b in enumerate(by) if not n >> (len(by) - 1 - i) & 1] for n in range(1 << len(by))]
+    return [by]
+
+
+def _distinct_counts(fact: DataFrame, dims: dict[str, DataFrame], by: list[str], mode: str) -> DataFrame:
+    """All distinct members per group, from one scan of the fact.
+
+    Each row gives a pair (kind, member) for each kind of member. Tasks reduce
+    their rows to the distinct (attributes, pair), so what is shuffled and what
+    the subtotals multiply are few pairs and not transactions.
+    """
+    pairs = [F.struct(F.lit(name).alias("kind"), F.col(c).cast("string").alias("member")) for name, c in _DISTINCT.items()]
+    keys = _fact_keys(fact, dims, by)
+    rows = fact.select(*keys, F.inline(F.array(*pairs))).where("member is not null").distinct()
+    pairs = star(rows, dims, by).select(*by, "kind", "member").distinct()
+    sets = [[*g, "kind"] for g in _groups(by, mode)]
+    # ``kind`` is in every grouping: the grouping id without its last bit is that of the attributes.
+    level = [F.shiftright(F.grouping_id(), 1).alias("__level")] if by and mode != "group" else []
+    counted = pairs.groupingSets(sets, *by, "kind").agg(F.countDistinct("member").alias("n"), *level)
+    names = [*by, *["__level"] * len(level)]
+    return counted.groupBy(*names).agg(*[F.coalesce(F.max(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(k) for k in _DISTINCT])
+
+
+# --- sketches ---------------------------------------------------------------
+
+#: Registers of a sketch as a power of two; the relative standard error is 1.04 over their number's root.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / (1 << SKETCH_BITS) ** 0.5
+
+
+def distinct_sketches(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key with a sketch of the distinct members of each kind.
+
+    Stored beside a daily or monthly aggregate, sketches answer distinct counts
+    under any coarser grouping without the fact.
+    """
+    return fact.groupBy(*keys).agg(*[F.hll_sketch_agg(F.col(c).cast("string"), F.lit(SKETCH_BITS)).alias(f"{n}_sketch") for n, c in _DISTINCT.items()])
+
+
+def counts_from_sketches(sketches: DataFrame, dims: dict[str, DataFrame], by: Sequence[str] = (), mode: str = "group") -> DataFrame:
+    """Estimated distinct members per group, by union of stored sketches."""
+    by = list(by)
+    level = _level(by, mode, "__level")
+    merged = [F.round(F.hll_sketch_estimate(F.hll_union_agg(f"{n}_sketch"))).cast("long").alias(n) for n in _DISTINCT]
+    return _grouped(star(sketches, dims, by), by, mode).agg(*merged, *level)
 
 
 def ratio_measures() -> dict[str, Column]:
@@ -137,6 +173,9 @@ def business_measures(
     """Every business measure per ``by``; with rollup or cube also ``level``,
     the grouping id that tells subtotals from NULL attributes.
 
+    The fact is scanned twice: for what adds up, and for distinct members. With
+    ``approximate`` these are estimated from sketches.
+
     Dark-web cards are counted on the card dimension: only card attributes
     among ``by`` limit them, neither facts nor dates do.
     """
@@ -144,18 +183,20 @@ def business_measures(
     card_by = [b for b in by if b not in fact.columns and dim_of(b, dims) == "dim_card"]
     flags = [F.grouping(b).alias(f"__g_{b}") for b in card_by] if mode != "group" else []
     measured = _totals(fact, dims, by, mode, flags)
-    for name in _DISTINCT:
-        counted = _distinct_count(fact, dims, by, mode, name, approximate)
-        if not by:
-            measured = measured.withColumn(name, counted.scalar())
-            continue
-        counted = counted.withColumnsRenamed({b: f"__{name}_{b}" for b in by})
-        match = [F.col(b).eqNullSafe(F.col(f"__{name}_{b}")) for b in by]
+    if approximate:
+        counted = counts_from_sketches(distinct_sketches(fact, _fact_keys(fact, dims, by)), dims, by, mode)
+    else:
+        counted = _distinct_counts(fact, dims, by, mode)
+    if by:
+        counted = counted.withColumnsRenamed({b: f"__c_{b}" for b in by})
+        match = [F.col(b).eqNullSafe(F.col(f"__c_{b}")) for b in by]
         if mode != "group":
-            match.append(F.col("level") == F.col(f"__{name}_level"))
-        measured = measured.join(counted, C.all_of(match), "left").withColumn(
-            name, F.coalesce(name, F.lit(0))
-        )
+            match.append(F.col("level") == F.col("__level"))
+        measured = measured.join(counted, C.all_of(match), "left")
+    else:
+        measured = measured.withColumn("__c", counted.select(F.struct(*_DISTINCT)).scalar())
+        measured = measured.withColumns({name: F.col(f"__c.{name}") for name in _DISTINCT})
+    measured = measured.withColumns({name: F.coalesce(name, F.lit(0)) for name in _DISTINCT})
     flagged = dims["dim_card"].where(F.col("card_on_dark_web"))
     if card_by:
         inner = [F.grouping(b).alias(f"__d_g_{b}") for b in card_by] if flags else []

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections import Counter
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardlake.functions.naming import column_name
+
 CORRUPT = "_corrupt_record"
 
 
@@ -35,19 +39,76 @@ def read_csv(
     if schema is not None:
         if keep_corrupt:
             schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-            reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+            # Of lines cut to some columns a scan would not see that they do not fit.
+            reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
         reader = reader.schema(schema)
     return reader.csv(paths if isinstance(paths, str) else list(paths))
 
 
-def first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """The first line with text of each file: file, header."""
-    lines = spark.read.text(list(paths)).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
-        F.monotonically_increasing_id().alias("place"),
-    )
-    started = lines.where((F.col("at") == 0) & (F.trim("value") != ""))
-    return started.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line with text of a file, read from its first bytes and no further."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsc.hadoopConfiguration()
+    stream = at.getFileSystem(conf).open(at)
+    try:
+        codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
+        lines = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(
+            stream if codec is None else codec.createInputStream(stream), "UTF-8"))
+        while (line := lines.readLine()) is not None:
+            if line.strip():
+                return line
+        return None
+    finally:
+        stream.close()
+
+
+#: A scheme and the slashes behind it, of which scans and listings write different numbers.
+SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:/*"
+
+
+def file_key(spark: SparkSession, path: str) -> str:
+    """A path as a scan names it in ``_metadata.file_path``, without its scheme."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return re.sub(SCHEME, "/", fs.makeQualified(at).toUri().toString())
+
+
+def read_by_headers(spark: SparkSession, headers: dict[str, list[str]], names: Sequence[str] | None = None) -> DataFrame:
+    """CSV files of many headers as one frame of text columns, with ``__file``, the lines that do not fit, and each line's ``__first`` field.
+
+    ``headers`` gives the files of each header line. Files whose headers have
+    the same number of columns are one scan, whatever the order of the columns:
+    each file's columns are then picked by its own header's places, from a table
+    of as many rows as there are files. ``names`` are the columns wanted, by
+    their normal names; a file without one of them has NULL. Without ``names``
+    all columns of all headers come out, by their own names.
+    """
+    known = {h: header_names(h) for h in headers}
+    wanted = list(names) if names is not None else list(dict.fromkeys(n for h in sorted(known) for n in known[h]))
+    key = column_name if names is not None else str
+    widths: dict[int, list[str]] = {}
+    for header in sorted(headers):
+        widths.setdefault(len(known[header]), []).append(header)
+    frames = []
+    for width, some in sorted(widths.items()):
+        generic = text_schema([f"__c{i}" for i in range(width)])
+        raw = read_csv(spark, [f for h in some for f in headers[h]], generic, keep_corrupt=True)
+        raw = raw.select("*", F.col("_metadata.file_path").alias("__file"))
+        place = {h: {key(n): i for i, n in reversed(list(enumerate(known[h])))} for h in some}
+        picks = {h: [place[h].get(key(w), -1) for w in wanted] for h in some}
+        if len({tuple(p) for p in picks.values()}) == 1:
+            at = picks[some[0]]
+            columns = [(F.col(f"__c{i}") if i >= 0 else F.lit(None).cast("string")).alias(w) for w, i in zip(wanted, at)]
+        else:
+            rows = [(file_key(spark, f), picks[h]) for h in some for f in headers[h]]
+            places = spark.createDataFrame(rows, "__key string, __at array<int>")
+            raw = raw.withColumn("__key", F.regexp_replace("__file", SCHEME, "/")).join(F.broadcast(places), "__key").withColumn("__all", F.array(*generic.fieldNames()))
+            columns = [F.when(F.col("__at")[k] >= 0, F.get("__all", F.col("__at")[k])).alias(w) for k, w in enumerate(wanted)]
+        frames.append(raw.select(*columns, CORRUPT, "__file", F.col("__c0").alias("__first")))
+    out = frames[0] if frames else spark.createDataFrame([], text_schema([*wanted, CORRUPT, "__file", "__first"]))
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def header_names(line: str) -> list[str]:
@@ -90,11 +151,16 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
-def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """Files below ``path`` as rows; their content column is pruned, never read."""
+def list_files(spark: SparkSession, path: str, pattern: str | None = None, after: datetime | None = None) -> DataFrame:
+    """Files below ``path`` as rows; their content column is pruned, never read.
+
+    ``after`` leaves out files last changed before that time (UTC) when they are listed.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
+    if after is not None:
+        reader = reader.option("modifiedAfter", after.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
     return reader.load(path).select(
         F.element_at(F.split("path", "/"), -1).alias("source_name"),
         F.col("path").alias("file_path"),

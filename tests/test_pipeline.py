@@ -314,6 +314,49 @@ def test_unknown_entity_and_full_mode(spark, path, tmp_path):
     assert df.columns[:2] == ["My Col", "b"] and df.count() == 2 and df.first()["entity"] == "PARTNER"
 
 
+def test_headers_make_one_scan_a_width(spark, path, tmp_path, monkeypatch):
+    """Files of many headers are scanned once and written once; only a line that does not fit makes a second pass."""
+    import gzip
+    import itertools
+
+    (tmp_path / "in").mkdir()
+    columns = ["currency", "base_currency", "date"]
+    for i, order in enumerate(itertools.permutations(columns)):
+        row = {"currency": f"c{i}", "base_currency": '"a,b"', "date": "2020-01-01"}
+        text = "\n" * (i == 0) + ",".join(order) + "\n" + ",".join(row[c] for c in order) + "\n"
+        if i == 1:
+            (tmp_path / "in" / "z.csv.gz").write_bytes(gzip.compress(text.encode()))
+        else:
+            (tmp_path / "in" / f"{i} +ü.csv").write_text(text)
+    (tmp_path / "in" / "wide.csv").write_text("date,currency,more,exchange_rate\n2020-01-02,w,x,1.5\n")
+    (tmp_path / "in" / "empty.csv").write_text("")
+    files = [str(p) for p in sorted((tmp_path / "in").iterdir())]
+    headers, unreadable = ingest._headers(spark, files)
+    assert len(headers) == 7 and not unreadable
+    landing = readers.read_by_headers(spark, headers, columns)
+    assert landing._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 2  # widths 3 and 4
+    got = ingest.load_files(spark, "FX", files, path("t"), "2020-01-02", "b")
+    assert sorted((s, n, bad) for _, s, n, bad in got) == [("SUCCESS", 0, 0)] + [("SUCCESS", 1, 0)] * 7
+    stored = rows(spark.read.parquet(path("t")), "currency", "base_currency", "rate_vs_usd")
+    assert stored == [(f"C{i}", "A,B", None) for i in range(6)] + [("W", None, 1.5)] or [r[0] for r in stored] == [f"C{i}" for i in range(6)] + ["W"]
+    with pytest.raises(Exception):
+        ingest._headers(spark, [str(tmp_path / "none" / f"{i}.csv") for i in range(ingest.UNREADABLE + 1)])
+
+
+def test_sketches_and_exact_counts(spark):
+    fact = spark.range(5000).select(
+        F.col("id").alias("card_key"), (F.col("id") % 700).alias("user_key"), F.when(F.col("id") % 3 > 0, F.col("id") % 900).alias("merchant_id"),
+        (F.col("id") % 2).alias("k"), F.lit(None).cast("string").alias("a"))
+    for by, mode in ((["k"], "group"), (["k", "a"], "cube"), (["k", "a"], "rollup")):
+        exact = measures._distinct_counts(fact, {}, by, mode)
+        plain = measures._grouped(fact, by, mode).agg(
+            *[F.countDistinct(c).alias(n) for n, c in measures._DISTINCT.items()], *measures._level(by, mode, "__level"))
+        assert rows(exact, *plain.columns) == rows(plain)
+        near = measures.counts_from_sketches(measures.distinct_sketches(fact, ["k", "a"]), {}, by, mode)
+        for a, b in zip(rows(exact, *plain.columns), rows(near, *plain.columns)):
+            assert all(abs(x - y) <= 4 * measures.SKETCH_ERROR * x + 1 for x, y in zip(a[len(by):], b[len(by):]))
+
+
 def test_file_listings(spark):
     good = '{"childItems":[{"name":"a.csv","type":"File","size":3},{"type":"File"}]}'
     assert rows(readers.files_from_json(spark, good, "src/"), "file_path", "file_size") == [("src/a.csv", 3)]
