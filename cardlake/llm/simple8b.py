@@ -20,15 +20,19 @@ LARGEST = (1 << 60) - 1
 
 
 def _choose(padded: np.ndarray) -> np.ndarray:
-    """The selector with the most integers that fit from each place on."""
+    """The selector with the most integers that fit from each place on.
+
+    Each integer's width comes from its exponent as a float (beyond 53 bits it
+    may be one too many, never too few); then the widest of the next 2, 3, 4 ...
+    integers, each of these windows made of two of the one before.
+    """
+    exponent = (padded.astype(np.float64).view(np.int64) >> 52) - 1022
+    widest, have = np.maximum(exponent, 0).astype(np.uint8), 1
     best = np.full((padded.shape[0], BLOCK), ESCAPE, np.uint8)
     for s in range(ESCAPE - 1, -1, -1):
-        fits, have, want = padded <= (1 << int(BITS[s])) - 1, 1, int(COUNTS[s])
-        while have < want:
-            step = min(have, want - have)
-            fits = fits[:, :-step] & fits[:, step:]
-            have += step
-        best[fits[:, :BLOCK]] = s
+        step = int(COUNTS[s]) - have
+        widest, have = np.maximum(widest[:, :-step], widest[:, step:]), int(COUNTS[s])
+        best[widest[:, :BLOCK] <= BITS[s]] = s
     return best
 
 
@@ -59,14 +63,17 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     in_block = np.bincount(rows, minlength=blocks)
     before = np.cumsum(in_block) - in_block
     words = np.zeros(len(rows), np.uint64)
-    slot = before[rows] + number
-    for s in np.unique(chosen):
-        here = chosen == s
-        lanes, bits = np.arange(COUNTS[s]), np.uint64(BITS[s])
-        word = np.full(int(here.sum()), np.uint64(s) << np.uint64(60))
+    slot, start, flat_ = before[rows] + number, rows * padded.shape[1] + places, padded.reshape(-1)
+    order = np.argsort(chosen, kind="stable")
+    edges = np.searchsorted(chosen[order], np.arange(len(COUNTS) + 1))
+    for s, (lo, hi) in enumerate(zip(edges, edges[1:])):
+        if lo == hi:
+            continue
+        here, bits = order[lo:hi], np.uint64(BITS[s])
+        word, first = np.full(hi - lo, np.uint64(s) << np.uint64(60)), start[here]
         if bits:
-            for lane in lanes:
-                word |= padded[rows[here], places[here] + lane] << (np.uint64(lane) * bits)
+            for lane in range(COUNTS[s]):
+                word |= flat_[first + lane] << (np.uint64(lane) * bits)
         words[slot[here]] = word
     return words, before
 
@@ -76,16 +83,19 @@ def unpack(words: np.ndarray, before: np.ndarray, n: int) -> np.ndarray:
     blocks = len(before)
     if not blocks:
         return np.zeros(0, np.uint64)
-    out = np.zeros((blocks, BLOCK + int(COUNTS[0])), np.uint64)
     chosen = (words >> np.uint64(60)).astype(np.int64)
-    row = np.repeat(np.arange(blocks), np.diff(np.append(before, len(words))))
-    total = np.cumsum(COUNTS[chosen]) - COUNTS[chosen]
-    place = total - total[before][row]
-    for s in np.unique(chosen):
+    upto = np.cumsum(COUNTS[chosen])
+    first = upto - COUNTS[chosen]
+    out = np.zeros(int(upto[-1]) + BLOCK, np.uint64)
+    order = np.argsort(chosen, kind="stable")
+    edges = np.searchsorted(chosen[order], np.arange(len(COUNTS) + 1))
+    for s, (lo, hi) in enumerate(zip(edges, edges[1:])):
         bits = np.uint64(BITS[s])
-        if bits:
-            here = chosen == s
-            mask = np.uint64((1 << int(BITS[s])) - 1)
-            for lane in range(COUNTS[s]):
-                out[row[here], place[here] + lane] = (words[here] >> (np.uint64(lane) * bits)) & mask
-    return out[:, :BLOCK].reshape(-1)[:n]
+        if lo == hi or not bits:
+            continue
+        here, mask = order[lo:hi], np.uint64((1 << int(BITS[s])) - 1)
+        word, to = words[here], first[here]
+        for lane in range(COUNTS[s]):
+            out[to + lane] = (word >> (np.uint64(lane) * bits)) & mask
+    # The last word of a block may reach beyond it.
+    return out[(first[before][:, None] + np.arange(BLOCK)).reshape(-1)[:n]]
