@@ -5,8 +5,12 @@ zstandard dictionary. Templates are ranked by the bytes this saves against no
 dictionary. In this order each is confirmed by wording, wherever it stands in the
 block: almost all words of the template in their order, close together, and none
 of its names or numbers missing; the missing words and those put in their place
-are counted. Words of a confirmed notice are not used again. Its saved bytes are
-those of its own words, as a short notice saves nothing in a long line.
+are counted. A word put in that names another license or narrows this one
+("Lesser", "NC"), a denial before it and an exception behind it refuse the match.
+Words of a confirmed notice are not used again, so where two templates fit the
+same words, the one that saves more wins. Its saved bytes are those of its own
+words, as a short notice saves nothing in a long line; a template that saves
+nothing there either is dropped.
 
 Null and empty texts have no block. Blocks are whole lines, in order; a block
 goes on around each license word for NEAR lines and for as many words as the
@@ -40,22 +44,46 @@ TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software'),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
 )
-HINT = r"(?i)licen[cs]|copyright|hereby granted|redistribut|permission|free software|creative commons"
+#: Words that, put into a notice, make it another license or narrow it.
+OTHER = frozenset("lesser library affero nc nd sa noncommercial noderivatives noderivs sharealike gnu mozilla apache mit bsd isc not no never except exception only".split())
+#: Up to three words before a notice, in its sentence, that deny it; the word behind it that takes part of it back.
+DENIAL = frozenset("not never no nor neither cannot without t".split())
+TAKEN_BACK = frozenset("provided except unless".split())
+HINT = r"(?i)licen[cs]|copyright|hereby granted|redistribut|permission|free software|creative commons|public domain"
 #: Lines before and after one with a license word that belong to its block at least.
 NEAR = 3
 #: Template words that may be missing, and how much longer than the template its match may be.
 MISSING, SPREAD = 0.1, 1.3
-_WORD = re.compile(r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*")
+_WORD = re.compile(r"[A-Za-z0-9]+(?:\.[A-Za-z0-9]+)*")
+_SENTENCE = re.compile(r"[.!?;:](?:\s|\Z)")
 _FOUND = "doc_id long, first_line int, last_line int, license string, saved_bytes int, n_missing int, n_added int"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("first_line", pa.int32()), ("last_line", pa.int32()), ("license", pa.string()),
                     ("saved_bytes", pa.int32()), ("n_missing", pa.int32()), ("n_added", pa.int32())])
@@ -142,6 +170,9 @@ def _match(template: str, have: list[str], at: int) -> tuple[int, int, int, int]
     if not same or len(missing) > MISSING * len(want) or any(w[0].isdigit() or w[0].isupper() for w in missing):
         return None
     first, last = same[0].b, same[-1].b + same[-1].size
+    kept = {m.b + k for m in same for k in range(m.size)}
+    if any(have[at + i] in OTHER for i in range(first, last) if i not in kept):
+        return None
     return len(missing), last - first - len(held), at + first, at + last
 
 
@@ -166,20 +197,37 @@ def difference(template: str, block: str) -> tuple[int, int] | None:
     return min(found)[:2] if found else None
 
 
+def _denied(block: str, words: list[re.Match], first: int, last: int) -> bool:
+    """Whether the words around a match, in its sentence, deny it or take part of it back."""
+    for i in range(first - 1, max(first - 4, -1), -1):
+        if _SENTENCE.search(block, words[i].end(), words[i + 1].start() + 1):
+            break
+        if words[i][0].lower() in DENIAL:
+            return True
+    if last == len(words) or words[last][0].lower() not in TAKEN_BACK:
+        return False
+    return not _SENTENCE.search(block, words[last - 1].end(), words[last].start() + 1)
+
+
 def notices(block: str) -> Iterator[tuple[int, int, str, int, int, int]]:
     """First line, last line (exclusive), license, saved bytes, words missing and put in of each notice confirmed."""
     words = list(_WORD.finditer(block))
     have = [w[0].lower() for w in words]
-    if not any(matches(t, have) for _, t in TEMPLATES):
-        return
     for _, i in ranked(block):
         license_name, template = TEMPLATES[i]
-        while found := matches(template, have):
-            for missing, added, first, last in found:
-                have[first:last] = [""] * (last - first)
+        again = True
+        while again:
+            again = False
+            for missing, added, first, last in matches(template, have):
                 start, end = words[first].start(), words[last - 1].end()
-                yield (block.count("\n", 0, start), block.count("\n", 0, end) + 1, license_name,
-                       saved(block[start:end], i)[0], missing, added)
+                n_saved = saved(block[start:end], i)[0]
+                if n_saved <= 0:
+                    continue
+                again = True
+                # Words of a denied notice are no other notice either.
+                have[first:last] = [""] * (last - first)
+                if not _denied(block, words, first, last):
+                    yield block.count("\n", 0, start), block.count("\n", 0, end) + 1, license_name, n_saved, missing, added
 
 
 def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

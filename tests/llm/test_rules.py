@@ -162,6 +162,36 @@ def test_wording_decides(spark):
     assert licenses.difference(by_nc, "Licensed under CC BY-SA 4.0.") is None
 
 
+@pytest.mark.parametrize("text, want", [
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", ["LGPL-3.0"]),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", ["AGPL-3.0"]),
+    ("This work is licensed under the GNU Library General Public License, version 3.", []),
+    ("This work is licensed under the GNU General Public License (GPL), version 3.", ["GPL-3.0"]),
+    ("This work is licensed under a Creative Commons Attribution NonCommercial 4.0 International License.", ["CC-BY-NC-4.0"]),
+    ("Licensed under CC BY ND SA 4.0", []), ("Licensed under CC BY-NC-ND 4.0.", ["CC-BY-NC-ND-4.0"]),
+    ("It is not released under the MIT License.", []), ("It isn't licensed under the Apache License, Version 2.0.", []),
+    ("This is not free. Released under the MIT License.", ["MIT"]),
+    (next(t for n, t in licenses.TEMPLATES if n == "0BSD").rstrip(".") + " provided that you pay.", []),
+])
+def test_words_put_in_and_denials_decide(text, want):
+    assert [n for _, _, block in licenses.blocks(text) for _, _, n, *_ in licenses.notices(block)] == want
+
+
+def test_each_template_is_its_own_license_alone():
+    """The longest wording wins over the shorter ones inside it, and ranking by compression loses none."""
+    for name, notice in licenses.TEMPLATES:
+        for text in (notice, f"before it\n{notice}\nbehind it"):
+            assert [n for _, _, n, *_ in licenses.notices(text)] == [name]
+
+
+def test_ranking_loses_no_notice_of_the_table(spark, monkeypatch):
+    texts = [r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    blocks = [b for t in texts for _, _, b in licenses.blocks(t)]
+    ranked = [sorted(n[:3] for n in licenses.notices(b)) for b in blocks]
+    monkeypatch.setattr(licenses, "ranked", lambda block: sorted(((len(t), i) for i, (_, t) in enumerate(licenses.TEMPLATES)), reverse=True))
+    assert ranked == [sorted(n[:3] for n in licenses.notices(b)) for b in blocks] and any(ranked)
+
+
 def test_op4_equals_a_search_for_the_notices(spark):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     want = Counter((i, n) for i, t in texts.items() for n, notice in licenses.TEMPLATES if notice in t)
