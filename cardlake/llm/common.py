@@ -36,6 +36,17 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, *paths]))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each behind as many underscores as it takes to be no column's."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared checkpoint folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

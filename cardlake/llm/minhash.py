@@ -36,11 +36,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardlake.llm.common import arrow_column, documents, importable, stage, text_of
+from cardlake.llm.common import WORD, arrow_column, documents, importable, stage, text_of, unused
 from cardlake.llm.components import components
 
 SHINGLE, PERCENT = 5, 80
@@ -332,8 +332,8 @@ def class_roots(df: DataFrame, classes: DataFrame, doc_id: str, text: str, words
         tried, most = tried.union(fresh), most * 8 if left > REST * rows else 1 << 62
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words_each: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each row; linked from ``percent`` per cent of Jaccard similarity on."""
+def _rooted(df: DataFrame, doc_id: str, text: str, words_each: int, percent: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """All rows signed, and digest, first id and root of each class."""
     if not 50 <= percent <= 100:
         raise ValueError("bands are made for similarities of 50 per cent and more")
     importable(df.sparkSession)
@@ -345,15 +345,41 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     roots = class_roots(df, classes, doc_id, text, words_each, percent, block)
     firsts = classes.select("digest", "cls", "first")
     if roots is None:
-        placed = firsts.select("digest", F.col("first").alias("component_id"))
-    else:
-        placed = firsts.join(roots, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
-        lowest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-        placed = placed.join(lowest, "root").select("digest", "component_id")
+        return rows, firsts.select("digest", "first", F.col("cls").alias("root"))
+    placed = firsts.join(roots, F.col("cls") == F.col("node"), "left")
+    return rows, placed.select("digest", "first", F.coalesce("root", "cls").alias("root"))
+
+
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words_each: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of each row; linked from ``percent`` per cent of Jaccard similarity on."""
+    rows, placed = _rooted(df, doc_id, text, words_each, percent, block)
+    lowest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
+    placed = placed.join(lowest, "root").select("digest", "component_id")
     linked = rows.where("n_shingles > 0").join(placed, "digest").select("doc_id", "n_shingles", "component_id")
     alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words_each: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """The row of the smallest doc_id of each component (null last), whole; rows without words all stay.
+
+    Of rows with that id, one stays: the first by a hash of the text, then of the row.
+    """
+    signed, placed = _rooted(df, doc_id, text, words_each, percent, block)
+    rows = signed.where("n_shingles > 0").select("doc_id", "k1", "k2", "digest").join(placed.select("digest", "root"), "digest")
+    best = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("best"))
+    differs = ~(F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("k1") == F.col("best.k1")) & (F.col("k2") == F.col("best.k2")))
+    gone = stage(rows.join(best, "root").where(differs).select("doc_id", "k1", "k2").distinct(), "near-copies")
+    one, two, order = unused(df, "_k1", "_k2", "_order")
+    keyed = df.withColumns({one: F.xxhash64(text_of(text)), two: F.xxhash64(F.lit(11), text_of(text))})
+    same = keyed[doc_id].eqNullSafe(gone.doc_id) & (keyed[one] == gone.k1) & (keyed[two] == gone.k2)
+    kept = keyed.join(gone, same, "left_anti")
+    if signed.where("n_shingles > 0").groupBy("doc_id", "k1", "k2").count().where("count > 1").limit(1).count():
+        alike = Window.partitionBy(doc_id, one, two).orderBy(F.xxhash64(*[F.col(c) for c in df.columns]))
+        numbered = kept.withColumn(order, F.row_number().over(alike))
+        kept = numbered.where((F.col(order) == 1) | ~text_of(text).rlike(WORD)).drop(order)
+    return kept.drop(one, two)
+
+
 def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), words_each=2)

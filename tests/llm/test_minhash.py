@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from conftest import SF
 from llm.helpers import HARD, table, words
 
@@ -97,6 +98,18 @@ def test_hard_rows(spark):
         minhash.near_duplicates(table(spark, []), percent=40)
 
 
+def test_one_of_each_keeps_whole_rows(spark, crowd):
+    df = table(spark, list(crowd.values()))
+    got = minhash.one_of_each(df, words_each=2)
+    want = {i for i, (n, root) in ((k, (v[0], v[1])) for k, v in brute(crowd, 2).items()) if n == 0 or root == i}
+    assert got.columns == df.columns and {r.doc_id for r in got.collect()} == want
+    assert sorted(map(str, got.collect())) == sorted(map(str, df.where(F.col("doc_id").isin(list(want))).collect()))
+    texts = ["a b c d e f", "a b c d e f", "a b c d e f", "a b c d e f", "", "", None]
+    rows = minhash.one_of_each(table(spark, texts, [None, 3, 3, 4, 5, 5, None])).collect()
+    assert sorted((str(r.doc_id), r.text) for r in rows if r.text) == [("3", "a b c d e f")] and len(rows) == 4
+    assert minhash.one_of_each(table(spark, [])).count() == 0
+
+
 def test_odd_sketches_estimate_similarity():
     r = np.random.default_rng(2)
     limit = minhash.odd_limit()
