@@ -25,7 +25,8 @@ import regex
 from tokenizers import Tokenizer
 
 BYTE_BPE = "byte_bpe_50k.json"
-CACHE = 400_000
+#: Short words that a cache holds about, and what an entry counts besides its letters and items.
+CACHE, ENTRY = 400_000, 24
 LEAF = 256
 #: Beyond these characters the library itself splits the text: word classes differ between versions of Unicode.
 UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ]")
@@ -44,18 +45,23 @@ LETTERS = _byte_letters()
 
 
 class Memo(dict):
-    """A dictionary that makes what it lacks; when full, it keeps only what is used again."""
+    """A dictionary that makes what it lacks; when full, it keeps only what is used again.
 
-    def __init__(self, make, limit: int = CACHE):
+    It is full at ``limit`` letters and items of keys and values, each entry
+    counted as ``ENTRY`` more, so long words do not fill the memory.
+    """
+
+    def __init__(self, make, limit: int = CACHE * ENTRY * 2):
         super().__init__()
-        self.make, self.limit, self.older = make, limit, {}
+        self.make, self.limit, self.older, self.size = make, limit, {}, 0
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.older = dict(self)
+        if self.size >= self.limit:
+            self.older, self.size = dict(self), 0
             self.clear()
         value = self.older.get(key)
         value = self[key] = self.make(key) if value is None else value
+        self.size += ENTRY + sum(len(x) for x in (key, value) if hasattr(x, "__len__"))
         return value
 
 
@@ -75,7 +81,7 @@ class ByteBpe:
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
         self.ids = Memo(self._ids)
         self.chunk = Memo(self._chunk)
-        self.stable = Memo(lambda pair: self._is_stable(pair >> 20, pair & 0xFFFFF))
+        self.stable = Memo(lambda pair: self._is_stable(pair >> 20, pair & 0xFFFFF), CACHE * ENTRY)
         self.counts = Memo(self._counts)
         self.chunk_count = Memo(self._chunk_count)
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardlake.llm.bpe import BYTE_BPE, ByteBpe, byte_bpe
-from cardlake.llm.common import arrow_column, documents, importable, stage, text_of
+from cardlake.llm.common import arrow_column, documents, importable, stage, text_of, unused
 
 LEAF_CHARS = 1 << 16
 #: Pieces on each side that a window starts with; a special token cut in two spans no more.
@@ -111,11 +111,12 @@ def _encode_long(df: DataFrame, text: str, leaf_chars: int, path: str) -> DataFr
         return pd.DataFrame([{"_row": first._row, "leaf": first.leaf // 2, "part": first.part + rows.iloc[1].part, **whole.pack()}])
 
     # Rows get a number of their own; the written table fixes it.
-    rows = stage(df.drop("ids").withColumn("_row", F.monotonically_increasing_id()), "long-texts")
+    [row] = unused(df, "_row")
+    rows = stage(df.drop("ids").withColumn(row, F.monotonically_increasing_id()), "long-texts")
     size = F.length(text)
     longest = rows.agg(F.max(size)).first()[0] or 0
     parts = rows.select(
-        "_row", F.posexplode(F.transform(F.sequence(F.lit(0), ((size - 1) / leaf_chars).cast("int")),
+        F.col(row).alias("_row"), F.posexplode(F.transform(F.sequence(F.lit(0), ((size - 1) / leaf_chars).cast("int")),
                                          lambda i: F.substring(F.col(text), i * leaf_chars + 1, F.lit(leaf_chars)))).alias("leaf", "part"),
     ).repartition("_row", "leaf")
     nodes = parts.withColumn("_n", arrow_column(leaves, _LEAF)(F.col("part"))).select("_row", "leaf", "part", "_n.*")
@@ -124,7 +125,7 @@ def _encode_long(df: DataFrame, text: str, leaf_chars: int, path: str) -> DataFr
     while left > 1:
         nodes = nodes.groupBy("_row", F.floor(F.col("leaf") / 2).alias("_pair")).applyInPandas(lambda r: pair(r), nodes.schema)
         left = -(-left // 2)
-    return rows.join(nodes.select("_row", "ids"), "_row", "left").drop("_row").withColumn("ids", F.coalesce("ids", F.lit(b"")))
+    return rows.join(nodes.select(F.col("_row").alias(row), "ids"), row, "left").drop(row).withColumn("ids", F.coalesce("ids", F.lit(b"")))
 
 
 def decode(df: DataFrame, ids: str = "ids", text: str = "decoded", vocabulary: str | None = None) -> DataFrame:
@@ -169,11 +170,12 @@ def _coded(df: DataFrame, text: str, leaf_chars: int, vocabulary: str | None, ki
     importable(df.sparkSession)
     is_long = F.length(text_of(text)) > leaf_chars
     # One Python worker a task: ids of short texts are not sent back to be read again.
-    short = df.where(~is_long).withColumn("_d", arrow_column(of_texts, kind)(text_of(text)))
+    [d] = unused(df, "_d")
+    short = df.where(~is_long).withColumn(d, arrow_column(of_texts, kind)(text_of(text)))
     encoded = stage(_encode_long(df.where(is_long), text, leaf_chars, path), "long-ids")
-    long = encoded.withColumn("_d", arrow_column(of_ids, kind)(F.col("ids"))).drop("ids")
-    done = short.unionByName(long)
-    return done.withColumns({f.name: F.col("_d")[f.name] for f in kind.fields}).drop("_d")
+    long = encoded.withColumn(d, arrow_column(of_ids, kind)(F.col("ids"))).drop("ids")
+    done = short.drop("ids").unionByName(long)
+    return done.withColumns({f.name: F.col(d)[f.name] for f in kind.fields}).drop(d)
 
 
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardlake.llm.common import documents, importable, stage
+from cardlake.llm.common import documents, importable, stage, unused
 
 MIN_WORDS = 50
 _LINE = pa.schema([("key", pa.int64()), ("line", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("ahead", pa.int32()), ("behind", pa.int32())])
@@ -135,17 +135,19 @@ def _edit(texts: pa.Array, gone: pa.Array) -> pa.Array:
 def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Replace the text by what stays; add ``n_lines``, ``n_removed`` and ``removed`` (spans of deleted lines, end exclusive)."""
     importable(df.sparkSession)
-    keyed = df.withColumn("_key", F.xxhash64(text))
-    docs = keyed.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col("_key").alias("key"), F.col(text).alias("text"))
+    key, d, k, missing, edited = unused(df, "_key", "_d", "_k", "_gone", "_e")
+    keyed = df.withColumn(key, F.xxhash64(text))
+    docs = keyed.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc_id"), F.col(key).alias("key"), F.col(text).alias("text"))
     twice = docs.groupBy("doc_id", "key").count().where("count > 1").limit(1).count()
     lines = _lines(docs.dropDuplicates(["doc_id", "key"]) if twice else docs, min_words)
     covered = repeated_windows(lines).select(F.explode(F.sequence(F.col("start"), F.col("start") + F.col("m") - 1)).alias("g")).distinct()
-    gone = covered.join(lines, "g").groupBy(F.col("doc_id").alias("_d"), F.col("key").alias("_k")).agg(F.collect_list("line").alias("_gone"))
-    joined = keyed.join(gone, keyed[doc_id].eqNullSafe(gone._d) & (keyed._key == gone._k), "left")
-    done = joined.withColumn("_e", _edit(F.col(text), F.col("_gone")))
-    removed = F.coalesce(F.size("_gone"), F.lit(0)).cast("long")
-    return done.withColumns({text: F.col("_e.text"), "n_lines": F.col("_e.n_lines"), "n_removed": F.when(F.col("_gone").isNull(), F.lit(0).cast("long")).otherwise(removed),
-                             "removed": F.col("_e.removed")}).drop("_e", "_key", "_d", "_k", "_gone")
+    gone = covered.join(lines, "g").groupBy(F.col("doc_id").alias(d), F.col("key").alias(k)).agg(F.collect_list("line").alias(missing))
+    joined = keyed.join(gone, keyed[doc_id].eqNullSafe(gone[d]) & (keyed[key] == gone[k]), "left")
+    done = joined.withColumn(edited, _edit(F.col(text), F.col(missing)))
+    removed = F.coalesce(F.size(missing), F.lit(0)).cast("long")
+    result = F.col(edited)
+    return done.withColumns({text: result.text, "n_lines": result.n_lines, "n_removed": F.when(F.col(missing).isNull(), F.lit(0).cast("long")).otherwise(removed),
+                             "removed": result.removed}).drop(edited, key, d, k, missing)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

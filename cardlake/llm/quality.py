@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm.common import documents, stage, text_of
+from cardlake.llm.common import documents, stage, text_of, unused
 
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -148,15 +148,16 @@ def with_quality(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RU
     t = text_of(text)
     order = order_rules(df, rules, text)
     found = measures(t, words_of(t), lines_of(t))
-    measured = df.withColumn("_m", let(words_of(t), lambda w: let(lines_of(t), lambda ls: F.struct(
+    [name] = unused(df, "_m")
+    measured = df.withColumn(name, let(words_of(t), lambda w: let(lines_of(t), lambda ls: F.struct(
         *[c.alias(n) for n, c in measures(t, w, ls).items()]))))
-    found = {n: F.col("_m")[n] for n in found}
+    found = {n: F.col(name)[n] for n in found}
     base = [r.rejects(found) for r in rules if r.base]
     failed = base[0]
     for b in base[1:]:
         failed = failed | b
     out = {n: found[n] for n in MEASURES} | {"base_failed": failed, "kept": _verdict(order, found)}
-    return measured.withColumns(out).drop("_m")
+    return measured.withColumns(out).drop(name)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm.common import documents
+from cardlake.llm.common import documents, unused
 
 SLOTS = 8191
 SHARDS = tuple(f"shard-{i:03d}" for i in range(64))
@@ -57,10 +57,11 @@ def slot_of(key: Column, slots: int) -> Column:
 def with_shard(df: DataFrame, key: str = "doc_id", shards: tuple[str, ...] = SHARDS, slots: int = SLOTS) -> DataFrame:
     """Add ``slot`` and ``shard`` (the shard's place in the list)."""
     owners = ",".join(map(str, lookup(tuple(shards), slots)))
-    table = df.sparkSession.range(1).select(F.posexplode(F.split(F.lit(owners), ",")).alias("_slot", "_owner"))
-    table = table.select(F.col("_slot").cast("long"), F.col("_owner").cast("long"))
     placed = df.withColumn("slot", slot_of(F.col(key), slots))
-    return placed.join(F.broadcast(table), F.col("slot") == F.col("_slot")).withColumn("shard", F.col("_owner")).drop("_slot", "_owner")
+    at, owner = unused(placed, "_slot", "_owner")
+    table = df.sparkSession.range(1).select(F.posexplode(F.split(F.lit(owners), ",")).alias(at, owner))
+    table = table.select(F.col(at).cast("long"), F.col(owner).cast("long"))
+    return placed.join(F.broadcast(table), F.col("slot") == F.col(at)).withColumn("shard", F.col(owner)).drop(at, owner)
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardlake.llm.common import arrow_column, documents, importable, stage, text_of
+from cardlake.llm.common import arrow_column, documents, importable, stage, text_of, unused
 from cardlake.llm.components import components
 
 SHINGLE, SEED, BITS = 3, 42, 3
@@ -201,8 +201,9 @@ def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", bits:
     docs = stage(with_fingerprint(named).select("doc_id", "fp", "row"), "fingerprints")
     kept = _with_components(docs, bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     one = kept.groupBy("root", F.col("component_id").alias("_id")).agg(F.min("row").alias("_row"))
-    rows = df.withColumn("_hash", row)
-    same = rows.join(one, rows[doc_id].eqNullSafe(one._id) & (rows["_hash"] == one._row), "left_semi").drop("_hash")
+    [name] = unused(df, "_hash")
+    rows = df.withColumn(name, row)
+    same = rows.join(one, rows[doc_id].eqNullSafe(one._id) & (rows[name] == one._row), "left_semi").drop(name)
     twice = docs.groupBy("doc_id", "row").count().where("count > 1").limit(1).count()
     return same.dropDuplicates() if twice else same
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardlake.llm.bpe import BYTE_BPE, Prefixes, byte_bpe
-from cardlake.llm.common import arrow_column, documents, importable, text_of
+from cardlake.llm.common import arrow_column, documents, importable, text_of, unused
 
 LIMIT = 1024
 _COUNTS = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("cut_chars", T.LongType())])
@@ -42,12 +42,13 @@ def token_counts(df: DataFrame, text: str = "text", limit: int = LIMIT, vocabula
             out.append({"n_bytes": len(t.encode()), "n_tokens": n, "cut_chars": len(t) if n <= limit else Prefixes(bpe, t).cut(limit)})
         return out
 
-    counted = df.withColumn("_counts", arrow_column(count, _COUNTS)(text_of(text)))
-    found = F.col("_counts")
+    [name] = unused(df, "_counts")
+    counted = df.withColumn(name, arrow_column(count, _COUNTS)(text_of(text)))
+    found = F.col(name)
     return counted.withColumns({
         "n_bytes": found.n_bytes, "n_tokens": found.n_tokens,
         "over_limit": found.n_tokens > limit, "cut_chars": found.cut_chars,
-    }).drop("_counts")
+    }).drop(name)
 
 
 def prefix_tokens(df: DataFrame, text: str = "text", vocabulary: str | None = None) -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import re
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, hash string, item_id long"
+INSIDE = ("_slot", "_owner", "_gone", "_row", "_hash", "_m", "_counts", "_d", "_key", "_e", "_k", "_k1", "_k2", "_order", "_id")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, hash string, item_id long, " + ", ".join(f"{c} long" for c in INSIDE)
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def rows(texts, ids=None):
     """Rows with columns whose names operators use inside."""
-    return [(i if ids is None else ids[i], t, "en", None, None if t is None else len(t), "k", "h", 1) for i, t in enumerate(texts)]
+    return [(i if ids is None else ids[i], t, "en", None, None if t is None else len(t), "k", "h", 1, *range(len(INSIDE))) for i, t in enumerate(texts)]
 
 
 def table(spark, texts, ids=None):
