@@ -7,8 +7,11 @@ columns of documents, and work on every row that came in.
 1. quality rules: documents that a rule rejects go.
 2. line dedup: later copies of repeated line runs of 50 words or more go from
    the texts; the documents stay, with their character counts made anew.
-3. SimHash near-dedup: of each group of linked documents the one with the
-   smallest doc_id stays (null last; of equal ids, one by the rest of the row).
+3. near-dedup: of each group of linked documents the one with the smallest
+   doc_id stays (null last; of equal ids, one by the rest of the row). Links are
+   five-word shingle sets with a similarity of 0.8 or more, found by MinHash, as
+   most such pairs differ in more than three bits of 64; then, of what stays,
+   SimHash fingerprints that differ in three bits or fewer.
 4. benchmark decontamination: documents that hold a test item go.
 5. BPE encoding and decoding: token ids and their count, the text decoded from
    them, and digests of both, for what is left.
@@ -21,7 +24,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm import bpe_codec, decontaminate, line_dedup, quality, simhash
+from cardlake.llm import bpe_codec, decontaminate, line_dedup, minhash, quality, simhash
 from cardlake.llm.common import checkpoint_dir, documents
 
 
@@ -35,7 +38,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_of_each(docs).select(docs.columns)
+    return simhash.one_of_each(minhash.one_of_each(docs)).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
