@@ -1248,7 +1248,7 @@ def failure_trend(spark, sf):
     FROM wh_fact_known f JOIN wh_card c ON c.card_key = f.card_key
     WHERE card_brand = 'VISA' AND txn_date BETWEEN DATE '1998-01-15' AND DATE '1998-03-10'""")
 def transaction_detail(spark, sf):
-    return measures.transaction_detail(*_star(spark, sf), "1998-01-15", "1998-03-10", "VISA")
+    return measures.transaction_detail(V.measured_fact(spark, sf), V.stored_dims(spark, sf), "1998-01-15", "1998-03-10", "VISA")
 
 
 # --- operations measures ----------------------------------------------------
@@ -1471,7 +1471,7 @@ _SHIFTED = """(SELECT txn_month, transaction_id FROM wh_fact_known UNION ALL
 
 
 def _fact_with_moved_copies(spark, sf):
-    fact = V.stored_fact(spark, sf).select("txn_month", "transaction_id")
+    fact = V.stored_ids(spark, sf)
     copies = fact.where(F.col("transaction_id").endswith("5")).withColumn("txn_month", F.add_months("txn_month", 1))
     return fact.unionByName(copies)
 
@@ -1600,7 +1600,7 @@ def step_log(spark, sf):
 
 @query("SELECT transaction_id, amount FROM wh_fact WHERE txn_month = DATE '1998-02-01'")
 def month_scope(spark, sf):
-    return projection.month_scope(V.stored_fact(spark, sf), "1998-02-01").select("transaction_id", "amount")
+    return projection.month_scope(V.measured_fact(spark, sf), "1998-02-01").select("transaction_id", "amount")
 
 
 @query("""

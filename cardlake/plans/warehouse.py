@@ -156,23 +156,33 @@ def month_rows(dates: DataFrame, target: DataFrame) -> DataFrame:
 # --- fact -------------------------------------------------------------------
 
 
+def _typed_member(dim: DataFrame, key: str, natural: str, fact: DataFrame, name: str) -> DataFrame:
+    """Surrogate keys by natural key in the fact's type. Only members whose text is
+    just how that type prints: others equal no key of the fact as text either."""
+    typed = F.col(natural).try_cast(fact.schema[natural].dataType)
+    return dim.where(typed.cast("string") == F.col(natural)).select(key, typed.alias(name))
+
+
 def wh_fact(gold: DataFrame, dims: dict[str, DataFrame], month: str | None = None) -> DataFrame:
     """Gold fact rows with surrogate keys; rows without all four drop out.
 
     No dimension carries a hint: below the size threshold Spark broadcasts it,
     otherwise it joins by shuffle and splits skewed partitions at run time.
     ``rows_without_key`` counts what drops out.
+
+    User and card are matched in the type that the fact has them in. So a fact
+    that was dealt by client to conform it is not dealt again here.
     """
     f = month_scope(gold, month)
     dates = dims["dim_date"].select("date_key", "date_id")
     mcc = dims["dim_mcc"].select("mcc_key", F.col("mcc_code").alias("__mcc"))
-    users = dims["dim_user"].select("user_key", F.col("client_id").alias("__client"))
-    cards = dims["dim_card"].select("card_key", F.col("card_id").alias("__card"))
+    users = _typed_member(dims["dim_user"], "user_key", "client_id", f, "__client")
+    cards = _typed_member(dims["dim_card"], "card_key", "card_id", f, "__card")
     joined = (
         f.join(dates, C.date_id("txn_date") == F.col("date_id"))
         .join(mcc, F.col("mcc_code").try_cast("int") == F.col("__mcc"))
-        .join(users, F.col("client_id").cast("string") == F.col("__client"))
-        .join(cards, F.col("card_id").cast("string") == F.col("__card"))
+        .join(users, F.col("client_id") == F.col("__client"))
+        .join(cards, F.col("card_id") == F.col("__card"))
     )
     return joined.select(
         C.varchar("transaction_id", 64).alias("transaction_id"),
