@@ -12,6 +12,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardlake.functions import columns as C
 
@@ -113,20 +114,23 @@ def _groups(by: list[str], mode: str) -> list[list[str]]:
 def _distinct_counts(fact: DataFrame, dims: dict[str, DataFrame], by: list[str], mode: str) -> DataFrame:
     """All distinct members per group, from one scan of the fact.
 
-    Each row gives a pair (kind, member) for each kind of member. Tasks reduce
+    Each row gives a pair (kind, member) for each kind of member, the kind as a
+    small number and members that all are whole numbers as such. Tasks reduce
     their rows to the distinct (attributes, pair), so what is shuffled and what
-    the subtotals multiply are few pairs and not transactions.
+    the subtotals multiply are few pairs and not transactions. Keys with the
+    same attributes meet in the count, which needs no distinct pairs before it.
     """
-    pairs = [F.struct(F.lit(name).alias("kind"), F.col(c).cast("string").alias("member")) for name, c in _DISTINCT.items()]
+    whole = all(isinstance(fact.schema[c].dataType, T.IntegralType) for c in _DISTINCT.values())
+    pairs = [F.struct(F.lit(i).alias("kind"), F.col(c).cast("bigint" if whole else "string").alias("member")) for i, c in enumerate(_DISTINCT.values())]
     keys = _fact_keys(fact, dims, by)
     rows = fact.select(*keys, F.inline(F.array(*pairs))).where("member is not null").distinct()
-    pairs = star(rows, dims, by).select(*by, "kind", "member").distinct()
+    pairs = star(rows, dims, by).select(*by, "kind", "member")
     sets = [[*g, "kind"] for g in _groups(by, mode)]
     # ``kind`` is in every grouping: the grouping id without its last bit is that of the attributes.
     level = [F.shiftright(F.grouping_id(), 1).alias("__level")] if by and mode != "group" else []
     counted = pairs.groupingSets(sets, *by, "kind").agg(F.countDistinct("member").alias("n"), *level)
     names = [*by, *["__level"] * len(level)]
-    return counted.groupBy(*names).agg(*[F.coalesce(F.max(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(k) for k in _DISTINCT])
+    return counted.groupBy(*names).agg(*[F.coalesce(F.max(F.when(F.col("kind") == i, F.col("n"))), F.lit(0)).alias(k) for i, k in enumerate(_DISTINCT)])
 
 
 # --- sketches ---------------------------------------------------------------

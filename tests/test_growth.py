@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from test_plans import no_broadcast, plan  # noqa: F401
 
 from cardlake.catalog import views as V
-from cardlake.plans import warehouse
+from cardlake.plans import measures, warehouse
 
 
 def test_stored_fact_has_the_measured_columns_alone(spark, sf):
@@ -30,3 +30,10 @@ def test_members_match_only_as_they_print(spark):
     as_text = fact.withColumn("client_id", F.lit("07"))
     typed = warehouse._typed_member(dim, "user_key", "client_id", as_text, "k")
     assert rows(as_text.join(typed, F.col("client_id") == F.col("k")).select("user_key").distinct()) == [(2,)]
+
+
+def test_distinct_members_are_dealt_as_numbers_and_once_before_the_subtotals(spark, sf):
+    text = plan(measures._distinct_counts(V.stored_fact(spark, sf), V.stored_dims(spark, sf), ["card_brand", "txn_month"], "cube"))
+    assert "_count_distinct AS kind" not in text and "as string) AS member" not in text
+    dealt = [line for line in text.split("\n") if "hashpartitioning" in line and "member#" in line]
+    assert len(dealt) == 2
