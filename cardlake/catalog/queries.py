@@ -592,7 +592,9 @@ def gold_fact_by_orphan_sets(spark, sf):
     """The fact by way of stored orphan keys, as the load builds it."""
     silver_rows = V.silver_transactions(spark, sf)
     rules = gold.fact_rules(*V.fact_dims(spark, sf), V.gold_dates(spark))
-    sets = gold.staged_orphan_keys(silver_rows, rules, uuid.uuid4().hex)
+    # Keys of rows that silver drops mark no row that it keeps, so they are taken ahead of the ranking.
+    keys = V.bronze_transactions(spark, sf).select(*[F.col(k).cast(silver_rows.schema[k].dataType) for k in ("client_id", "card_id")])
+    sets = gold.staged_orphan_keys(keys, rules, uuid.uuid4().hex)
     good = conforming(tag_orphans(gold.deduped_fact(silver_rows, unique_input=True), rules, orphan_sets=sets))
     return business(good).withColumn("txn_ts", F.date_format("txn_ts", STAMP))
 

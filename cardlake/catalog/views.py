@@ -49,34 +49,37 @@ def _technical(entity: str, ts: Column) -> dict[str, Column]:
 
 def bronze_transactions(spark: SparkSession, sf: str) -> DataFrame:
     """One row per line item. Ids repeat, so de-duplication has work to do."""
-    lines = table(spark, sf, "lineitem")
+    line = table(spark, sf, "lineitem")
+    failed = (F.col("l_linestatus") == "F") & (F.col("l_quantity") > 45)
+    returned = F.col("l_returnflag") == "R"
+    # What is made of a line alone is made before the joins, so these deal fewer columns.
+    usage = F.when(F.col("l_linenumber") == 7, 0).when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2)
+    lines = line.select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_shipdate",
+        F.when(returned, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice")).alias("amount"),
+        usage.otherwise(3).alias("usage"),
+        F.when(failed, 1).alias("errors"),
+    )
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     parts = table(spark, sf, "part").select("p_partkey", "p_size", "p_brand", "p_type")
-    df = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-        parts, F.col("l_partkey") == F.col("p_partkey")
-    )
+    sold = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    numbered = sold.withColumn("id", F.col("l_orderkey") * 10 + F.col("l_linenumber")).drop("l_orderkey", "o_orderkey", "l_linenumber")
+    df = numbered.join(parts, F.col("l_partkey") == F.col("p_partkey"))
     ts = F.col("l_shipdate").cast("timestamp")
-    returned = F.col("l_returnflag") == "R"
-    usage = (
-        F.when(F.col("l_linenumber") == 7, None)
-        .when(F.col("l_returnflag") == "A", "CHIP TRANSACTION")
-        .when(F.col("l_returnflag") == "N", "ONLINE TRANSACTION")
-        .otherwise("SWIPE TRANSACTION")
-    )
-    failed = (F.col("l_linestatus") == "F") & (F.col("l_quantity") > 45)
+    names = F.when(F.col("usage") == 1, "CHIP TRANSACTION").when(F.col("usage") == 2, "ONLINE TRANSACTION")
     return df.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        "id",
         ts.alias("date"),
         F.col("o_custkey").alias("client_id"),
         F.col("l_suppkey").alias("card_id"),
-        F.when(returned, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice")).alias("amount"),
-        usage.alias("use_chip"),
+        "amount",
+        names.when(F.col("usage") == 3, "SWIPE TRANSACTION").alias("use_chip"),
         F.col("l_partkey").alias("merchant_id"),
         F.upper("p_brand").alias("merchant_city"),
         F.upper("p_type").alias("merchant_state"),
         F.lpad((F.col("l_partkey") % 100000).cast("string"), 5, "0").alias("zip"),
         F.col("p_size").alias("mcc"),
-        F.when(failed, 1).alias("errors"),
+        "errors",
         *[c.alias(n) for n, c in _technical("TRANSACTION", ts).items()],
     )
 
@@ -156,8 +159,8 @@ def bronze_fx(spark: SparkSession, sf: str) -> DataFrame:
 # --- silver and gold over the views -----------------------------------------
 
 
-def silver_transactions(spark: SparkSession, sf: str) -> DataFrame:
-    return silver.silver_transactions(bronze_transactions(spark, sf), tie_break=TXN_TIES)
+def silver_transactions(spark: SparkSession, sf: str, hashed: bool = True) -> DataFrame:
+    return silver.silver_transactions(bronze_transactions(spark, sf), tie_break=TXN_TIES, hashed=hashed)
 
 
 def silver_users(spark: SparkSession, sf: str) -> DataFrame:
@@ -212,7 +215,7 @@ def gold_fact(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """(fact, events) from the raw lines. The load time follows the
     transaction, so freshness differs by month."""
     return gold.fact_transactions(
-        silver_transactions(spark, sf),
+        silver_transactions(spark, sf, hashed=False),
         *fact_dims(spark, sf),
         gold_dates(spark),
         RUN_ID,

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake.functions import columns as C
+from cardlake.functions.hashing import record_hash
 from cardlake.operators import quality as Q
 from cardlake.operators.conform import (
     FAILED_RULE,
@@ -21,6 +24,7 @@ from cardlake.operators.conform import (
 from cardlake.operators.dedup import dedup_latest
 from cardlake.operators.projection import add_gold_audit, require_text
 from cardlake.plans import contracts as K
+from cardlake.plans.silver import HASH_COLUMNS
 from cardlake.sources import versions, writers
 from cardlake.sources.readers import date_spine
 
@@ -136,12 +140,25 @@ def deduped_fact(silver: DataFrame, tie_break=None, unique_input: bool = False)
     The silver table holds one row per transaction already. ``unique_input``
     trusts that and leaves the fact unshuffled.
     """
-    c = K.SILVER_TRANSACTIONS
-    latest = Q.require_columns(silver, c.names, c.table).select(*c.names)
+    latest = _silver_columns(silver)
     if not unique_input:
-        latest = dedup_latest(latest, c.keys, c.order_by, tie_break)
+        latest = dedup_latest(latest, K.SILVER_TRANSACTIONS.keys, K.SILVER_TRANSACTIONS.order_by, tie_break)
+    return _fact_columns(latest)
+
+
+def _silver_columns(silver: DataFrame) -> DataFrame:
+    """The contract's columns; the record hash may be left to ``_fact_columns``."""
+    c = K.SILVER_TRANSACTIONS
+    names = [n for n in c.names if n != "record_hash" or n in silver.columns]
+    return Q.require_columns(silver, names, c.table).select(*names)
+
+
+def _fact_columns(latest: DataFrame) -> DataFrame:
+    """Silver rows with what gold makes of them, and with their hash if they have none yet."""
+    own = {} if "record_hash" in latest.columns else {"record_hash": record_hash(HASH_COLUMNS["silver_transactions"])}
     return latest.withColumns(
         {
+            **own,
             "use_chip": F.trim("use_chip"),
             "is_chip_used": C.is_chip_used("use_chip"),
             "error_code": F.coalesce("error_code", F.lit(0)),
@@ -159,11 +176,16 @@ def fact_transactions(
     now: Column | None = None,
     tie_break=None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(gold fact, orphan events), lazily."""
-    rules = fact_rules(users, cards, mcc, dates)
-    tagged = tag_orphans(deduped_fact(silver, tie_break), rules)
+    """(gold fact, orphan events), lazily.
+
+    Rows are joined as they come from silver. What gold adds to them, and the
+    hash if silver left it out, follows the joins: those may shuffle.
+    """
+    c, rules = K.SILVER_TRANSACTIONS, fact_rules(users, cards, mcc, dates)
+    latest = dedup_latest(_silver_columns(silver), c.keys, c.order_by, tie_break)
+    tagged = tag_orphans(latest, rules)
     events = orphan_events(tagged, rules, run_id, "fact_transactions", "silver_transactions", now)
-    good = add_gold_audit(conforming(tagged), run_id, now)
+    good = add_gold_audit(_fact_columns(conforming(tagged)), run_id, now)
     return K.project_to_contract(good, K.GOLD_FACT), events
 
 
@@ -177,10 +199,17 @@ def staged_orphan_keys(silver: DataFrame, rules: list[Rule], run_id: str) -> dic
     broadcasts a list that is small and shuffles one that is not, so the fact
     is normally not shuffled for conformance at all.
     """
+    own = [r for r in rules if not r.bounded]
+    types = {r.fact_key: silver.schema[r.fact_key].dataType for r in own}
+    pairs = [
+        F.struct(F.lit(i).alias("rule"), *[(F.col(k) if k == r.fact_key else F.lit(None).cast(t)).alias(k) for k, t in types.items()])
+        for i, r in enumerate(own)
+    ]
+    # The keys of all rules come from one pass over the rows.
+    found, _ = writers.stage(silver.select(F.inline(F.array(*pairs))).distinct(), "fact-keys", run_id)
     return {
-        r.rule_id: writers.stage(orphan_keys(silver, r), f"orphans-{r.rule_id}", run_id)[0]
-        for r in rules
-        if not r.bounded
+        r.rule_id: writers.stage(orphan_keys(found.where(F.col("rule") == i), r), f"orphans-{r.rule_id}", run_id)[0]
+        for i, r in enumerate(own)
     }
 
 
@@ -194,8 +223,13 @@ def build_cards(
     silver: DataFrame, users: DataFrame, path: str, events_path: str, kpi_path: str, run_id: str
 ) -> dict:
     rules = card_rules(users)
+    arrived = Observation(f"{K.GOLD_DIM_CARD.table}-in-{run_id}")
+
+    def tag(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+        return tagged_cards(df.observe(arrived, F.count(F.lit(1)).alias("row_in")), users), lambda: arrived.get["row_in"]
+
     return _build_split(
-        silver, lambda df: tagged_cards(df, users), rules, K.GOLD_DIM_CARD, "dim_card",
+        silver, tag, rules, K.GOLD_DIM_CARD, "dim_card",
         "silver_cards", path, events_path, kpi_path, run_id,
     )
 
@@ -214,35 +248,58 @@ def build_fact(
 ) -> dict:
     """Load the gold fact, its anomaly events and their KPIs.
 
-    With ``unique_input`` and few orphans the fact is shuffled only to gather
-    the months it is written by.
+    With few orphans and few repeated ids the fact is not shuffled at all: ids that
+    repeat are found on the ids alone, and only their rows are ranked. Rows are
+    then written as they lie, each task's months apart. ``unique_input`` trusts
+    that no id repeats.
     """
-    rules = fact_rules(users, cards, mcc, dates)
+    c, rules = K.SILVER_TRANSACTIONS, fact_rules(users, cards, mcc, dates)
 
-    def tag(df: DataFrame) -> DataFrame:
-        sets = staged_orphan_keys(silver, rules, run_id)
-        return tag_orphans(deduped_fact(df, unique_input=unique_input), rules, orphan_sets=sets)
+    def tag(df: DataFrame) -> tuple[DataFrame, Callable[[], int] | None]:
+        sets, rows, counted = staged_orphan_keys(df, rules, run_id), _silver_columns(df), None
+        if not unique_input:
+            repeats, n = staged_repeats(df, c.keys, run_id)
+            rows, counted = latest_of_repeats(rows, repeats, c.keys, c.order_by), lambda: n
+        return tag_orphans(_fact_columns(rows), rules, orphan_sets=sets), counted
 
     return _build_split(
         silver, tag, rules, K.GOLD_FACT, "fact_transactions", "silver_transactions",
-        path, events_path, kpi_path, run_id,
+        path, events_path, kpi_path, run_id, gather=False,
     )
 
 
+def staged_repeats(df: DataFrame, keys: Sequence[str], run_id: str) -> tuple[DataFrame, int]:
+    """Keys that more than one row has, stored, and the number of all rows."""
+    counted = Observation(f"repeats-{run_id}-{uuid.uuid4().hex}")
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).observe(counted, F.coalesce(F.sum("__n"), F.lit(0)).alias("n"))
+    repeats, _ = writers.stage(per_key.where(F.col("__n") > 1).select(*keys), f"repeats-{'-'.join(keys)}", run_id)
+    return repeats, versions.seen(counted, df, {"n": F.count(F.lit(1))})["n"]
+
+
+def latest_of_repeats(df: DataFrame, repeats: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """``dedup_latest``, in which rows whose key is not among ``repeats`` pass as they are."""
+    other = repeats.select(*[F.col(k).alias(f"__r_{k}") for k in keys])
+    same = C.all_of([F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+    once, several = df.join(other, same, "left_anti"), df.join(other, same, "left_semi")
+    return once.unionByName(dedup_latest(several, keys, order))
+
+
 def _build_split(
     silver, tag, rules, c: K.Contract, entity: str, source_table: str,
-    path: str, events_path: str, kpi_path: str, run_id: str,
+    path: str, events_path: str, kpi_path: str, run_id: str, gather: bool = True,
 ) -> dict:
     """Write the tagged rows once, those that pass and those that fail apart, with
     all counts and checks observed on that write. Passing ones are committed as
     the table, failing ones become anomaly events.
 
     Uniqueness needs no pass of its own: the rows are ranked per key just before.
+    ``tag`` gives the tagged rows, and what tells the number of rows that came in,
+    unless that is the number of the tagged ones.
     """
     spark, base = silver.sparkSession, versions.current(silver.sparkSession, path)
     run_id = require_text(run_id, "run_id")
-    arrived = Observation(f"{c.table}-in-{run_id}")
-    tagged = add_gold_audit(tag(silver.observe(arrived, F.count(F.lit(1)).alias("row_in"))), run_id)
+    rows, counted = tag(silver)
+    tagged = add_gold_audit(rows, run_id)
     shaped = tagged.select(
         *[F.col(k.name).cast(K.spark_type(k.type)).alias(k.name) for k in c.columns], FAILED_RULE
     ).withColumn(PASSED, F.col(FAILED_RULE).isNull())
@@ -250,7 +307,7 @@ def _build_split(
     checks = Q.contract_checks(c, with_unique=False)
     broken = {k.name: F.count_if(passed & k.violation) for k in checks if k.violation is not None}
     load, seen = versions.write(
-        shaped, path, [PASSED, *c.partition_by], {"deduped": F.count(F.lit(1)), "rejected": F.count_if(~passed), **broken}
+        shaped, path, [PASSED, *c.partition_by], {"deduped": F.count(F.lit(1)), "rejected": F.count_if(~passed), **broken}, gather=gather,
     )
     written = versions.folders(spark, path, load)
     top = f"{PASSED}=true"
@@ -269,15 +326,15 @@ def _build_split(
     own = ["gold_run_id", "entity"]
     if seen["rejected"]:
         failed = versions.files(spark, path, [f for p, f in written.items() if not p.startswith(top)], shaped.drop(PASSED).schema)
-        events, _ = writers.stage(
-            orphan_events(failed, rules, run_id, entity, source_table), f"{c.table}-events", run_id
-        )
+        events = orphan_events(failed, rules, run_id, entity, source_table)
         writers.overwrite_partitions(events, events_path, own, cluster=False)
-        writers.overwrite_partitions(anomaly_kpis(events, run_id, entity), kpi_path, own, cluster=False)
+        stored = spark.read.schema(events.schema).parquet(events_path)
+        stored = stored.where((F.col("gold_run_id") == run_id) & (F.col("entity") == entity))
+        writers.overwrite_partitions(anomaly_kpis(stored, run_id, entity), kpi_path, own, cluster=False)
     else:
         for table in (events_path, kpi_path):
             writers.remove_folder(spark, f"{table}/gold_run_id={run_id}/entity={entity}")
-    row_in = arrived.get["row_in"]
+    row_in = counted() if counted else seen["deduped"]
     return {
         "row_in": row_in,
         "dedup_dropped": row_in - seen["deduped"],

@@ -52,12 +52,18 @@ def _require(df: DataFrame, entity: str, exact: bool) -> DataFrame:
 
 
 def _finish(
-    df: DataFrame, c: K.Contract, order: str, tie_break: Sequence[str | Column] | None
+    df: DataFrame, c: K.Contract, order: str, tie_break: Sequence[str | Column] | None,
+    derived: dict[str, Column] | None = None, hashed_rows: bool = True,
 ) -> DataFrame:
-    df = add_tech_columns(df)
+    """Latest rows with their hash. ``derived`` columns are made of the others, for the
+    ranking and once more behind it, so the shuffle carries those that rank alone."""
+    df = add_tech_columns(df).withColumns(derived or {})
     hashed = HASH_COLUMNS[c.table]
     ties = [F.xxhash64(*hashed, "source_file")] if tie_break is None else tie_break
     latest = dedup_latest(df, c.keys, order, ties)
+    latest = latest.withColumns(derived or {})
+    if not hashed_rows:
+        return latest.select(*[n for n in c.names if n != "record_hash"])
     return add_record_hash(latest, hashed).select(*c.names)
 
 
@@ -66,15 +72,16 @@ def silver_transactions(
     errors_mode: str = "numeric",
     order: str = "ingestion_ts",
     tie_break: Sequence[str | Column] | None = None,
+    hashed: bool = True,
 ) -> DataFrame:
+    """Without ``hashed`` the record hash is left out: whoever shuffles the rows once more
+    takes it behind that shuffle (``gold.fact_transactions``)."""
     df = _require(bronze, "TRANSACTION", exact=True)
     error = C.error_code("errors", errors_mode)
     ts = F.col("date").cast("timestamp")
     df = df.select(
         F.col("id").cast("bigint").alias("transaction_id"),
         ts.alias("txn_ts"),
-        F.to_date(ts).alias("txn_date"),
-        C.month_start(F.to_date(ts)).alias("txn_month"),
         F.col("client_id").cast("bigint").alias("client_id"),
         F.col("card_id").cast("bigint").alias("card_id"),
         F.col("merchant_id").cast("bigint").alias("merchant_id"),
@@ -85,12 +92,13 @@ def silver_transactions(
         "merchant_state",
         F.col("zip").cast("string").alias("zip"),
         error.alias("error_code"),
-        (error == 0).alias("is_success"),
         "source_file",
         "ingestion_date",
         "ingestion_ts",
     )
-    return _finish(df, K.SILVER_TRANSACTIONS, order, tie_break)
+    day = F.to_date("txn_ts")
+    derived = {"txn_date": day, "txn_month": C.month_start(day), "is_success": F.col("error_code") == 0}
+    return _finish(df, K.SILVER_TRANSACTIONS, order, tie_break, derived, hashed)
 
 
 def silver_users(

@@ -27,6 +27,8 @@ from pyspark.sql import types as T
 from cardlake.sources import numbered
 
 POINTERS, LOADS, LOAD = "_versions", "_loads", "__load"
+#: Hashes in hex are most of a row's bytes; this halves them.
+CODEC = "zstd"
 EMPTY_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -91,12 +93,13 @@ def files(spark: SparkSession, path: str, found: Sequence[str], schema: T.Struct
 
 def write(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), metrics: dict[str, Column] | None = None,
-    load: str | None = None, keep: Column | None = None,
+    load: str | None = None, keep: Column | None = None, gather: bool = True,
 ) -> tuple[str, dict]:
     """Write rows into a load's own folder; (load, metrics of the rows on their way).
 
     ``keep`` picks the rows that are written; metrics count all. A repeated load
-    replaces what it wrote before.
+    replaces what it wrote before. ``gather`` deals the rows by partition first; without
+    it no row is shuffled, and each task writes a file for each partition it has rows of.
     """
     load = load or uuid.uuid4().hex
     observed, rows = None, df
@@ -104,8 +107,8 @@ def write(
         observed = Observation(f"load-{load}-{uuid.uuid4().hex}")
         df = rows.observe(observed, *[m.alias(k) for k, m in metrics.items()])
     kept = df if keep is None else df.where(keep)
-    clustered = kept.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else kept
-    clustered.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{LOADS}/{LOAD}={load}")
+    clustered = kept.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by and gather else kept
+    clustered.write.mode("overwrite").option("compression", CODEC).partitionBy(*partition_by).parquet(f"{path}/{LOADS}/{LOAD}={load}")
     return load, seen(observed, rows, metrics) if observed else {}
 
 

@@ -43,7 +43,7 @@ def overwrite_partitions(
 
 def _replace(df: DataFrame, path: str, partition_by: Sequence[str], cluster: bool, mode: str) -> None:
     rows = clustered(df, partition_by) if cluster else df
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode).option("compression", versions.CODEC)
     writer.partitionBy(*partition_by).parquet(path)
 
 
@@ -144,7 +144,7 @@ def stage(
     if metrics:
         observation = Observation(f"{name}-{run_id}")
         df = df.observe(observation, *[m.alias(k) for k, m in metrics.items()])
-    overwrite(df, path, partition_by)
+    overwrite(df, path, partition_by, cluster=False)
     staged = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     return staged, versions.seen(observation, rows, metrics) if observation else {}
 

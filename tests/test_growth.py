@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from test_plans import no_broadcast, plan  # noqa: F401
 
 from cardlake.catalog import views as V
-from cardlake.plans import measures, warehouse
+from cardlake.operators.dedup import dedup_latest
+from cardlake.plans import gold, measures, warehouse
+from cardlake.sources import versions, writers
 
 
 def test_stored_fact_has_the_measured_columns_alone(spark, sf):
@@ -37,3 +39,47 @@ def test_distinct_members_are_dealt_as_numbers_and_once_before_the_subtotals(spa
     assert "_count_distinct AS kind" not in text and "as string) AS member" not in text
     dealt = [line for line in text.split("\n") if "hashpartitioning" in line and "member#" in line]
     assert len(dealt) == 2
+
+
+def test_hash_is_made_behind_the_joins_that_conform_the_fact(spark, sf, no_broadcast):  # noqa: F811
+    text = plan(V.warehouse_fact(spark, sf))
+    dealt = [m.start() for m in re.finditer(r"Exchange hashpartitioning\(client_id#", text)]
+    facts = [at for at in dealt if "transaction_id#" in text[at : at + 400]]
+    assert facts and text.rindex("sha2(") < max(facts)
+
+
+def test_latest_rows_deal_no_derived_columns(spark, sf):
+    text = plan(V.silver_transactions(spark, sf))
+    below = text[text.index("Exchange hashpartitioning(transaction_id#") :]
+    assert "trunc" not in below and "is_success" not in below
+
+
+def test_keys_of_all_rules_come_from_one_pass(spark, sf, path, monkeypatch):
+    staged = []
+    stage = writers.stage
+    monkeypatch.setattr(writers, "stage", lambda df, name, *rest: staged.append((name, plan(df))) or stage(df, name, *rest))
+    rows_in = V.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("client_id"), F.col("l_suppkey").alias("card_id"), F.lit("x").alias("mcc_code"), F.to_date("l_shipdate").alias("txn_date"))
+    gold.staged_orphan_keys(rows_in, gold.fact_rules(*V.fact_dims(spark, sf), V.gold_dates(spark)), "one-pass")
+    assert sum("lineitem.parquet" in text for _, text in staged) == 1
+
+
+def test_rows_of_unrepeated_ids_are_not_ranked(spark):
+    df = spark.createDataFrame(
+        [(1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (None, 1, "d"), (None, 3, "e"), (3, None, "f"), (3, 1, "g")], "k long, at long, record_hash string")
+    repeats, n = gold.staged_repeats(df, ["k"], "repeats")
+    got = gold.latest_of_repeats(df, repeats, ["k"], "at")
+    assert n == 7 and rows(repeats) == rows(spark.createDataFrame([(1,), (3,), (None,)], "k long"))
+    assert rows(got) == rows(dedup_latest(df, ["k"], "at"))
+    none, n = gold.staged_repeats(df.where("false"), ["k"], "no-repeats")
+    assert (n, none.count()) == (0, 0)
+
+
+def test_fact_load_deals_no_whole_rows(spark, sf, path, monkeypatch):
+    silver = writers.stage(V.silver_transactions(spark, sf), "silver", "no-deal")[0]
+    written = []
+    write = versions.write
+    monkeypatch.setattr(versions, "write", lambda df, *a, **k: written.append((plan(df), k)) or write(df, *a, **k))
+    counts = gold.build_fact(silver, *V.fact_dims(spark, sf), V.gold_dates(spark), path("f"), path("e"), path("k"), "no-deal")
+    assert counts["row_in"] == silver.count() and counts["dedup_dropped"] == 0
+    assert written[0][1]["gather"] is False
