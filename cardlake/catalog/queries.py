@@ -711,7 +711,7 @@ _ACTION = """CASE WHEN CAST(transaction_id AS BIGINT) % 2 = 1 THEN 'inserted'
 
 @query(f"SELECT *, {_ACTION} AS action FROM wh_fact_known")
 def upsert_fact_month(spark, sf):
-    fact = warehouse.wh_fact(V.stored_gold(spark, sf, "fact"), V.stored_dims(spark, sf)).drop("gold_load_ts")
+    fact = V._stored(spark, sf, "wh_fact", lambda: V.warehouse_fact(spark, sf)).drop("gold_load_ts")
     rows = U.merge_rows(_old_fact(fact), fact, ["transaction_id", "txn_month"], "record_hash")
     return rows.withColumnRenamed(U.ACTION, "action")
 
@@ -1437,8 +1437,8 @@ def silver_incremental(spark, sf):
 def refresh_slice_moved(spark, sf):
     """A month-wise load by which some transactions leave the month they stood in."""
     path = f"{checkpoint_dir(spark)}/slice-{uuid.uuid4().hex}"
-    fact = warehouse.wh_fact(V.stored_gold(spark, sf, "fact"), V.stored_dims(spark, sf))
-    warehouse.refresh_slice(fact, "fact_transactions", path, uuid.uuid4().hex)
+    warehouse.refresh_slice(V.warehouse_fact(spark, sf), "fact_transactions", path, uuid.uuid4().hex)
+    fact = writers.read(spark, path, K.WH_FACT.schema)
     later = F.add_months("txn_month", 1)
     moved = fact.where(F.col("transaction_id").endswith("5")).withColumns({
         "txn_month": later, "record_hash": F.sha2(F.concat("record_hash", later.cast("string")), 256)})

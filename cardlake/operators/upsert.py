@@ -34,17 +34,20 @@ def merge_rows(
     ``keep_cols`` keep the target's value on update. Target rows the source
     lacks stay, or are marked deleted.
     """
-    t = target.select(*[F.col(k).alias(f"__t_{k}") for k in keys], F.struct(*target.columns).alias("t"))
-    s = source.select(
-        *[F.col(k).alias(f"__s_{k}") for k in keys],
-        F.struct(*[F.col(c) for c in target.columns]).alias("s"),
-    )
+    # Keys are dealt once, beside the other columns.
+    others = [F.col(c) for c in target.columns if c not in keys] or [F.lit(True)]
+    t = target.select(*[F.col(k).alias(f"__t_{k}") for k in keys], F.struct(*others).alias("t"))
+    s = source.select(*[F.col(k).alias(f"__s_{k}") for k in keys], F.struct(*others).alias("s"))
+
+    def of(side: str, c: str) -> Column:
+        return F.col(f"__{side}_{c}" if c in keys else f"{side}.{c}")
+
     joined = t.join(s, C.all_of([F.col(f"__t_{k}") == F.col(f"__s_{k}") for k in keys]), "full_outer")
     if hash_col:
         blank = F.lit("")
-        changed = F.coalesce(F.col(f"t.{hash_col}"), blank) != F.coalesce(F.col(f"s.{hash_col}"), blank)
+        changed = F.coalesce(of("t", hash_col), blank) != F.coalesce(of("s", hash_col), blank)
     elif compare_cols:
-        changed = C.any_of([C.differs(F.col(f"t.{c}"), F.col(f"s.{c}")) for c in compare_cols])
+        changed = C.any_of([C.differs(of("t", c), of("s", c)) for c in compare_cols])
     else:
         changed = F.lit(True)
     only_target = F.col("s").isNull()
@@ -57,10 +60,8 @@ def merge_rows(
     from_source = F.col(ACTION).isin(INSERTED, UPDATED)
     columns = []
     for c in target.columns:
-        if c in keep_cols:
-            value = F.when(F.col(ACTION) == INSERTED, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
-        else:
-            value = F.when(from_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
+        taken = F.col(ACTION) == INSERTED if c in keep_cols else from_source
+        value = F.when(taken, of("s", c)).otherwise(of("t", c))
         columns.append(value.alias(c))
     return joined.withColumn(ACTION, action).select(*columns, ACTION)
 

@@ -13,6 +13,7 @@ from cardlake.operators.projection import month_scope
 from cardlake.operators.upsert import (
     ACTION,
     DELETED,
+    INSERTED,
     UNCHANGED,
     action_metrics,
     assign_surrogate,
@@ -308,12 +309,17 @@ def refresh_slice(
     again from the result changes nothing.
     """
     c, hash_col = _SLICES[table]
-    spark = source.sparkSession
+    spark, base = source.sparkSession, versions.current(source.sparkSession, path)
+    zone = (c.partition_by[0], c.keys[0])
+    if not base.parts:
+        # Nothing to merge with: the rows are written as they come.
+        rows = K.project_to_contract(source, c).withColumn(ACTION, F.lit(INSERTED))
+        counts = _publish_merged(rows, path, base, c, partition_by=c.partition_by, whole=False, zone=zone)
+        return {"rows_source": counts["rows_inserted"], **counts}
     fresh, seen = writers.stage(
         K.project_to_contract(source, c), f"{table}-source", run_id, c.partition_by,
         {"rows_source": F.count(F.lit(1))},
     )
-    base = versions.current(spark, path)
     touched = key_partitions(spark, path, base, c, fresh)
     target = versions.read(spark, path, c.schema, touched, base).select(*c.names)
     rows = merge_rows(target, fresh, c.keys, hash_col)
@@ -323,7 +329,6 @@ def refresh_slice(
         there = fresh.select(*c.keys).distinct().withColumn("__there", F.lit(True))
         rows = rows.join(own, "txn_month", "left").join(there, list(c.keys), "left").withColumn("__absent", F.col("__there").isNull())
         rows = rows.withColumn(ACTION, F.when(gone, DELETED).otherwise(F.col(ACTION))).select(*c.names, ACTION)
-    zone = (c.partition_by[0], c.keys[0])
     counts = _publish_merged(rows, path, base, c, partition_by=c.partition_by, whole=False, emptied=touched, zone=zone)
     return {**seen, **counts}
 

@@ -8,6 +8,7 @@ from test_plans import no_broadcast, plan  # noqa: F401
 
 from cardlake.catalog import views as V
 from cardlake.operators.dedup import dedup_latest
+from cardlake.operators.upsert import merge_rows
 from cardlake.plans import gold, measures, warehouse
 from cardlake.sources import versions, writers
 
@@ -83,3 +84,20 @@ def test_fact_load_deals_no_whole_rows(spark, sf, path, monkeypatch):
     counts = gold.build_fact(silver, *V.fact_dims(spark, sf), V.gold_dates(spark), path("f"), path("e"), path("k"), "no-deal")
     assert counts["row_in"] == silver.count() and counts["dedup_dropped"] == 0
     assert written[0][1]["gather"] is False
+
+
+def test_first_slice_is_neither_staged_nor_merged(spark, sf, path, monkeypatch):
+    fact, written = V.warehouse_fact(spark, sf), []
+    write = versions.write
+    monkeypatch.setattr(versions, "write", lambda df, *a, **k: written.append(plan(df)) or write(df, *a, **k))
+    monkeypatch.setattr(writers, "stage", lambda *a, **k: 1 / 0)
+    counts = warehouse.refresh_slice(fact, "fact_transactions", path("slice"), "first")
+    n = fact.count()
+    assert counts == {"rows_source": n, "rows_inserted": n, "rows_updated": 0, "rows_unchanged": 0, "rows_deleted": 0}
+    assert "FullOuter" not in written[0] and versions.read(spark, path("slice"), fact.schema).count() == n
+
+
+def test_merge_deals_keys_once(spark):
+    df = spark.createDataFrame([(1, "a", 2)], "k long, record_hash string, v int")
+    merged = merge_rows(df, df, ["k"], "record_hash")
+    assert "struct(k" not in plan(merged) and rows(merged) == [(1, "a", 2, "unchanged")]
