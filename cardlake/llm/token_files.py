@@ -40,7 +40,7 @@ END_ID = 2
 #: A file row is closed at the first document end after so many ids.
 ROW_IDS = 1 << 19
 #: Characters of texts that are encoded together, and bytes of known words after which a worker forgets them.
-TOGETHER, HELD_BYTES = 1 << 21, 1 << 27
+TOGETHER, HELD_BYTES = 1 << 22, 1 << 28
 #: Places of the table of pairs, more than twice as many as there are merges, and a factor that spreads pairs over them.
 _PLACES, _SPREAD = 1 << 18, 0x9E3779B97F4A7C15
 #: Bytes of pieces that are merged together, by upper ends.
