@@ -14,9 +14,13 @@ Three facts carry this module.
 from __future__ import annotations
 
 import functools
+import gc
 import json
 import re
+import threading
 from array import array
+from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import accumulate
 
 import ahocorasick
@@ -28,6 +32,8 @@ BYTE_BPE = "byte_bpe_50k.json"
 #: Short words that a cache holds about, and what an entry counts besides its letters and items.
 CACHE, ENTRY = 400_000, 24
 LEAF = 256
+#: Seconds without a batch after which a worker lets go of a vocabulary and its words.
+IDLE_S = 5.0
 #: Beyond these characters the library itself splits the text: word classes differ between versions of Unicode.
 UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ]")
 #: A space after other white space, or white space at the end: pieces then reach over spaces.
@@ -311,3 +317,29 @@ class Prefixes:
 def byte_bpe(path: str) -> ByteBpe:
     """The vocabulary of a file, loaded once a worker."""
     return ByteBpe(path)
+
+
+_idle: threading.Timer | None = None
+
+
+def _let_go() -> None:
+    byte_bpe.cache_clear()
+    gc.collect()  # its memories refer back to it
+
+
+@contextmanager
+def in_use(path: str) -> Iterator[ByteBpe]:
+    """The vocabulary of a file for one batch, kept for the next one if that comes soon.
+
+    Spark keeps idle workers for a minute; their words would lie beside what
+    the stage after needs.
+    """
+    global _idle
+    if _idle is not None:
+        _idle.cancel()
+    try:
+        yield byte_bpe(path)
+    finally:
+        _idle = threading.Timer(IDLE_S, _let_go)
+        _idle.daemon = True
+        _idle.start()

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardlake.llm.bpe import BYTE_BPE, ByteBpe, byte_bpe
+from cardlake.llm.bpe import BYTE_BPE, ByteBpe, in_use
 from cardlake.llm.common import arrow_column, documents, importable, stage, text_of, unused
 
 LEAF_CHARS = 1 << 16
@@ -87,8 +87,8 @@ def encode(df: DataFrame, text: str = "text", leaf_chars: int = LEAF_CHARS, voca
     path = vocabulary or public_tokenizers.path(BYTE_BPE)
 
     def whole(texts: list[str]) -> list[dict]:
-        bpe = byte_bpe(path)
-        return [{"ids": bpe.encode(t)} for t in texts]
+        with in_use(path) as bpe:
+            return [{"ids": bpe.encode(t)} for t in texts]
 
     is_long = F.length(text_of(text)) > leaf_chars
     short = df.where(~is_long).withColumn("ids", arrow_column(whole, _IDS)(text_of(text)).ids)
@@ -97,8 +97,8 @@ def encode(df: DataFrame, text: str = "text", leaf_chars: int = LEAF_CHARS, voca
 
 def _encode_long(df: DataFrame, text: str, leaf_chars: int, path: str) -> DataFrame:
     def leaves(texts: list[str]) -> list[dict]:
-        bpe = byte_bpe(path)
-        return [Node.of(bpe, t).pack() for t in texts]
+        with in_use(path) as bpe:
+            return [Node.of(bpe, t).pack() for t in texts]
 
     def pair(rows: pd.DataFrame) -> pd.DataFrame:
         """Two neighbouring nodes of one text, or the last one alone."""
@@ -107,7 +107,8 @@ def _encode_long(df: DataFrame, text: str, leaf_chars: int, path: str) -> DataFr
         if len(rows) == 1:
             return pd.DataFrame([{**first.to_dict(), "leaf": first.leaf // 2}])
         a, b = (Node.unpack(r.part, r.sizes, r.counts, r.ids) for r in rows.itertuples())
-        whole = join(byte_bpe(path), a, b)
+        with in_use(path) as bpe:
+            whole = join(bpe, a, b)
         return pd.DataFrame([{"_row": first._row, "leaf": first.leaf // 2, "part": first.part + rows.iloc[1].part, **whole.pack()}])
 
     # Rows get a number of their own; the written table fixes it.
@@ -134,8 +135,8 @@ def decode(df: DataFrame, ids: str = "ids", text: str = "decoded", vocabulary: s
     path = vocabulary or public_tokenizers.path(BYTE_BPE)
 
     def run(values: list[bytes]) -> list[dict]:
-        bpe = byte_bpe(path)
-        return [{"text": bpe.decode(v)} for v in values]
+        with in_use(path) as bpe:
+            return [{"text": bpe.decode(v)} for v in values]
 
     return df.withColumn(text, arrow_column(run, _TEXT)(F.coalesce(F.col(ids), F.lit(b""))).text)
 
@@ -160,12 +161,12 @@ def _coded(df: DataFrame, text: str, leaf_chars: int, vocabulary: str | None, ki
         return {name: of[name] for name in kind.names}
 
     def of_texts(texts: list[str]) -> list[dict]:
-        bpe = byte_bpe(path)
-        return [coded(bpe, bpe.encode(t)) for t in texts]
+        with in_use(path) as bpe:
+            return [coded(bpe, bpe.encode(t)) for t in texts]
 
     def of_ids(values: list[bytes]) -> list[dict]:
-        bpe = byte_bpe(path)
-        return [coded(bpe, v) for v in values]
+        with in_use(path) as bpe:
+            return [coded(bpe, v) for v in values]
 
     importable(df.sparkSession)
     is_long = F.length(text_of(text)) > leaf_chars

@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import time
+import weakref
 import zlib
 from array import array
 
@@ -13,7 +15,7 @@ from conftest import SF
 from llm.helpers import HARD, table
 from tokenizers import Tokenizer
 
-from cardlake.llm import bpe_codec, token_files
+from cardlake.llm import bpe, bpe_codec, token_files
 from cardlake.llm.bpe import BYTE_BPE, Prefixes, byte_bpe
 from cardlake.llm.bpe_codec import op5_bpe_codec
 from cardlake.llm.simple8b import LARGEST, pack, unpack
@@ -164,3 +166,19 @@ def test_op9_equals_the_library(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     got = op9_token_files(spark, SF).orderBy("doc_id").collect()
     assert [tuple(r) for r in got] == list(files([d.text for d in docs], [d.doc_id for d in docs], library))
+
+
+def test_idle_worker_lets_its_words_go(monkeypatch):
+    monkeypatch.setattr(bpe, "IDLE_S", 0.2)
+    with bpe.in_use(PATH) as used:
+        ids = used.encode("some words")
+        held = weakref.ref(used)
+    with bpe.in_use(PATH) as again:  # the next batch comes soon
+        assert again is used
+    del used, again
+    end = time.monotonic() + 10
+    while held() is not None and time.monotonic() < end:
+        time.sleep(0.05)
+    assert held() is None
+    with bpe.in_use(PATH) as anew:
+        assert anew.encode("some words") == ids
