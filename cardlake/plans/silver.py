@@ -221,7 +221,8 @@ def build_silver(
 
     A full load replaces the table. An incremental load keeps the latest row of
     each natural key, in whatever partition its older version stands, rewrites
-    the partitions concerned and never the rest.
+    the partitions concerned and never the rest. Rows are dealt by key alone and
+    written as they lie, so a task has a file for each partition it has rows of.
     """
     make, c, default_checks = _BUILDERS[entity.strip().upper()]
     checks = default_checks() if checks is None else checks
@@ -230,7 +231,7 @@ def build_silver(
     fresh = make(bronze.observe(arrived, F.count(F.lit(1)).alias("row_in")), **options)
     zone_key = c.keys[0] if c.partition_by else None
     if not (incremental and writers.table_exists(spark, path)):
-        counts = writers.publish(fresh, path, c.table, c.partition_by, checks, zone_key=zone_key)
+        counts = writers.publish(fresh, path, c.table, c.partition_by, checks, zone_key=zone_key, gather=False)
         kept = counts["row_out"]
     else:
         fresh, seen = writers.stage(
@@ -239,7 +240,7 @@ def build_silver(
         kept, base = seen["kept"], versions.current(spark, path)
         touched = key_partitions(spark, path, base, c, fresh) if c.partition_by else None
         merged = newest_rows(versions.read(spark, path, c.schema, touched, base), fresh, c.keys)
-        counts = writers.publish(merged, path, c.table, c.partition_by, checks, whole=False, touched=touched or (), base=base, zone_key=zone_key)
+        counts = writers.publish(merged, path, c.table, c.partition_by, checks, whole=False, touched=touched or (), base=base, zone_key=zone_key, gather=False)
     row_in = arrived.get["row_in"]
     return {"row_in": row_in, "dedup_dropped": row_in - kept, **counts}
 
@@ -266,4 +267,8 @@ def key_partitions(spark: SparkSession, path: str, at: versions.Version, c: K.Co
 def newest_rows(target: DataFrame, fresh: DataFrame, keys: Sequence[str], order: str = "ingestion_ts") -> DataFrame:
     """One row per key: the latest of both sides, the fresh one if they are equally old."""
     both = target.withColumn("__fresh", F.lit(0)).unionByName(fresh.withColumn("__fresh", F.lit(1)))
-    return dedup_latest(both, keys, order, ["__fresh"]).drop("__fresh")
+    if "record_hash" not in both.columns:
+        return dedup_latest(both, keys, order, ["__fresh"]).drop("__fresh")
+    # Hashes are dealt as bytes, half as long as their digits.
+    latest = dedup_latest(both.withColumn("record_hash", F.unhex("record_hash")), keys, order, ["__fresh"])
+    return latest.withColumn("record_hash", F.lower(F.hex("record_hash"))).drop("__fresh")

@@ -160,12 +160,14 @@ def publish(
     touched: Sequence[str] = (),
     base: versions.Version | None = None,
     zone_key: str | None = None,
+    gather: bool = True,
 ) -> dict:
     """Write rows once, check them, then commit them as the table or as their partitions.
 
     ``touched`` names partitions the rows were taken from: those that no row
     is left for go. ``base`` is the version that the rows were made from.
-    ``zone_key`` is a key whose range is kept for each partition.
+    ``zone_key`` is a key whose range is kept for each partition. ``gather``: see
+    ``versions.write``.
 
     Row checks ride on the write, so a load is one pass over its input.
     Partition limits and unique keys are checked on the written files. A failed
@@ -178,7 +180,7 @@ def publish(
         raise ValueError(f"{path} is not a published table: load it whole first")
     prefix = "check:"
     probes = {prefix + k: m for k, m in row_metrics(checks).items()}
-    load, seen = versions.write(df, path, partition_by, {"row_out": F.count(F.lit(1)), **probes, **(metrics or {})})
+    load, seen = versions.write(df, path, partition_by, {"row_out": F.count(F.lit(1)), **probes, **(metrics or {})}, gather=gather)
     written = versions.load_rows(spark, path, load, df.schema)
     try:
         broken = {k[len(prefix):]: v for k, v in seen.items() if k.startswith(prefix) and v}

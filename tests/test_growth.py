@@ -9,7 +9,7 @@ from test_plans import no_broadcast, plan  # noqa: F401
 from cardlake.catalog import views as V
 from cardlake.operators.dedup import dedup_latest
 from cardlake.operators.upsert import merge_rows
-from cardlake.plans import gold, measures, warehouse
+from cardlake.plans import gold, measures, silver, warehouse
 from cardlake.sources import versions, writers
 
 
@@ -101,3 +101,14 @@ def test_merge_deals_keys_once(spark):
     df = spark.createDataFrame([(1, "a", 2)], "k long, record_hash string, v int")
     merged = merge_rows(df, df, ["k"], "record_hash")
     assert "struct(k" not in plan(merged) and rows(merged) == [(1, "a", 2, "unchanged")]
+
+
+def test_silver_loads_deal_rows_by_key_alone_and_hashes_as_bytes(spark, sf, path, monkeypatch):
+    bronze, written = V.bronze_transactions(spark, sf), []
+    write = versions.write
+    monkeypatch.setattr(versions, "write", lambda df, *a, **k: written.append((plan(df), k["gather"])) or write(df, *a, **k))
+    for n, rows_in in enumerate([bronze, bronze.where("id % 10 = 1")]):
+        silver.build_silver(rows_in, "TRANSACTION", path("silver"), f"deal-{n}", incremental=True, tie_break=V.TXN_TIES)
+    assert [gather for _, gather in written] == [False, False] and "unhex(" in written[1][0]
+    expected = V.silver_transactions(spark, sf).select("transaction_id", "record_hash")
+    assert rows(writers.read(spark, path("silver"), expected.schema)) == rows(expected)
