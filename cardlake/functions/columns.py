@@ -61,10 +61,14 @@ def ticker_from_path(c: Column | str) -> Column:
 def to_int(c: Column | str, dtype: str = "int") -> Column:
     """Whole number from text; ``5812.0`` counts as 5812, other text as NULL.
 
-    By way of a decimal, which keeps all digits of a long id.
+    By way of a decimal, which keeps all digits of a long id. Text that cannot be
+    one, without a digit or with a letter other than e, is not tried: each failed
+    try costs an exception inside the cast.
     """
     c = col(c)
-    return F.coalesce(c.try_cast(dtype), c.try_cast("decimal(38,10)").try_cast(dtype))
+    text = c.cast("string")
+    likely = text.rlike(r"\p{Nd}") & ~text.rlike("[A-DF-Za-df-z]") | text.isin("true", "false")
+    return F.when(likely, F.coalesce(c.try_cast(dtype), c.try_cast("decimal(38,10)").try_cast(dtype)))
 
 
 def to_long(c: Column | str) -> Column:
@@ -82,7 +86,7 @@ def to_decimal(c: Column | str, precision: int = 18, scale: int = 2) -> Column:
 def money(c: Column | str, signed: bool = False) -> Column:
     """Amount without currency sign and separators; the minus survives if signed."""
     junk = r"[^0-9.\-]" if signed else r"[^0-9.]"
-    return F.regexp_replace(col(c), junk, "").try_cast("double")
+    return F.nullif(F.regexp_replace(col(c), junk, ""), F.lit("")).try_cast("double")
 
 
 def safe_divide(a: Column, b: Column, default: float | None = 0.0) -> Column:

@@ -149,3 +149,14 @@ def test_payload(spark):
     assert version[1] == "1.0" and version[2] == "0.x-legacy"
     again = dict(fixed.select("i", json_paths_missing("p")).collect())
     assert again[1] == [] and again[2] == ["load_mode"]
+
+
+def test_text_that_is_no_number_is_not_cast(spark):
+    values = ["5", " 5.0 ", "-3", "1e3", "1E2", "Insufficient Balance", "N/A", " ", "", "-", "e", "5x", "٣", "true", "NaN", None]
+    plain = lambda c: F.coalesce(c.try_cast("int"), c.try_cast("decimal(38,10)").try_cast("int"))
+    assert one(spark, values, C.to_int) == one(spark, values, plain)
+    assert one(spark, [True, False, None], C.to_int, "boolean") == [1, 0, None]
+    assert one(spark, ["$", "N/A", "", "-$1.5", None], lambda c: C.money(c, signed=True)) == [None, None, None, -1.5, None]
+    df = spark.createDataFrame([("x",)], "v string").select(C.to_int("v"), C.money("v"))
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" in text
