@@ -851,7 +851,7 @@ def ctl_orphans(spark, sf):
 def _recon(spark, sf, metric):
     """Gold against a warehouse copy: equal, off in one month, absent in another."""
     key, month = F.col("transaction_id"), F.col("txn_month")
-    source = V.stored_gold(spark, sf, "fact").select("transaction_id", "txn_month", "amount")
+    source = V.stored_amounts(spark, sf)
     copy = source.where(~((F.year(month) == 1999) & (F.month(month) == 5)) & ~((F.month(month) == 2) & (key % 50 == 1)))
     return controls.recon(source, copy, now(), (metric,)).drop("check_ts", "tolerance_abs", "details")
 

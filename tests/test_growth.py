@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from test_plans import no_broadcast, plan  # noqa: F401
 
 from cardlake.catalog import views as V
+from cardlake.catalog.queries import QUERIES
 from cardlake.operators.dedup import dedup_latest
 from cardlake.operators.upsert import merge_rows
 from cardlake.plans import gold, measures, silver, warehouse
@@ -17,6 +18,16 @@ def test_stored_fact_has_the_measured_columns_alone(spark, sf):
     assert sorted(V.stored_fact(spark, sf).columns) == sorted(V.MEASURED)
 
 
+def test_reconciliation_stores_what_it_reads_alone(spark, sf, monkeypatch):
+    written, overwrite = [], writers.overwrite
+    monkeypatch.setattr(V, "_STORED", {})
+    monkeypatch.setattr(writers, "overwrite", lambda df, *a, **k: written.append((df.columns, a[1:])) or overwrite(df, *a, **k))
+    fact = V.gold_fact(spark, sf)[0].select(*V.RECONCILED)
+    counts = QUERIES["recon_counts"](spark, sf).select("txn_month", F.col("gold_value").cast("long"))
+    assert rows(counts) == rows(fact.groupBy("txn_month").count())
+    assert [w for w in written if "amount" in w[0]] == [(V.RECONCILED, ((),))]
+
+
 def test_conformed_fact_is_dealt_by_client_once(spark, sf, no_broadcast):  # noqa: F811
     text = plan(V.warehouse_fact(spark, sf))
     dealt = re.findall(r"Exchange hashpartitioning\((?:cast\()?client_id#\d+L?", text)
