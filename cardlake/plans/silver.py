@@ -20,6 +20,7 @@ from cardlake.operators.dedup import dedup_latest
 from cardlake.operators.projection import add_tech_columns
 from cardlake.plans import contracts as K
 from cardlake.plans.bronze import BATCH, ENTITIES
+from cardlake.session import shuffles_freed
 from cardlake.sources import versions, writers
 
 # The business columns behind each record hash, in hash order.
@@ -261,7 +262,8 @@ def key_partitions(spark: SparkSession, path: str, at: versions.Version, c: K.Co
         found = held.join(fresh.select(*c.keys).distinct(), list(c.keys), "left_semi")
         going = going.union(found.select(F.col(column).cast("string")))
     # Partition values are limited by contract.
-    return sorted({versions.part_name(column, r.p) for r in going.distinct().collect()})
+    with shuffles_freed(spark):
+        return sorted({versions.part_name(column, r.p) for r in going.distinct().collect()})
 
 
 def newest_rows(target: DataFrame, fresh: DataFrame, keys: Sequence[str], order: str = "ingestion_ts") -> DataFrame:

@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_FREEING: WeakKeyDictionary[SparkSession, tuple[int, str]] = WeakKeyDictionary()
+_LOCK = threading.Lock()
 
 
 def get_spark(app: str = "cardlake", master: str | None = None, **conf: str) -> SparkSession:
@@ -49,3 +56,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="cardlake-")
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir()
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written inside go when the write has ended. Otherwise they
+    stay until the driver collects its garbage, so a load of several steps would hold
+    those of all. Loads may run side by side: the setting stays until the last has ended.
+    """
+    with _LOCK:
+        running, before = _FREEING.get(spark, (0, spark.conf.get(CLEANUP_CONF, "false")))
+        _FREEING[spark] = (running + 1, before)
+        spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        with _LOCK:
+            running, before = _FREEING.pop(spark)
+            if running > 1:
+                _FREEING[spark] = (running - 1, before)
+            else:
+                spark.conf.set(CLEANUP_CONF, before)

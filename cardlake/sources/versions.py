@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardlake.session import shuffles_freed
 from cardlake.sources import numbered
 
 POINTERS, LOADS, LOAD = "_versions", "_loads", "__load"
@@ -108,7 +109,8 @@ def write(
         df = rows.observe(observed, *[m.alias(k) for k, m in metrics.items()])
     kept = df if keep is None else df.where(keep)
     clustered = kept.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by and gather else kept
-    clustered.write.mode("overwrite").option("compression", CODEC).partitionBy(*partition_by).parquet(f"{path}/{LOADS}/{LOAD}={load}")
+    with shuffles_freed(df.sparkSession):
+        clustered.write.mode("overwrite").option("compression", CODEC).partitionBy(*partition_by).parquet(f"{path}/{LOADS}/{LOAD}={load}")
     return load, seen(observed, rows, metrics) if observed else {}
 
 

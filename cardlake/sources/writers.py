@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from cardlake.operators.quality import Check, QualityError, assert_passed, row_metrics, run_checks
-from cardlake.session import checkpoint_dir
+from cardlake.session import checkpoint_dir, shuffles_freed
 from cardlake.sources import versions
 from cardlake.sources.readers import rows_to_table
 
@@ -44,7 +44,8 @@ def overwrite_partitions(
 def _replace(df: DataFrame, path: str, partition_by: Sequence[str], cluster: bool, mode: str) -> None:
     rows = clustered(df, partition_by) if cluster else df
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode).option("compression", versions.CODEC)
-    writer.partitionBy(*partition_by).parquet(path)
+    with shuffles_freed(df.sparkSession):
+        writer.partitionBy(*partition_by).parquet(path)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:

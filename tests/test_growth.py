@@ -1,7 +1,11 @@
-"""What the shuffles of large tables carry."""
+"""What the shuffles of large tables carry, and how long their files stay."""
 
+import os
 import re
+import threading
+import time
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from test_plans import no_broadcast, plan  # noqa: F401
@@ -11,6 +15,7 @@ from cardlake.catalog.queries import QUERIES
 from cardlake.operators.dedup import dedup_latest
 from cardlake.operators.upsert import merge_rows
 from cardlake.plans import gold, measures, silver, warehouse
+from cardlake.session import CLEANUP_CONF, shuffles_freed
 from cardlake.sources import versions, writers
 
 
@@ -123,3 +128,42 @@ def test_silver_loads_deal_rows_by_key_alone_and_hashes_as_bytes(spark, sf, path
     assert [gather for _, gather in written] == [False, False] and "unhex(" in written[1][0]
     expected = V.silver_transactions(spark, sf).select("transaction_id", "record_hash")
     assert rows(writers.read(spark, path("silver"), expected.schema)) == rows(expected)
+
+
+def shuffle_files(spark) -> set[str]:
+    homes = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for home in homes for _, _, names in os.walk(home.getPath()) for f in names if f.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("write", [
+    lambda df, to: versions.write(df, to, ["m"]),
+    lambda df, to: writers.overwrite(df, to, ["m"]),
+    lambda df, to: writers.stage(df, "freed", to.rsplit("/", 1)[1]),
+])
+def test_shuffle_files_go_with_the_write_that_made_them(spark, path, write):
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("m")).count()
+    before = shuffle_files(spark)
+    write(df, path("freed"))
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(CLEANUP_CONF) == "false" and df.count() == 7
+
+
+def test_setting_comes_back_when_the_last_of_several_loads_has_ended(spark):
+    inside, leave = threading.Event(), threading.Event()
+
+    def load():
+        with shuffles_freed(spark):
+            inside.set()
+            leave.wait(20)
+
+    other = threading.Thread(target=load)
+    with shuffles_freed(spark):
+        other.start()
+        assert inside.wait(20)
+    assert spark.conf.get(CLEANUP_CONF) == "true"
+    leave.set()
+    other.join()
+    assert spark.conf.get(CLEANUP_CONF) == "false"
