@@ -337,10 +337,10 @@ def _publish_merged(
     rows: DataFrame, path: str, base: versions.Version, c: K.Contract, partition_by: Sequence[str] = (),
     whole: bool = True, emptied: Sequence[str] = (), zone: tuple[str, str] | None = None,
 ) -> dict:
-    """Write merged rows once with their counts; commit them unless nothing has changed."""
+    """Write merged rows once, as they lie, with their counts; commit them unless nothing has changed."""
     spark = rows.sparkSession
     kept = F.col(ACTION) != DELETED
-    load, counts = versions.write(rows, path, partition_by, action_metrics(), keep=kept)
+    load, counts = versions.write(rows, path, partition_by, action_metrics(), keep=kept, gather=False)
     if counts["rows_inserted"] or counts["rows_updated"] or counts["rows_deleted"]:
         known = versions.zones(versions.load_rows(spark, path, load, c.schema), *zone) if zone else None
         versions.publish_load(spark, path, base, load, whole, emptied, alone=True, zones=known)

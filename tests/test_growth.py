@@ -167,3 +167,15 @@ def test_setting_comes_back_when_the_last_of_several_loads_has_ended(spark):
     leave.set()
     other.join()
     assert spark.conf.get(CLEANUP_CONF) == "false"
+
+
+def test_slices_are_written_as_they_lie(spark, sf, path, monkeypatch):
+    fact, gathered, write = V.warehouse_fact(spark, sf), [], versions.write
+    monkeypatch.setattr(versions, "write", lambda *a, **k: gathered.append(k["gather"]) or write(*a, **k))
+    for n in (0, 1):
+        later = fact.where("transaction_id % 10 = 5").withColumn("txn_month", F.add_months("txn_month", 1))
+        warehouse.refresh_slice(later.withColumn("record_hash", F.lit("new")) if n else fact, "fact_transactions", path("slice"), f"lie-{n}")
+    got = versions.read(spark, path("slice"), fact.schema).select("transaction_id", "txn_month")
+    moved = F.col("transaction_id") % 10 == 5
+    expected = fact.select("transaction_id", F.when(moved, F.add_months("txn_month", 1)).otherwise(F.col("txn_month")))
+    assert gathered == [False, False] and rows(got) == rows(expected)
