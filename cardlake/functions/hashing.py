@@ -43,6 +43,19 @@ def natural_keys_json(cols: Sequence[str]) -> Column:
     return F.to_json(F.struct(*[F.col(c) for c in cols]))
 
 
+def packed(c: Column | str) -> Column:
+    """A hash in half its length, for shuffles: lower-case hex as the bytes it stands for,
+    any other text as it is. ``unpacked`` gives back the very same text."""
+    text = _col(c)
+    digits = F.unhex(text)
+    same = F.lower(F.hex(digits)) == text
+    return F.struct(F.when(same, digits).alias("digits"), F.when(~F.coalesce(same, F.lit(False)), text).alias("text"))
+
+
+def unpacked(c: Column) -> Column:
+    return F.coalesce(F.lower(F.hex(c["digits"])), c["text"])
+
+
 def add_record_hash(df: DataFrame, cols: Sequence[str], name: str = "record_hash") -> DataFrame:
     missing = [c for c in cols if c not in df.columns]
     if missing:

@@ -11,8 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardlake.functions import columns as C
+from cardlake.functions.hashing import packed, unpacked
 
 ACTION = "__action"
 INSERTED, UPDATED, UNCHANGED, DELETED = "inserted", "updated", "unchanged", "deleted"
@@ -34,13 +36,16 @@ def merge_rows(
     ``keep_cols`` keep the target's value on update. Target rows the source
     lacks stay, or are marked deleted.
     """
-    # Keys are dealt once, beside the other columns.
-    others = [F.col(c) for c in target.columns if c not in keys] or [F.lit(True)]
+    # Keys are dealt once, beside the other columns; hashes in half their length.
+    text = hash_col and hash_col not in keys and all(isinstance(df.schema[hash_col].dataType, T.StringType) for df in (target, source))
+    short = [hash_col] if text else []
+    others = [packed(c).alias(c) if c in short else F.col(c) for c in target.columns if c not in keys] or [F.lit(True)]
     t = target.select(*[F.col(k).alias(f"__t_{k}") for k in keys], F.struct(*others).alias("t"))
     s = source.select(*[F.col(k).alias(f"__s_{k}") for k in keys], F.struct(*others).alias("s"))
 
     def of(side: str, c: str) -> Column:
-        return F.col(f"__{side}_{c}" if c in keys else f"{side}.{c}")
+        value = F.col(f"__{side}_{c}" if c in keys else f"{side}.{c}")
+        return unpacked(value) if c in short else value
 
     joined = t.join(s, C.all_of([F.col(f"__t_{k}") == F.col(f"__s_{k}") for k in keys]), "full_outer")
     if hash_col:

@@ -12,6 +12,7 @@ from test_plans import no_broadcast, plan  # noqa: F401
 
 from cardlake.catalog import views as V
 from cardlake.catalog.queries import QUERIES
+from cardlake.functions.hashing import packed, unpacked
 from cardlake.operators.dedup import dedup_latest
 from cardlake.operators.upsert import merge_rows
 from cardlake.plans import gold, measures, silver, warehouse
@@ -179,3 +180,25 @@ def test_slices_are_written_as_they_lie(spark, sf, path, monkeypatch):
     moved = F.col("transaction_id") % 10 == 5
     expected = fact.select("transaction_id", F.when(moved, F.add_months("txn_month", 1)).otherwise(F.col("txn_month")))
     assert gathered == [False, False] and rows(got) == rows(expected)
+
+
+def test_hashes_are_packed_without_loss(spark):
+    texts = ["", "old", "0a", "0A", "abc", "12", "  ", "é", "f" * 64, "F" * 64, "0x1f", None]
+    df = spark.createDataFrame([(t,) for t in texts], "h string").select("h", packed("h").alias("p"))
+    assert [r for r in df.select("h", unpacked(F.col("p")).alias("back")).collect() if r.h != r.back] == []
+    assert [len(r.n) for r in df.where(F.length("h") == 64).select(F.col("p.digits").alias("n")).collect() if r.n] == [32]
+
+
+def test_merge_deals_hashes_as_bytes(spark):
+    kind = "k long, record_hash string, v int"
+    old = spark.createDataFrame([(1, "aa", 1), (2, "old", 2), (3, None, 3), (4, "", 4), (5, "AB", 5), (None, "cc", 6), (8, "dd", 8)], kind)
+    new = spark.createDataFrame([(1, "aa", 10), (2, "bb", 20), (3, "", 30), (4, None, 40), (5, "ab", 50), (7, "é", 70), (None, "cc", 60)], kind)
+    merged = merge_rows(old, new, ["k"], "record_hash")
+    below = plan(merged)[plan(merged).index("SortMergeJoin") :] if "SortMergeJoin" in plan(merged) else plan(merged)
+    assert "unhex(" in below
+    assert rows(merged) == sorted([
+        (1, "aa", 1, "unchanged"), (2, "bb", 20, "updated"), (3, None, 3, "unchanged"), (4, "", 4, "unchanged"), (5, "ab", 50, "updated"),
+        (7, "é", 70, "inserted"), (8, "dd", 8, "unchanged"), (None, "cc", 6, "unchanged"), (None, "cc", 60, "inserted"),
+    ], key=lambda r: tuple((v is None, str(v)) for v in r))
+    numbers = spark.createDataFrame([(1, 7, 1)], "k long, record_hash long, v int")
+    assert rows(merge_rows(numbers, numbers, ["k"], "record_hash")) == [(1, 7, 1, "unchanged")]
